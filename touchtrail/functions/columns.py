@@ -61,19 +61,18 @@ def slugify(c: Column | str) -> Column:
 
 # -- dates ---------------------------------------------------------------------
 
-# A full year-month-day date, with - or / between the parts.
-_DATE_SHAPE = r"^\s*[+-]?\d+([-/])\d{1,2}\1\d{1,2}"
+# A full year-month-day date with one kind of separator, and optionally a time.
+_DATE_SHAPE = r"^(\d{4,}([-/ \\])\d{1,2}\2\d{1,2})(?: \d{1,2}:\d{2}.*)?$"
 
 
 def safe_date(c: Column | str) -> Column:
     """Date of a text, or NULL when it is not a full calendar date.
 
     Spark alone would also accept ``2024`` and ``2024-01`` and reject
-    ``2024/01/05``; the shape guard and the separator swap undo both.
+    ``2024/01/05``; the shape match and the separator swap undo both.
     """
-    text = blank_to_null(c)
-    dashed = F.replace(text, F.lit("/"), F.lit("-"))
-    return F.when(text.rlike(_DATE_SHAPE), dashed.try_cast("date"))
+    day = F.regexp_extract(blank_to_null(c), _DATE_SHAPE, 1)
+    return F.translate(day, "/ \\", "---").try_cast("date")
 
 
 def safe_month(c: Column | str) -> Column:
