@@ -28,7 +28,7 @@ def _pick(values: tuple[str, ...], index: Column) -> Column:
 
 
 def _company(key: Column) -> Column:
-    return F.concat(F.lit("ctc-00"), (key % 4 + 1).cast("string"))
+    return F.concat(F.lit("CTC-00"), (key % 4 + 1).cast("string"))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
