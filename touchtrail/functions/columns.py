@@ -49,8 +49,10 @@ def lower_label(c: Column | str) -> Column:
 
 def canonical_channel(c: Column | str, aliases: dict[str, str] = CHANNEL_ALIASES) -> Column:
     """Lower-case channel with alias spellings folded to one key."""
-    label = lower_label(c)
-    return lookup(label, aliases, label)
+    label = F.lower(F.trim(_col(c)))
+    pairs = [F.lit(text) for pair in aliases.items() for text in pair]
+    folded = F.coalesce(F.try_element_at(F.create_map(*pairs), label), label) if pairs else label
+    return F.nullif(folded, F.lit(""))
 
 
 def slugify(c: Column | str) -> Column:
@@ -71,8 +73,13 @@ def safe_date(c: Column | str) -> Column:
     Spark alone would also accept ``2024`` and ``2024-01`` and reject
     ``2024/01/05``; the shape match and the separator swap undo both.
     """
-    day = F.regexp_extract(blank_to_null(c), _DATE_SHAPE, 1)
-    return F.translate(day, "/ \\", "---").try_cast("date")
+    text = _col(c)
+    # The common form skips the regular expression: ten characters, dashes in place.
+    plain = (
+        (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    )
+    day = F.translate(F.regexp_extract(F.trim(text), _DATE_SHAPE, 1), "/ \\", "---")
+    return F.when(plain, text.try_cast("date")).otherwise(day.try_cast("date"))
 
 
 def safe_month(c: Column | str) -> Column:

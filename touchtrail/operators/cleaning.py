@@ -32,12 +32,12 @@ def stage_campaigns(raw: DataFrame) -> DataFrame:
 
 
 def stage_content(raw: DataFrame) -> DataFrame:
-    published = safe_date("publish_date")
-    return raw.select(
+    dated = raw.withColumn("publish_date", safe_date("publish_date"))
+    return dated.select(
         clean_id("content_id").alias("content_id"),
         canonical_channel("channel").alias("channel"),
-        published.alias("publish_date"),
-        month_start(published).alias("publish_month"),
+        "publish_date",
+        month_start("publish_date").alias("publish_month"),
         F.col("views").cast("bigint").alias("views"),
         F.col("clicks").cast("bigint").alias("clicks"),
         canonical_channel("utm_source").alias("utm_source"),
@@ -57,11 +57,11 @@ def stage_revenue(raw: DataFrame) -> DataFrame:
 
 
 def stage_signups(raw: DataFrame) -> DataFrame:
-    signed_up = safe_date("signup_date")
-    return raw.select(
+    dated = raw.withColumn("signup_date", safe_date("signup_date"))
+    return dated.select(
         clean_id("user_id").alias("user_id"),
-        signed_up.alias("signup_date"),
-        month_start(signed_up).alias("signup_month"),
+        "signup_date",
+        month_start("signup_date").alias("signup_month"),
         clean_id("company_id").alias("company_id"),
         # Referral labels keep their spelling: aliases apply to channels only.
         lower_label("referral_source").alias("referral_source"),

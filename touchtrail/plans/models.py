@@ -1,8 +1,8 @@
-"""The model graph: every table as a lazy DataFrame over one set of raw tables."""
+"""The model graph: every table as a DataFrame over one set of raw tables."""
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -10,115 +10,99 @@ from touchtrail.config import SKEW, SkewConfig
 from touchtrail.operators import attribution, cleaning, dimensions, facts, journeys, summaries
 from touchtrail.sources.store import materialize
 
+# (table name, planned table) -> the table later models read
+Keep = Callable[[str, DataFrame], DataFrame]
 
-class Models:
-    """Lazy tables derived from raw tables; a table is planned once per instance.
-
-    Summaries read revenue at cell grain (see ``attribution_cells``), which needs
-    no record-level join.
-    """
-
-    def __init__(self, raw: dict[str, DataFrame], config: SkewConfig = SKEW) -> None:
-        self.raw = raw
-        self.config = config
-
-    # -- staging
-    @cached_property
-    def stg_campaign_metadata(self) -> DataFrame:
-        return cleaning.stage_campaigns(self.raw["campaign_metadata"])
 
-    @cached_property
-    def stg_content_performance(self) -> DataFrame:
-        return cleaning.stage_content(self.raw["content_performance"])
+def as_planned(name: str, df: DataFrame) -> DataFrame:
+    """Keep nothing: later models extend the same lazy plan."""
+    return df
 
-    @cached_property
-    def stg_portfolio_revenue(self) -> DataFrame:
-        return cleaning.stage_revenue(self.raw["portfolio_revenue"])
 
-    @cached_property
-    def stg_user_signups(self) -> DataFrame:
-        return cleaning.stage_signups(self.raw["user_signups"])
+def in_scratch(name: str, df: DataFrame) -> DataFrame:
+    """Store every table in the session's shared scratch folder."""
+    return materialize(df, name)
 
-    # -- intermediate
-    @cached_property
-    def int_user_journeys(self) -> DataFrame:
-        return journeys.user_journeys(
-            self.stg_user_signups, self.stg_campaign_metadata, self.config
-        )
-
-    @cached_property
-    def int_attributed_revenue(self) -> DataFrame:
-        return attribution.attributed_revenue(
-            self.stg_portfolio_revenue, self.int_user_journeys, self.config
-        )
 
-    @cached_property
-    def cells(self) -> DataFrame:
-        return attribution.attribution_cells(self.stg_portfolio_revenue, self.int_user_journeys)
-
-    # -- marts
-    @cached_property
-    def dim_channel(self) -> DataFrame:
-        touches = journeys.resolve_touches(self.stg_user_signups)
-        return dimensions.dim_channel(
-            self.stg_campaign_metadata, self.stg_content_performance, touches
-        )
-
-    @cached_property
-    def dim_company(self) -> DataFrame:
-        return dimensions.dim_company(
-            self.stg_campaign_metadata, self.stg_portfolio_revenue, self.stg_user_signups
-        )
-
-    @cached_property
-    def dim_time(self) -> DataFrame:
-        bounds = dimensions.date_bounds(
-            self.stg_campaign_metadata,
-            self.stg_content_performance,
-            self.stg_portfolio_revenue,
-            self.stg_user_signups,
-        )
-        return dimensions.dim_time(bounds)
+class Models:
+    """Tables by attribute name, planned on first use and passed through ``keep``.
 
-    @cached_property
-    def dim_user_cohort(self) -> DataFrame:
-        return dimensions.dim_user_cohort(self.stg_user_signups)
+    With a storing ``keep`` each table is computed from stored inputs, and only
+    the inputs that are needed get built. ``plan(name)`` gives a table's own plan
+    over its (kept) inputs.
+    """
 
-    @cached_property
-    def fct_attributed_revenue(self) -> DataFrame:
-        return facts.fct_attributed_revenue(self.int_attributed_revenue)
+    def __init__(
+        self, raw: Mapping[str, DataFrame], keep: Keep = as_planned, config: SkewConfig = SKEW
+    ) -> None:
+        self.raw = raw
+        self.keep = keep
+        self.config = config
 
-    @cached_property
-    def fct_campaign_roi(self) -> DataFrame:
-        return facts.fct_campaign_roi(self.stg_campaign_metadata, self.cells)
+    def plan(self, name: str) -> DataFrame:
+        return TABLES[name](self)
 
-    @cached_property
-    def fct_content_performance(self) -> DataFrame:
-        return facts.fct_content_performance(
-            self.stg_content_performance, self.stg_campaign_metadata, self.config
-        )
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        table = self.keep(name, self.plan(name))
+        setattr(self, name, table)
+        return table
 
-    # -- analytics
-    @cached_property
-    def channel_performance(self) -> DataFrame:
-        return summaries.channel_performance(
-            self.dim_channel, self.cells, self.fct_content_performance, self.stg_campaign_metadata
-        )
-
-    @cached_property
-    def campaign_performance(self) -> DataFrame:
-        return summaries.campaign_performance(
-            self.fct_campaign_roi, self.dim_channel, self.dim_company, self.dim_time, self.config
+    @property
+    def cells(self) -> DataFrame:
+        """Revenue for summaries: the stored fact, or pre-aggregated cells when lazy."""
+        if self.keep is as_planned:
+            return attribution.attribution_cells(
+                self.stg_portfolio_revenue, self.int_user_journeys
+            )
+        return attribution.as_cells(self.fct_attributed_revenue)
+
+
+# Table name -> plan over the tables it reads, in dependency order.
+TABLES: dict[str, Callable[[Models], DataFrame]] = {
+    "stg_campaign_metadata": lambda m: cleaning.stage_campaigns(m.raw["campaign_metadata"]),
+    "stg_content_performance": lambda m: cleaning.stage_content(m.raw["content_performance"]),
+    "stg_portfolio_revenue": lambda m: cleaning.stage_revenue(m.raw["portfolio_revenue"]),
+    "stg_user_signups": lambda m: cleaning.stage_signups(m.raw["user_signups"]),
+    "int_user_journeys": lambda m: journeys.user_journeys(
+        m.stg_user_signups, m.stg_campaign_metadata, m.config
+    ),
+    "int_attributed_revenue": lambda m: attribution.attributed_revenue(
+        m.stg_portfolio_revenue, m.int_user_journeys, m.config
+    ),
+    "dim_channel": lambda m: dimensions.dim_channel(
+        m.stg_campaign_metadata,
+        m.stg_content_performance,
+        journeys.resolve_touches(m.stg_user_signups),
+    ),
+    "dim_company": lambda m: dimensions.dim_company(
+        m.stg_campaign_metadata, m.stg_portfolio_revenue, m.stg_user_signups
+    ),
+    "dim_time": lambda m: dimensions.dim_time(
+        dimensions.date_bounds(
+            m.stg_campaign_metadata,
+            m.stg_content_performance,
+            m.stg_portfolio_revenue,
+            m.stg_user_signups,
         )
-
-    @cached_property
-    def company_metrics(self) -> DataFrame:
-        return materialize(summaries.company_metrics(self.cells), "company_metrics")
-
-    @cached_property
-    def company_revenue_analysis(self) -> DataFrame:
-        return summaries.company_revenue_analysis(self.dim_company, self.company_metrics)
-
-    @cached_property
-    def monthly_revenue_customer_growth(self) -> DataFrame:
-        return summaries.monthly_revenue_customer_growth(self.cells, self.dim_time)
+    ),
+    "dim_user_cohort": lambda m: dimensions.dim_user_cohort(m.stg_user_signups),
+    "fct_attributed_revenue": lambda m: facts.fct_attributed_revenue(m.int_attributed_revenue),
+    "fct_campaign_roi": lambda m: facts.fct_campaign_roi(m.stg_campaign_metadata, m.cells),
+    "fct_content_performance": lambda m: facts.fct_content_performance(
+        m.stg_content_performance, m.stg_campaign_metadata, m.config
+    ),
+    "channel_performance": lambda m: summaries.channel_performance(
+        m.dim_channel, m.cells, m.fct_content_performance, m.fct_campaign_roi
+    ),
+    "campaign_performance": lambda m: summaries.campaign_performance(
+        m.fct_campaign_roi, m.dim_channel, m.dim_company, m.dim_time, m.config
+    ),
+    "company_revenue_analysis": lambda m: summaries.company_revenue_analysis(
+        m.dim_company, materialize(summaries.company_metrics(m.cells), "company_metrics")
+    ),
+    "monthly_revenue_customer_growth": lambda m: summaries.monthly_revenue_customer_growth(
+        m.cells, m.dim_time
+    ),
+}

@@ -7,37 +7,26 @@ measured sizes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.config import ANOMALY, FORECAST, AnomalyConfig, ForecastConfig
-from touchtrail.operators import anomalies, attribution, holt, quality, summaries
-from touchtrail.plans.models import Models
+from touchtrail.operators import anomalies, attribution, holt, quality
+from touchtrail.plans.models import TABLES, Models
 from touchtrail.sources import store
 from touchtrail.sources.raw_files import read_sources
 
-# (layer, table, partition column) in dependency order.
-MODEL_TABLES = (
-    ("staging", "stg_campaign_metadata", None),
-    ("staging", "stg_content_performance", None),
-    ("staging", "stg_portfolio_revenue", None),
-    ("staging", "stg_user_signups", None),
-    ("intermediate", "int_user_journeys", None),
-    ("intermediate", "int_attributed_revenue", None),
-    ("marts", "dim_channel", None),
-    ("marts", "dim_company", None),
-    ("marts", "dim_time", None),
-    ("marts", "dim_user_cohort", None),
-    ("marts", "fct_attributed_revenue", "revenue_date_key"),
-    ("marts", "fct_campaign_roi", None),
-    ("marts", "fct_content_performance", None),
-    ("analytics", "channel_performance", None),
-    ("analytics", "campaign_performance", None),
-    ("analytics", "company_revenue_analysis", None),
-    ("analytics", "monthly_revenue_customer_growth", None),
-)
+LAYER_OF = {
+    "stg": "staging",
+    "int": "intermediate",
+    "dim": "marts",
+    "fct": "marts",
+}
+
+# Tables written partitioned, and by which column.
+PARTITIONED = {"fct_attributed_revenue": "revenue_date_key"}
 
 # (layer, table, DataFrame, partition column) -> stored DataFrame
 Sink = Callable[[str, str, DataFrame, str | None], DataFrame]
@@ -47,7 +36,7 @@ PORTFOLIO = "portfolio"
 
 def scratch_sink(layer: str, name: str, df: DataFrame, partition_by: str | None) -> DataFrame:
     """Store in the session's shared scratch folder."""
-    return store.materialize(df, f"{layer}.{name}")
+    return store.materialize(df, name)
 
 
 def catalog_sink(layer: str, name: str, df: DataFrame, partition_by: str | None) -> DataFrame:
@@ -56,52 +45,55 @@ def catalog_sink(layer: str, name: str, df: DataFrame, partition_by: str | None)
     return store.read_table(df.sparkSession, layer, name).select(*df.columns)
 
 
-def build_models(models: Models, sink: Sink = scratch_sink) -> dict[str, DataFrame]:
+def layer_of(table: str) -> str:
+    return LAYER_OF.get(table.split("_")[0], "analytics")
+
+
+def storing_models(raw: Mapping[str, DataFrame], sink: Sink = scratch_sink) -> Models:
+    """Models whose tables are stored by the sink when first needed."""
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return sink(layer_of(name), name, df, PARTITIONED.get(name))
+
+    return Models(raw, keep)
+
+
+def build_models(raw: Mapping[str, DataFrame], sink: Sink = scratch_sink) -> dict[str, DataFrame]:
     """Store all 17 model tables; every table is computed from stored inputs."""
-    stored: dict[str, DataFrame] = {}
-    for layer, name, partition_by in MODEL_TABLES:
-        if name == "company_revenue_analysis":
-            metrics = summaries.company_metrics(models.cells)
-            models.company_metrics = sink("analytics", "company_metrics", metrics, None)
-        table = sink(layer, name, getattr(models, name), partition_by)
-        stored[name] = table
-        # Replace the lazy table, so that later tables read the stored one.
-        setattr(models, name, table)
-        if name == "fct_attributed_revenue":
-            models.cells = attribution.as_cells(table)
-    return stored
-
-
-def channel_panel(tables: dict[str, DataFrame], config: AnomalyConfig = ANOMALY) -> DataFrame:
+    models = storing_models(raw, sink)
+    return {name: getattr(models, name) for name in TABLES}
+
+
+def channel_panel(tables: Models, config: AnomalyConfig = ANOMALY) -> DataFrame:
     """Dense month x channel panel of last-touch revenue from stored tables."""
     revenue = anomalies.monthly_channel_revenue(
-        attribution.as_cells(tables["fct_attributed_revenue"]), tables["dim_time"], config
+        attribution.as_cells(tables.fct_attributed_revenue), tables.dim_time, config
     )
     return anomalies.dense_panel(
-        tables["monthly_revenue_customer_growth"], tables["channel_performance"], revenue, config
+        tables.monthly_revenue_customer_growth, tables.channel_performance, revenue, config
     )
 
 
-def portfolio_series(tables: dict[str, DataFrame]) -> DataFrame:
+def portfolio_series(tables: Models) -> DataFrame:
     """The portfolio's monthly revenue as one series."""
-    history = tables["monthly_revenue_customer_growth"].select(
+    history = tables.monthly_revenue_customer_growth.select(
         F.lit(PORTFOLIO).alias("key"), "month_start_date", "total_revenue"
     )
     return holt.build_series(history, "key", "month_start_date", "total_revenue")
 
 
-def channel_series(tables: dict[str, DataFrame]) -> DataFrame:
+def channel_series(tables: Models) -> DataFrame:
     """One series per channel, from the dense panel."""
     return holt.build_series(
         channel_panel(tables), "channel", "month_start_date", "monthly_revenue"
     )
 
 
-def company_series(tables: dict[str, DataFrame]) -> DataFrame:
+def company_series(tables: Models) -> DataFrame:
     """One series per company; a company with a missing month is reported as irregular."""
     month = F.to_date(F.col("revenue_date_key").cast("string"), "yyyyMMdd")
     history = (
-        tables["fct_attributed_revenue"]
+        tables.fct_attributed_revenue
         .where(F.col("company_id").isNotNull() & F.col("revenue_date_key").isNotNull())
         .groupBy("company_id", "revenue_date_key")
         .agg(F.sum("revenue_amount").alias("revenue"))
@@ -111,7 +103,7 @@ def company_series(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def store_anomalies(
-    tables: dict[str, DataFrame], sink: Sink = scratch_sink, config: AnomalyConfig = ANOMALY
+    tables: Models, sink: Sink = scratch_sink, config: AnomalyConfig = ANOMALY
 ) -> DataFrame:
     panel = channel_panel(tables, config)
     scored = anomalies.channel_anomalies(panel, config)
@@ -119,7 +111,7 @@ def store_anomalies(
 
 
 def store_forecast(
-    tables: dict[str, DataFrame], sink: Sink = scratch_sink, config: ForecastConfig = FORECAST
+    tables: Models, sink: Sink = scratch_sink, config: ForecastConfig = FORECAST
 ) -> dict[str, DataFrame]:
     """Forecast, metrics and in-sample comparison of the portfolio series.
 
@@ -172,7 +164,7 @@ def run(
     counts = ingest(spark, data_dir, raw_root)
     raw = store.read_published(spark, raw_root, list(counts))
     validate(spark, raw)
-    tables = build_models(Models(raw), sink)
-    tables["channel_revenue_anomalies"] = store_anomalies(tables, sink)
-    tables |= store_forecast(tables, sink)
-    return tables
+    models = storing_models(raw, sink)
+    tables = {name: getattr(models, name) for name in TABLES}
+    tables["channel_revenue_anomalies"] = store_anomalies(models, sink)
+    return tables | store_forecast(models, sink)

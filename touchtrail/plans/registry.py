@@ -1,8 +1,10 @@
 """Registered queries: name -> callable(spark, sf_dir).
 
-Model tables are planned lazily from the test tables. Reads that work on stored
-tables (scoring, forecasting, drill-downs, reports over all layers) use one
-stored build per session and data folder, as a dashboard would.
+A model query plans its table over the stored tables it depends on, as the batch
+pipeline does; reads (scoring, forecasts, drill-downs, reports) scan stored
+tables. A stored table is built from the test tables when a query first needs it,
+once per session and data folder. ``touch_revenue_by_channel`` runs end to end as
+one lazy plan.
 
 Results are made comparable with other engines: decimals as doubles, dates as
 ISO text, unrounded doubles rounded.
@@ -27,7 +29,7 @@ from touchtrail.operators import (
     reconciliation,
 )
 from touchtrail.plans import pipeline
-from touchtrail.plans.models import Models
+from touchtrail.plans.models import TABLES, Models
 from touchtrail.sources.derived import raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,23 +40,29 @@ CHANNELS = ("youtube", "twitter", "organic")
 
 FIXED_ALPHA, FIXED_BETA = 0.5, 0.2
 
-_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STORED: dict[tuple[str, str], Models] = {}
 
 
-def models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(raw_tables(spark, sf_dir))
-
-
-def stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Stored model tables and anomalies, built once per session and data folder."""
+def stored(spark: SparkSession, sf_dir: str) -> Models:
+    """Models of the test tables that store each table when it is first needed."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
-        tables = pipeline.build_models(models(spark, sf_dir))
-        tables["channel_revenue_anomalies"] = pipeline.store_anomalies(tables)
-        _STORED[key] = tables
+        _STORED[key] = pipeline.storing_models(raw_tables(spark, sf_dir))
     return _STORED[key]
 
 
+def stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = stored(spark, sf_dir)
+    if "channel_revenue_anomalies" not in vars(tables):
+        tables.channel_revenue_anomalies = pipeline.store_anomalies(tables)
+    return tables.channel_revenue_anomalies
+
+
+def all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tables = stored(spark, sf_dir)
+    return {name: getattr(tables, name) for name in TABLES}
+
+
 def comparable(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
     digits = digits or {}
     columns = []
@@ -94,7 +102,7 @@ MODEL_QUERIES = {
 
 
 def _model_query(attribute: str) -> Query:
-    return lambda spark, sf_dir: comparable(getattr(models(spark, sf_dir), attribute))
+    return lambda spark, sf_dir: comparable(stored(spark, sf_dir).plan(attribute))
 
 
 # -- touch revenue -------------------------------------------------------------------
@@ -102,7 +110,7 @@ def _model_query(attribute: str) -> Query:
 
 def touch_revenue_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue, customers and records per channel under both touch models."""
-    cells = models(spark, sf_dir).cells
+    cells = Models(raw_tables(spark, sf_dir)).cells
     return comparable(
         facts.touch_totals(cells, "first_touch_channel", "last_touch_channel", "channel_key")
     )
@@ -125,24 +133,24 @@ def quality_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content slugs without a campaign of that slug."""
-    m = models(spark, sf_dir)
+    m = stored(spark, sf_dir)
     content = m.stg_content_performance.select(F.col("utm_campaign").alias("campaign_slug"))
     return quality.orphan_keys(content, m.stg_campaign_metadata, "campaign_slug")
 
 
 def quality_generic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contracts.contract_report(stored(spark, sf_dir))
+    return contracts.contract_report(all_tables(spark, sf_dir))
 
 
 def conservation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(
-        reconciliation.conservation_report(stored(spark, sf_dir)),
+        reconciliation.conservation_report(all_tables(spark, sf_dir)),
         {"expected_value": 2, "actual_value": 2},
     )
 
 
 def nonnegative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconciliation.nonnegative_report(stored(spark, sf_dir))
+    return reconciliation.nonnegative_report(all_tables(spark, sf_dir))
 
 
 # -- anomalies -------------------------------------------------------------------------
@@ -175,14 +183,14 @@ def channel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def anomaly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     return anomalies.anomaly_summary(
-        pipeline.channel_panel(tables), tables["channel_revenue_anomalies"]
+        pipeline.channel_panel(tables), stored_anomalies(spark, sf_dir)
     )
 
 
 def _named_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     return drilldown.named_anomalies(
-        tables["channel_revenue_anomalies"], tables["channel_performance"]
+        stored_anomalies(spark, sf_dir), tables.channel_performance
     )
 
 
@@ -255,7 +263,7 @@ def history_plus_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed months of the selection and the portfolio forecast."""
     tables = stored(spark, sf_dir)
     monthly = drilldown.monthly_revenue(
-        tables["monthly_revenue_customer_growth"], _detail(tables), COMPANIES, CHANNELS
+        tables.monthly_revenue_customer_growth, _detail(tables), COMPANIES, CHANNELS
     )
     return comparable(
         drilldown.history_plus_forecast(monthly, _portfolio_forecast(spark, sf_dir)),
@@ -266,16 +274,16 @@ def history_plus_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- drill-downs -----------------------------------------------------------------------
 
 
-def _detail(tables: dict[str, DataFrame]) -> DataFrame:
+def _detail(tables: Models) -> DataFrame:
     return drilldown.revenue_detail(
-        tables["fct_attributed_revenue"], tables["dim_company"], tables["dim_time"]
+        tables.fct_attributed_revenue, tables.dim_company, tables.dim_time
     )
 
 
 def filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     options = drilldown.filter_options(
-        tables["company_revenue_analysis"], tables["channel_performance"]
+        tables.company_revenue_analysis, tables.channel_performance
     )
     return drilldown.ordered(options, "name")
 
@@ -287,27 +295,27 @@ def revenue_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def channel_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     rows = drilldown.channel_performance(
-        tables["channel_performance"], _detail(tables), COMPANIES, CHANNELS
+        tables.channel_performance, _detail(tables), COMPANIES, CHANNELS
     )
     return comparable(drilldown.ordered(rows, "last_touch_revenue", descending=True))
 
 
 def campaigns_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = drilldown.campaign_performance(
-        stored(spark, sf_dir)["campaign_performance"], COMPANIES, CHANNELS
+        stored(spark, sf_dir).campaign_performance, COMPANIES, CHANNELS
     )
     return comparable(rows)
 
 
 def company_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = drilldown.company_analysis(stored(spark, sf_dir)["company_revenue_analysis"], COMPANIES)
+    rows = drilldown.company_analysis(stored(spark, sf_dir).company_revenue_analysis, COMPANIES)
     return comparable(drilldown.ordered(rows, "total_revenue", descending=True))
 
 
 def monthly_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     rows = drilldown.monthly_revenue(
-        tables["monthly_revenue_customer_growth"], _detail(tables), COMPANIES, CHANNELS
+        tables.monthly_revenue_customer_growth, _detail(tables), COMPANIES, CHANNELS
     )
     return comparable(drilldown.ordered(rows, "month"))
 
@@ -316,7 +324,7 @@ def kpi_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     return comparable(
         drilldown.kpi_overview(
-            _detail(tables), tables["campaign_performance"], tables["channel_performance"],
+            _detail(tables), tables.campaign_performance, tables.channel_performance,
             _portfolio_forecast(spark, sf_dir), COMPANIES, CHANNELS,
         ),
         {"total_revenue": 2},
@@ -326,7 +334,7 @@ def kpi_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attribution_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     rows = drilldown.channel_performance(
-        tables["channel_performance"], _detail(tables), COMPANIES
+        tables.channel_performance, _detail(tables), COMPANIES
     )
     compared = drilldown.attribution_comparison(rows)
     return comparable(
@@ -335,15 +343,15 @@ def attribution_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attribution_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(drilldown.attribution_long(stored(spark, sf_dir)["channel_performance"]))
+    return comparable(drilldown.attribution_long(stored(spark, sf_dir).channel_performance))
 
 
 def top_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(drilldown.top_campaigns(stored(spark, sf_dir)["campaign_performance"]))
+    return comparable(drilldown.top_campaigns(stored(spark, sf_dir).campaign_performance))
 
 
 def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = drilldown.with_defined_ctr(stored(spark, sf_dir)["channel_performance"])
+    rows = drilldown.with_defined_ctr(stored(spark, sf_dir).channel_performance)
     shown = rows.select("channel_name", "click_through_rate", "campaign_budget_usd")
     return drilldown.formatted(shown, ["campaign_budget_usd"], ["click_through_rate"])
 

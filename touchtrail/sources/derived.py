@@ -8,6 +8,8 @@ cleaning operators have work to do.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,16 @@ RAW_TOUCH = ("youtube", "twitter/x", "Instagram", "newsletter", "podcast", "blog
 RAW_REFERRAL = ("direct", "word_of_mouth", "", "Referral")
 RAW_MEDIUM = ("social", "Email", "organic", "paid", "referral", "")
 
+# Columns read from the test tables; a declared schema needs no inference job.
+TEST_SCHEMAS = {
+    "part": "p_partkey bigint, p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_discount double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int",
+}
+
 CAMPAIGN_USERS = 10  # customers per campaign
 CAMPAIGN_DAYS = 365
 
@@ -32,7 +44,8 @@ def _company(key: Column) -> Column:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(TEST_SCHEMAS[name]).parquet(path)
 
 
 def campaign_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,10 +119,32 @@ def user_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "campaign_metadata": campaign_metadata(spark, sf_dir),
-        "content_performance": content_performance(spark, sf_dir),
-        "portfolio_revenue": portfolio_revenue(spark, sf_dir),
-        "user_signups": user_signups(spark, sf_dir),
-    }
+_DERIVERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "campaign_metadata": campaign_metadata,
+    "content_performance": content_performance,
+    "portfolio_revenue": portfolio_revenue,
+    "user_signups": user_signups,
+}
+
+
+class RawTables(Mapping[str, DataFrame]):
+    """The derived raw tables by name; each is planned when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            self._planned[name] = _DERIVERS[name](self._spark, self._sf_dir)
+        return self._planned[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_DERIVERS)
+
+    def __len__(self) -> int:
+        return len(_DERIVERS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(spark, sf_dir)
