@@ -26,6 +26,14 @@ def lookup(key: Column | str, table: dict[str, str], default: Column | None = No
     return result.otherwise(default) if default is not None else result
 
 
+def sql_text(value: object) -> str:
+    """SQL literal of a text, number or boolean, for generated expressions."""
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value).lower()
+
+
 # -- cleaning ------------------------------------------------------------------
 
 

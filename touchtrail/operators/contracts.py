@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchtrail.config import (
@@ -23,6 +23,7 @@ from touchtrail.config import (
     TOUCH_CHANNELS,
     UNKNOWN,
 )
+from touchtrail.functions.columns import sql_text
 
 
 @dataclass(frozen=True)
@@ -233,27 +234,27 @@ def constraint_names(tables: Mapping[str, DataFrame | list[str]], contracts=CONT
     return names
 
 
-def _missing_values(table: str, df: DataFrame, contract: Contract) -> DataFrame:
-    required = [c for c in df.columns if c not in contract.optional]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
-    rows = [
-        F.struct(F.lit(f"not_null:{table}.{c}").alias("constraint_name"), F.col(c).alias("failures"))
-        for c in required
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+# Expressions below are generated as SQL text: one call per table, not one per rule.
 
 
-def _tagged(name: str, value: Column) -> Column:
-    return F.struct(F.lit(name).alias("constraint_name"), value.cast("string").alias("value"))
+def _missing_values(table: str, df: DataFrame, contract: Contract) -> DataFrame:
+    required = [c for c in df.columns if c not in contract.optional]
+    counts = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS `{c}`" for c in required])
+    rows = ", ".join(f"{sql_text(f'not_null:{table}.{c}')}, `{c}`" for c in required)
+    return counts.selectExpr(f"stack({len(required)}, {rows}) AS (constraint_name, failures)")
 
 
 def _checked_values(table: str, df: DataFrame, contract: Contract) -> DataFrame:
     """(constraint, value) pairs: all values of unique columns, unlisted values otherwise."""
-    entries = [_tagged(f"unique:{table}.{c}", F.col(c)) for c in contract.unique]
+    entries = [
+        f"{sql_text(f'unique:{table}.{c}')}, CAST(`{c}` AS STRING)" for c in contract.unique
+    ]
     for c, vocabulary in contract.accepted.items():
-        unlisted = F.when(~F.col(c).isin(*vocabulary), F.col(c))
-        entries.append(_tagged(f"accepted:{table}.{c}", unlisted))
-    return df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+        listed = ", ".join(sql_text(v) for v in vocabulary)
+        unlisted = f"CASE WHEN `{c}` NOT IN ({listed}) THEN CAST(`{c}` AS STRING) END"
+        entries.append(f"{sql_text(f'accepted:{table}.{c}')}, {unlisted}")
+    pairs = f"stack({len(entries)}, {', '.join(entries)}) AS (constraint_name, value)"
+    return df.selectExpr(pairs).where("value IS NOT NULL")
 
 
 def _value_failures(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
@@ -280,17 +281,13 @@ def _reference_failures(
         entries = []
         for column, parent, parent_column in contract.references:
             target = f"{parent}.{parent_column}"
-            parents[target] = tables[parent].select(
-                F.lit(target).alias("target"), F.col(parent_column).cast("string").alias("value")
+            parents[target] = tables[parent].selectExpr(
+                f"{sql_text(target)} AS target", f"CAST(`{parent_column}` AS STRING) AS value"
             )
-            entries.append(
-                F.struct(
-                    F.lit(f"reference:{table}.{column}->{target}").alias("constraint_name"),
-                    F.lit(target).alias("target"),
-                    F.col(column).cast("string").alias("value"),
-                )
-            )
-        children.append(tables[table].select(F.inline(F.array(*entries))))
+            name = f"reference:{table}.{column}->{target}"
+            entries.append(f"{sql_text(name)}, {sql_text(target)}, CAST(`{column}` AS STRING)")
+        triples = f"stack({len(entries)}, {', '.join(entries)}) AS (constraint_name, target, value)"
+        children.append(tables[table].selectExpr(triples))
     counted = (
         reduce(DataFrame.unionByName, children)
         .where(F.col("value").isNotNull())
@@ -312,9 +309,8 @@ def contract_report(
     values for unique and accepted."""
     spark = next(iter(tables.values())).sparkSession
     names = constraint_names(tables, contracts)
-    all_names = spark.range(1).select(
-        F.explode(F.array(*[F.lit(n) for n in names])).alias("constraint_name")
-    )
+    listed = ", ".join(sql_text(n) for n in names)
+    all_names = spark.range(1).selectExpr(f"explode(array({listed})) AS constraint_name")
     found = reduce(
         DataFrame.unionByName,
         [

@@ -14,7 +14,7 @@ from touchtrail.functions.columns import (
     safe_ratio,
     zero_if_null,
 )
-from touchtrail.operators.skew import lookup_join
+from touchtrail.operators.skew import is_small, lookup_join
 
 
 def fct_attributed_revenue(attributed: DataFrame) -> DataFrame:
@@ -105,15 +105,21 @@ def fct_content_performance(
 ) -> DataFrame:
     """Content count, views, clicks and CTR per month, channel and matched campaign.
 
-    Content is summed per channel, slug and day before campaigns are matched: a
-    hot slug shrinks to one row per channel and day, and the match needs nothing
-    finer.
+    With few campaigns each content row is matched where it is. With many, content
+    is first summed per channel, slug and day, all the match needs: a hot slug then
+    shrinks to one row per channel and day before anything is shuffled by slug.
     """
-    daily = content.groupBy("channel", "utm_campaign", "publish_date").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.sum("views").alias("views"),
-        F.sum("clicks").alias("clicks"),
+    small = is_small(campaigns, config)
+    items = content.select(
+        "channel", "utm_campaign", "publish_date", F.lit(1).cast("bigint").alias("items"),
+        "views", "clicks",
     )
+    if not small:
+        items = items.groupBy("channel", "utm_campaign", "publish_date").agg(
+            F.sum("items").alias("items"),
+            F.sum("views").alias("views"),
+            F.sum("clicks").alias("clicks"),
+        )
     found = campaigns.where(F.col("campaign_slug").isNotNull() & F.col("channel").isNotNull()).select(
         F.col("campaign_slug").alias("utm_campaign"),
         "channel",
@@ -122,13 +128,14 @@ def fct_content_performance(
         F.col("end_date").alias("_to"),
     )
     matched = lookup_join(
-        daily,
+        items,
         found,
         ["utm_campaign", "channel"],
         ["publish_date"],
         "left",
         lambda left, right: left["publish_date"].between(right["_from"], right["_to"]),
         config,
+        small,
     )
     month = F.col("publish_month")
     grouped = (

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchtrail.config import COMPANY_DESCRIPTORS, UNCOMPARED_REFERRALS
-from touchtrail.functions.columns import is_blank, safe_date, safe_month
+from touchtrail.functions.columns import is_blank, safe_date, safe_month, sql_text
 from touchtrail.functions.text import count_text
 from touchtrail.sources.schemas import RAW_SCHEMAS
 
@@ -201,19 +201,20 @@ def row_rules(companies: tuple[str, ...] = tuple(COMPANY_DESCRIPTORS)) -> list[R
 # -- counting --------------------------------------------------------------------
 
 
-def _finding(name: str, severity: str, good: str, bad: str, count: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"), F.lit(severity).alias("severity"),
-        F.lit(good).alias("good"), F.lit(bad).alias("bad"),
-        F.coalesce(count, F.lit(0)).cast("bigint").alias("issue_count"),
+def _findings(counts: DataFrame, described: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Turn one row with a count per check name into one row per check."""
+    rows = ", ".join(
+        ", ".join([*map(sql_text, (name, severity, good, bad)), f"coalesce(`{name}`, 0L)"])
+        for name, severity, good, bad in described
     )
+    columns = "check_name, severity, good, bad, issue_count"
+    return counts.selectExpr(f"stack({len(described)}, {rows}) AS ({columns})")
 
 
 def count_rules(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     """All rules of one table in one pass: one output row per rule."""
     counts = df.agg(*[F.count_if(r.offends).alias(r.name) for r in rules])
-    findings = [_finding(r.name, r.severity, r.good, r.bad, F.col(r.name)) for r in rules]
-    return counts.select(F.inline(F.array(*findings)))
+    return _findings(counts, [(r.name, r.severity, r.good, r.bad) for r in rules])
 
 
 def duplicated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -223,11 +224,10 @@ def duplicated_keys(df: DataFrame, key: str) -> DataFrame:
 
 def _duplicate_finding(df: DataFrame, table: str) -> DataFrame:
     key = PRIMARY_KEYS[table]
-    n = duplicated_keys(df, key).agg(F.count(F.lit(1)).alias("n"))
-    return n.select(F.inline(F.array(_finding(
-        f"duplicate_primary_key_{table}", FAIL,
-        f"{_full(table, key)} is unique", f"{_full(table, key)} contains duplicate keys", F.col("n"),
-    ))))
+    name = f"duplicate_primary_key_{table}"
+    good, bad = f"{_full(table, key)} is unique", f"{_full(table, key)} contains duplicate keys"
+    count = duplicated_keys(df, key).agg(F.count(F.lit(1)).alias(name))
+    return _findings(count, [(name, FAIL, good, bad)])
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -240,12 +240,10 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def _orphan_finding(revenue: DataFrame, signups: DataFrame) -> DataFrame:
-    n = orphan_keys(revenue, signups, "user_id").agg(F.sum("rows").alias("n"))
-    return n.select(F.inline(F.array(_finding(
-        "revenue_user_exists", FAIL,
-        "Every revenue user_id exists in raw.user_signups",
-        "Revenue rows reference an unknown user_id", F.col("n"),
-    ))))
+    name = "revenue_user_exists"
+    count = orphan_keys(revenue, signups, "user_id").agg(F.sum("rows").alias(name))
+    good = "Every revenue user_id exists in raw.user_signups"
+    return _findings(count, [(name, FAIL, good, "Revenue rows reference an unknown user_id")])
 
 
 def value_findings(raw: Mapping[str, DataFrame]) -> DataFrame:
@@ -309,13 +307,14 @@ def _schema_results(table: str, df: DataFrame | None) -> list[tuple[str, str, st
 def schema_report(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
     """Table, column and type checks; reads only the declared schemas."""
     results = [r for table in RAW_SCHEMAS for r in _schema_results(table, raw.get(table))]
-    rows = [
-        F.struct(F.lit(name).alias("check_name"), F.lit(status).alias("status"),
-                 F.lit(0 if status == PASS else 1).cast("bigint").alias("issue_count"),
-                 F.lit(message).alias("message"))
-        for name, status, message in results
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        ", ".join(map(sql_text, (name, status, message))) for name, status, message in results
+    )
+    listed = spark.range(1).selectExpr(
+        f"stack({len(results)}, {rows}) AS (check_name, status, message)"
+    )
+    issues = F.when(F.col("status") == PASS, 0).otherwise(1).cast("bigint")
+    return listed.select("check_name", "status", issues.alias("issue_count"), "message")
 
 
 def raw_report(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
