@@ -105,7 +105,8 @@ def company_series(tables: Models) -> DataFrame:
 def store_anomalies(
     tables: Models, sink: Sink = scratch_sink, config: AnomalyConfig = ANOMALY
 ) -> DataFrame:
-    panel = channel_panel(tables, config)
+    # Ranking reads the scored rows three times: store the small panel, not rescan the fact.
+    panel = store.materialize(channel_panel(tables, config), "channel_month_panel")
     scored = anomalies.channel_anomalies(panel, config)
     return sink("anomaly", "channel_revenue_anomalies", scored, None)
 

@@ -31,6 +31,7 @@ from touchtrail.operators import (
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
 from touchtrail.sources.derived import raw_tables
+from touchtrail.sources.store import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,7 +177,7 @@ def rolling_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = pipeline.channel_panel(stored(spark, sf_dir))
+    panel = materialize(pipeline.channel_panel(stored(spark, sf_dir)), "channel_month_panel")
     return comparable(anomalies.channel_anomalies(panel), ANOMALY_DIGITS)
 
 
