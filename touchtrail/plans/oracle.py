@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from touchtrail.config import ANOMALY, CHANNEL_DESCRIPTORS, COMPANY_DESCRIPTORS
+from touchtrail.config import ANOMALY, CHANNEL_DESCRIPTORS, COMPANY_DESCRIPTORS, FORECAST
 from touchtrail.operators.contracts import CONTRACTS
 from touchtrail.operators.reconciliation import ANALYTICS_TOTALS, NONNEGATIVE
 from touchtrail.plans.registry import CHANNELS, COMPANIES, FIXED_ALPHA, FIXED_BETA
@@ -499,10 +499,14 @@ RELATIONS["series"] = """
             GROUP BY 1, 2"""
 
 RELATIONS["numbered"] = """
-  SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY m) AS i FROM series
+  SELECT k, m, v, row_number() OVER (PARTITION BY k ORDER BY m) AS i FROM series
   WHERE k IN (SELECT k FROM series GROUP BY k
               HAVING count(*) >= 6 AND date_diff('month', min(m), max(m)) + 1 = count(*))"""
 
+RELATIONS["training"] = f"""
+  SELECT k, v, i FROM numbered
+  WHERE i <= (SELECT max(x.i) FROM numbered x WHERE x.k = numbered.k) - {FORECAST.holdout}"""
+
 _A, _B = f"{FIXED_ALPHA}::DOUBLE", f"{FIXED_BETA}::DOUBLE"
 
 
@@ -804,6 +808,129 @@ def _fixed_holt() -> str:
     FROM state WHERE (k, i) IN (SELECT k, max(i) FROM numbered GROUP BY k)"""
 
 
+# -- parameter search -------------------------------------------------------------------
+
+
+def _double(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _search(source: str, tag: str) -> str:
+    """CTEs ending in ``{tag}_best``: the grid search as recursive runs over all candidates."""
+    steps, half = FORECAST.grid_steps, FORECAST.zoom_half_width
+    parts = [f"""{tag}_grid0 AS (
+      SELECT k, CAST(a AS DOUBLE) / {steps} AS alpha, CAST(b AS DOUBLE) / {steps} AS beta
+      FROM (SELECT DISTINCT k FROM {source}), range({steps + 1}) x(a), range({steps + 1}) y(b)
+      WHERE b <= a)"""]
+    step = 1.0 / steps
+    for i in range(FORECAST.zoom_rounds + 1):
+        if i:
+            step /= half
+            parts.append(f"""{tag}_grid{i} AS (
+              SELECT k, na AS alpha, least(greatest(beta + b * {_double(step)}, 0), na) AS beta
+              FROM (SELECT k, beta, least(greatest(alpha + a * {_double(step)}, 0), 1) AS na
+                    FROM {tag}_best{i - 1}, range(-{half}, {half + 1}) x(a)),
+                   range(-{half}, {half + 1}) y(b))""")
+        parts.append(f"""{tag}_run{i} AS (
+          SELECT k, alpha, beta, CAST(0 AS BIGINT) AS i,
+                 {", ".join(f"CAST({x} AS DOUBLE) AS {n}" for n, x in (
+                     ("l", 0), ("b", 0), ("lu", 1), ("bu", 0), ("lv", 0), ("bv", 1),
+                     ("ee", 0), ("eu", 0), ("ev", 0), ("uu", 0), ("uv", 0), ("vv", 0)))}
+          FROM {tag}_grid{i}
+          UNION ALL
+          SELECT k, alpha, beta, i, nl, beta * (nl - l) + (1 - beta) * b,
+                 nlu, beta * (nlu - lu) + (1 - beta) * bu, nlv, beta * (nlv - lv) + (1 - beta) * bv,
+                 ee + e * e, eu - e * pu, ev - e * pv, uu + pu * pu, uv + pu * pv, vv + pv * pv
+          FROM (SELECT r.* EXCLUDE (i), s.i, s.v - (r.l + r.b) AS e, r.lu + r.bu AS pu,
+                       r.lv + r.bv AS pv, r.alpha * s.v + (1 - r.alpha) * (r.l + r.b) AS nl,
+                       (1 - r.alpha) * (r.lu + r.bu) AS nlu, (1 - r.alpha) * (r.lv + r.bv) AS nlv
+                FROM {tag}_run{i} r JOIN {source} s ON s.k = r.k AND s.i = r.i + 1))""")
+        parts.append(f"""{tag}_best{i} AS (
+          SELECT k, alpha, beta, l0, b0, n, greatest(ee + 2 * (l0 * eu + b0 * ev) + l0 * l0 * uu
+                   + 2 * l0 * b0 * uv + b0 * b0 * vv, 0) AS sse
+          FROM (SELECT r.*, n, CASE WHEN flat THEN y1 ELSE (uv * ev - vv * eu) / det END AS l0,
+                       CASE WHEN flat THEN y2 - y1 ELSE (uv * eu - uu * ev) / det END AS b0
+                FROM (SELECT *, uu * vv - uv * uv AS det,
+                             uu * vv - uv * uv <= uu * vv * 1e-12 AS flat FROM {tag}_run{i}) r
+                JOIN (SELECT k, max(i) AS n, max(v) FILTER (WHERE i = 1) AS y1,
+                             max(v) FILTER (WHERE i = 2) AS y2 FROM {source} GROUP BY k) y
+                  ON y.k = r.k AND y.n = r.i)
+          QUALIFY row_number() OVER (PARTITION BY k ORDER BY sse, alpha, beta) = 1)""")
+    parts.append(f"""{tag}_smooth AS (
+      SELECT k, alpha, beta, CAST(0 AS BIGINT) AS i, l0 AS level, b0 AS trend,
+             CAST(NULL AS DOUBLE) AS p, CAST(NULL AS DOUBLE) AS v FROM {tag}_best{i}
+      UNION ALL
+      SELECT k, alpha, beta, i, nl, beta * (nl - level) + (1 - beta) * trend, p, v
+      FROM (SELECT r.k, r.alpha, r.beta, s.i, r.level, r.trend, s.v, r.level + r.trend AS p,
+                   r.alpha * s.v + (1 - r.alpha) * (r.level + r.trend) AS nl
+            FROM {tag}_smooth r JOIN {source} s ON s.k = r.k AND s.i = r.i + 1))""")
+    parts.append(f"""{tag}_end AS (
+      SELECT s.k, s.level, s.trend, e.spread, s.i AS n
+      FROM {tag}_smooth s
+      JOIN (SELECT k, max(i) AS n, coalesce(stddev_samp(v - p), 0) AS spread FROM {tag}_smooth
+            GROUP BY k) e ON e.k = s.k AND e.n = s.i)""")
+    return ",\n".join(parts)
+
+
+_LAST_ROUND = FORECAST.zoom_rounds
+
+
+def _fitted(body: str, *searches: tuple[str, str]) -> str:
+    return _with(body, ",\n".join(_search(source, tag) for source, tag in searches)) + body
+
+
+def _holt_fit() -> str:
+    return _fitted(f"""
+      SELECT k AS series_key, round(alpha, 6) AS alpha, round(beta, 6) AS beta, round(l0, 0) AS l0,
+             round(b0, 0) AS b0, round(sqrt(sse / n), 1) AS rmse FROM full_best{_LAST_ROUND}""",
+                   ("numbered", "full"))
+
+
+def _future(where: str = "true") -> str:
+    margin = f"{FORECAST.interval_z}::DOUBLE * e.spread"
+    return f"""
+      SELECT e.k AS series_key, CAST(CAST(x.m + to_months(CAST(h AS INTEGER)) AS DATE) AS VARCHAR) AS month,
+             round(round(e.level + h * e.trend, 2), 0) AS predicted_revenue,
+             round(round(e.level + h * e.trend - {margin}, 2), 0) AS lower_bound,
+             round(round(e.level + h * e.trend + {margin}, 2), 0) AS upper_bound,
+             '{FORECAST.model_name}' AS model_name
+      FROM full_end e JOIN numbered x ON x.k = e.k AND x.i = e.n, range(1, {FORECAST.horizon + 1}) f(h)
+      WHERE {where}"""
+
+
+def _holt_comparison() -> str:
+    return _fitted("""
+      SELECT x.k AS series_key, CAST(x.m AS VARCHAR) AS month, round(x.v, 2) AS actual_revenue,
+             round(round(s.p, 2), 0) AS predicted_revenue,
+             round(round(x.v - round(s.p, 2), 2), 0) AS prediction_error
+      FROM full_smooth s JOIN numbered x ON x.k = s.k AND x.i = s.i""", ("numbered", "full"))
+
+
+def _holt_holdout() -> str:
+    return _fitted(f"""
+      SELECT e.k AS series_key, '{FORECAST.model_name}' AS model_name, round(mae, 0) AS mae,
+             round(rmse, 0) AS rmse, round(1 - ss_res / ss_tot, 4) AS r2_score,
+             CAST(t.n AS INTEGER) AS train_months, CAST(held AS INTEGER) AS holdout_months,
+             round(e.spread, 0) AS residual_std, round(e.level, 0) AS intercept,
+             round(e.trend, 0) AS slope
+      FROM full_end e JOIN train_end t ON t.k = e.k
+      JOIN (SELECT x.k, count(*) AS held, avg(abs(x.v - (t.level + (x.i - t.n) * t.trend))) AS mae,
+                   sqrt(avg(pow(x.v - (t.level + (x.i - t.n) * t.trend), 2))) AS rmse,
+                   sum(pow(x.v - (t.level + (x.i - t.n) * t.trend), 2)) AS ss_res,
+                   var_pop(x.v) * count(*) AS ss_tot
+            FROM numbered x JOIN train_end t ON t.k = x.k AND x.i > t.n GROUP BY x.k) m
+        ON m.k = e.k""", ("numbered", "full"), ("training", "train"))
+
+
+def _history_plus_forecast() -> str:
+    return _fitted(f"""
+      SELECT CAST(revenue_month AS VARCHAR) AS month,
+             round(CAST(sum(revenue_amount) AS DOUBLE), 0) AS revenue, 'Historical' AS series
+      FROM chosen_detail GROUP BY revenue_month
+      UNION ALL SELECT month, predicted_revenue, 'Forecast' FROM ({_future("e.k = 'portfolio'")})""",
+                   ("numbered", "full"))
+
+
 _CAMPAIGN_MONEY = (
     "budget_usd first_touch_attributed_revenue last_touch_attributed_revenue "
     "attribution_revenue_difference"
@@ -885,6 +1012,11 @@ def oracle_sql() -> dict[str, str]:
                  count(DISTINCT month_start_date) AS scored_months,
                  count(*) FILTER (WHERE is_anomaly) AS anomalies FROM named_anomalies"""),
         "holt_fixed_params": _fixed_holt(),
+        "holt_fit": _holt_fit(),
+        "holt_forecast": _fitted(_future(), ("numbered", "full")),
+        "holt_holdout_metrics": _holt_holdout(),
+        "holt_comparison": _holt_comparison(),
+        "history_plus_forecast": _history_plus_forecast(),
         "filter_options": _select("""
           SELECT 'company' AS kind, company_id AS key, company_name AS name
           FROM company_revenue_analysis
