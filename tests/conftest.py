@@ -20,7 +20,8 @@ def local_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("touchtrail-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

@@ -181,3 +181,10 @@ def test_campaign_performance_drops_unknown_channels_and_dates(spark, cells, dat
     assert row["first_touch_cost_per_customer"] is None
     assert row["last_touch_cost_per_customer"] == 4.5
     assert row["attribution_revenue_difference"] == 3
+
+
+def test_summaries_are_the_same_when_lookups_are_too_large_to_broadcast(cells, dates):
+    shuffled = replace(SKEW, broadcast_rows=0, hot_share=0.1, salts=3)
+    small = summaries.monthly_revenue_customer_growth(cells, dates).collect()
+    large = summaries.monthly_revenue_customer_growth(cells, dates, shuffled).collect()
+    assert sorted(map(str, small)) == sorted(map(str, large))

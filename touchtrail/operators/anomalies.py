@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.config import ANOMALY, AnomalyConfig
 from touchtrail.functions.text import fixed, money, month_label, title_label
-from touchtrail.operators.dimensions import calendar
+from touchtrail.operators.dimensions import with_calendar
 
 PANEL_COLUMNS = ("month_start_date", "channel", "monthly_revenue")
 
@@ -21,10 +21,11 @@ def monthly_channel_revenue(
 ) -> DataFrame:
     """Last-touch revenue per month and channel, without the excluded channels."""
     channel = F.col("last_touch_channel")
-    months = calendar(dates, F.col("date_key").alias("revenue_date_key"), "month_start_date")
+    kept = cells.where(~_excluded(channel, config))
     return (
-        cells.where(~_excluded(channel, config))
-        .join(months, "revenue_date_key")
+        with_calendar(
+            kept, dates, "revenue_date_key", "user_id", month_start_date="month_start_date"
+        )
         .groupBy("month_start_date", channel.alias("channel"))
         .agg(F.sum("revenue_amount").cast("double").alias("monthly_revenue"))
     )

@@ -11,9 +11,12 @@ from touchtrail.config import (
     CHANNEL_DESCRIPTORS,
     COMPANY_DESCRIPTORS,
     OTHER_CHANNEL_GROUP,
+    SKEW,
     UNKNOWN,
+    SkewConfig,
 )
 from touchtrail.functions.columns import date_key, lookup, month_key, month_start
+from touchtrail.operators.skew import lookup_join
 
 
 def channel_name(key: Column) -> Column:
@@ -123,9 +126,22 @@ def dim_time(bounds: DataFrame) -> DataFrame:
     )
 
 
-def calendar(dim_time_table: DataFrame, *columns: str) -> DataFrame:
-    """Narrow calendar for broadcasting: bounded by the days a DATE can express."""
-    return F.broadcast(dim_time_table.select(*columns))
+def with_calendar(
+    df: DataFrame,
+    dates: DataFrame,
+    key: str,
+    spread_by: str,
+    config: SkewConfig = SKEW,
+    **columns: str,
+) -> DataFrame:
+    """Inner join on a date key; ``columns`` name the calendar columns to add.
+
+    A few dates may hold all rows, so the calendar is broadcast while it is small
+    (200,000 days are five centuries) and hot dates are split otherwise.
+    """
+    added = [F.col(source).alias(name) for name, source in columns.items()]
+    days = dates.select(F.col("date_key").alias(key), *added)
+    return lookup_join(df, days, [key], [spread_by], "inner", config=config)
 
 
 def dim_user_cohort(signups: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from touchtrail.config import SKEW, UNKNOWN, SkewConfig
 from touchtrail.functions.columns import ratio, zero_if_null
 from touchtrail.functions.text import money, percent
-from touchtrail.operators.dimensions import calendar
+from touchtrail.operators.dimensions import with_calendar
 from touchtrail.operators.facts import touch_totals
 from touchtrail.operators.skew import lookup_join
 
@@ -65,12 +65,11 @@ def revenue_detail(
 ) -> DataFrame:
     """Revenue records with company name and month; unknown companies or dates drop out."""
     names = companies.where(F.col("company_id").isNotNull()).select("company_id", "company_name")
-    days = calendar(dates, F.col("date_key").alias("revenue_date_key"),
-                    F.col("date_day").alias("revenue_month"))
-    named = lookup_join(
-        fact, names, ["company_id"], ["revenue_id"], "inner", config=config
+    named = lookup_join(fact, names, ["company_id"], ["revenue_id"], "inner", config=config)
+    dated = with_calendar(
+        named, dates, "revenue_date_key", "revenue_id", config, revenue_month="date_day"
     )
-    return named.join(days, "revenue_date_key").select(
+    return dated.select(
         "revenue_id",
         "user_id",
         "company_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.config import SKEW, SkewConfig
 from touchtrail.functions.columns import safe_ratio, zero_if_null
-from touchtrail.operators.dimensions import calendar
+from touchtrail.operators.dimensions import with_calendar
 from touchtrail.operators.facts import touch_totals
 from touchtrail.operators.skew import lookup_join
 
@@ -68,9 +68,10 @@ def campaign_performance(
     named = lookup_join(roi, names, ["channel"], ["campaign_id"], "inner", config=config)
     named = lookup_join(named, targets, ["target_company_id"], ["campaign_id"], config=config)
     for role in ("start", "end"):
-        days = calendar(dates, F.col("date_key").alias(f"{role}_date_key"),
-                        F.col("date_day").alias(f"{role}_date"))
-        named = named.join(days, f"{role}_date_key")
+        named = with_calendar(
+            named, dates, f"{role}_date_key", "campaign_id", config,
+            **{f"{role}_date": "date_day"},
+        )
     return named.select(
         "campaign_id",
         F.col("channel").alias("channel_key"),
@@ -164,18 +165,20 @@ def company_revenue_analysis(companies: DataFrame, metrics: DataFrame) -> DataFr
     )
 
 
-def monthly_metrics(cells: DataFrame, dates: DataFrame) -> DataFrame:
+def monthly_metrics(
+    cells: DataFrame, dates: DataFrame, config: SkewConfig = SKEW
+) -> DataFrame:
     """Revenue composition, active and new customers per calendar month.
 
     Counted per month and user first: a user is new in the month of their cohort.
     """
     amount = F.col("revenue_amount")
-    months = calendar(
-        dates, F.col("date_key").alias("revenue_date_key"), "month_key", "month_start_date"
+    dated = with_calendar(
+        cells, dates, "revenue_date_key", "user_id", config,
+        month_key="month_key", month_start_date="month_start_date",
     )
     per_user = (
-        cells.join(months, "revenue_date_key")
-        .groupBy("month_key", "month_start_date", "user_id")
+        dated.groupBy("month_key", "month_start_date", "user_id")
         .agg(
             F.min("revenue_date_key").alias("month_date_key"),
             F.sum(amount).alias("total_revenue"),
@@ -196,7 +199,9 @@ def monthly_metrics(cells: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue_customer_growth(cells: DataFrame, dates: DataFrame) -> DataFrame:
+def monthly_revenue_customer_growth(
+    cells: DataFrame, dates: DataFrame, config: SkewConfig = SKEW
+) -> DataFrame:
     """Monthly metrics with change against the previous observed month.
 
     The window has no partition: its input is one row per calendar month.
@@ -204,7 +209,7 @@ def monthly_revenue_customer_growth(cells: DataFrame, dates: DataFrame) -> DataF
     order = Window.orderBy("month_key")
     total, active = F.col("total_revenue"), F.col("active_customers")
     prior_total, prior_active = F.col("_prior_total"), F.col("_prior_active")
-    with_prior = monthly_metrics(cells, dates).select(
+    with_prior = monthly_metrics(cells, dates, config).select(
         "*",
         F.lag("total_revenue").over(order).alias("_prior_total"),
         F.lag("active_customers").over(order).alias("_prior_active"),
