@@ -136,7 +136,7 @@ def rank_anomalies(scored: DataFrame) -> DataFrame:
 
 
 def explanation(config: AnomalyConfig = ANOMALY) -> Column:
-    """One sentence per scored month."""
+    """One sentence per scored month; its wording is a fixed value."""
     months = config.window
     label = title_label(F.col("channel"))
     month = month_label(F.col("month_start_date"))

@@ -14,7 +14,7 @@ from touchtrail.functions.columns import (
     safe_ratio,
     zero_if_null,
 )
-from touchtrail.operators.skew import is_small, lookup_join
+from touchtrail.operators.skew import is_small, plain_join
 
 
 def fct_attributed_revenue(attributed: DataFrame) -> DataFrame:
@@ -106,20 +106,14 @@ def fct_content_performance(
     """Content count, views, clicks and CTR per month, channel and matched campaign.
 
     With few campaigns each content row is matched where it is. With many, content
-    is first summed per channel, slug and day, all the match needs: a hot slug then
-    shrinks to one row per channel and day before anything is shuffled by slug.
+    is first summed per channel, slug and day, all the match needs: a join key (slug
+    and channel) then has one row per day, so none can be hot in the shuffle join.
     """
     small = is_small(campaigns, config)
     items = content.select(
         "channel", "utm_campaign", "publish_date", F.lit(1).cast("bigint").alias("items"),
         "views", "clicks",
     )
-    if not small:
-        items = items.groupBy("channel", "utm_campaign", "publish_date").agg(
-            F.sum("items").alias("items"),
-            F.sum("views").alias("views"),
-            F.sum("clicks").alias("clicks"),
-        )
     found = campaigns.where(F.col("campaign_slug").isNotNull() & F.col("channel").isNotNull()).select(
         F.col("campaign_slug").alias("utm_campaign"),
         "channel",
@@ -127,15 +121,20 @@ def fct_content_performance(
         F.col("start_date").alias("_from"),
         F.col("end_date").alias("_to"),
     )
-    matched = lookup_join(
+    if small:
+        found = F.broadcast(found)
+    else:
+        items = items.groupBy("channel", "utm_campaign", "publish_date").agg(
+            F.sum("items").alias("items"),
+            F.sum("views").alias("views"),
+            F.sum("clicks").alias("clicks"),
+        )
+    matched = plain_join(
         items,
         found,
         ["utm_campaign", "channel"],
-        ["publish_date"],
         "left",
         lambda left, right: left["publish_date"].between(right["_from"], right["_to"]),
-        config,
-        small,
     )
     month = F.col("publish_month")
     grouped = (

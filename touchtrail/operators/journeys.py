@@ -79,8 +79,10 @@ def match_campaigns(
     for touch in TOUCHES:
         channel = f"{touch}_resolved_channel"
         found = _campaign_lookup(campaigns, channel, f"{touch}_campaign_id")
+        # Hot keys are counted before the first match, not through it.
         matched = lookup_join(
-            matched, found, ["utm_campaign", channel], ["user_id"], "left", fits, config, small
+            matched, found, ["utm_campaign", channel], ["user_id"], "left", fits, config, small,
+            keys_from=touches,
         ).drop("_from", "_to", "_target")
     return matched
 

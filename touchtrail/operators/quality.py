@@ -20,6 +20,9 @@ from touchtrail.functions.columns import is_blank, safe_date, safe_month, sql_te
 from touchtrail.functions.text import count_text
 from touchtrail.sources.schemas import RAW_SCHEMAS
 
+# Check names, severities and message texts in this module are fixed values: reports and
+# logs are compared by them.
+
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 
 PRIMARY_KEYS = {

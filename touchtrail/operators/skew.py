@@ -55,13 +55,17 @@ def salted_join(
     how: str = "left",
     residual: Residual | None = None,
     config: SkewConfig = SKEW,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join on ``keys`` (same names on both sides) with hot keys split.
 
     ``spread_by`` names left columns that differ between rows of a hot key. The
-    right side's key columns are dropped from the result.
+    right side's key columns are dropped from the result. ``keys_from`` is a frame
+    with the same keys as ``left`` that is cheaper to count; which keys count as
+    hot only steers the spreading, never the result.
     """
-    hot = F.broadcast(hot_keys(left, keys, config).withColumn("_hot", F.lit(True)))
+    counted = left if keys_from is None else keys_from
+    hot = F.broadcast(hot_keys(counted, keys, config).withColumn("_hot", F.lit(True)))
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
@@ -77,12 +81,13 @@ def salted_join(
     salted_right = (
         right.join(hot, list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     )
-    return _join(salted_left, salted_right, [*keys, "_salt"], how, residual)
+    return plain_join(salted_left, salted_right, [*keys, "_salt"], how, residual)
 
 
-def _join(
+def plain_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, residual: Residual | None
 ) -> DataFrame:
+    """Join on equally named keys plus a residual condition, keeping the left keys."""
     # The right key columns get private names, so that nothing is ambiguous.
     private = {k: f"_right_{k}" for k in keys}
     right = right.withColumnsRenamed(private)
@@ -103,11 +108,12 @@ def lookup_join(
     residual: Residual | None = None,
     config: SkewConfig = SKEW,
     small: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast ``right`` if its counted size allows, else :func:`salted_join`.
 
     ``small`` passes on a size check made earlier for the same lookup table.
     """
     if is_small(right, config) if small is None else small:
-        return _join(left, F.broadcast(right), keys, how, residual)
-    return salted_join(left, right, keys, spread_by, how, residual, config)
+        return plain_join(left, F.broadcast(right), keys, how, residual)
+    return salted_join(left, right, keys, spread_by, how, residual, config, keys_from)
