@@ -132,6 +132,7 @@ def with_calendar(
     key: str,
     spread_by: str,
     config: SkewConfig = SKEW,
+    keys_from: DataFrame | None = None,
     **columns: str,
 ) -> DataFrame:
     """Inner join on a date key; ``columns`` name the calendar columns to add.
@@ -141,7 +142,9 @@ def with_calendar(
     """
     added = [F.col(source).alias(name) for name, source in columns.items()]
     days = dates.select(F.col("date_key").alias(key), *added)
-    return lookup_join(df, days, [key], [spread_by], "inner", config=config)
+    return lookup_join(
+        df, days, [key], [spread_by], "inner", config=config, keys_from=keys_from
+    )
 
 
 def dim_user_cohort(signups: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def revenue_detail(
     names = companies.where(F.col("company_id").isNotNull()).select("company_id", "company_name")
     named = lookup_join(fact, names, ["company_id"], ["revenue_id"], "inner", config=config)
     dated = with_calendar(
-        named, dates, "revenue_date_key", "revenue_id", config, revenue_month="date_day"
+        named, dates, "revenue_date_key", "revenue_id", config, fact, revenue_month="date_day"
     )
     return dated.select(
         "revenue_id",

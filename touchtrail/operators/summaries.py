@@ -65,11 +65,14 @@ def campaign_performance(
         F.col("company_id").alias("target_company_id"),
         F.col("company_name").alias("target_company_name"),
     )
+    # Every lookup key is a column of ``roi``, so hot keys are counted there.
     named = lookup_join(roi, names, ["channel"], ["campaign_id"], "inner", config=config)
-    named = lookup_join(named, targets, ["target_company_id"], ["campaign_id"], config=config)
+    named = lookup_join(
+        named, targets, ["target_company_id"], ["campaign_id"], config=config, keys_from=roi
+    )
     for role in ("start", "end"):
         named = with_calendar(
-            named, dates, f"{role}_date_key", "campaign_id", config,
+            named, dates, f"{role}_date_key", "campaign_id", config, roi,
             **{f"{role}_date": "date_day"},
         )
     return named.select(
