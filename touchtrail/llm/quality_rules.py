@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from touchtrail.llm.common import let, texts
 
 SPACE = r"[\x20\x09-\x0D]"
-WHITE = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LETTERS = CAPITALS + CAPITALS.lower()
+WORD = r"[^\x20\x09-\x0D]"
+SYMBOLS = "[#*$%&|<>]+"
+CAPITALS = "[A-Z]+"
 
 STOP_WORDS = (
     "a all an and are as at be by for from have in is it not of on or that the this to was were with "
@@ -30,11 +29,7 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A document fails when ``feature`` lies outside [at_least, at_most].
-
-    ``unless`` names a feature that must reach ``unless_below`` for the rule to apply:
-    ratios over a handful of words say little.
-    """
+    """A document fails when ``feature`` lies outside [at_least, at_most]."""
 
     feature: str
     at_least: float | None = None
@@ -55,8 +50,8 @@ RULES: tuple[Rule, ...] = (
 )
 
 
-def _count_of(text: Column, characters: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+def _count_of(text: Column, pattern: str) -> Column:
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
 
 
 def _repeat_words(words: Column) -> Column:
@@ -112,13 +107,12 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id and the counts and ratios the rules speak of, in one projection."""
     text = F.col("text")
     words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, WHITE, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    stop_words = [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)]
     counted = texts(docs, id_col, text_col).select(
         "doc_id",
-        (F.char_length(text) - _count_of(text, WHITE)).cast("long").alias("word_chars"),
         _count_of(text, SYMBOLS).cast("long").alias("n_symbols"),
         _count_of(text, CAPITALS).cast("long").alias("n_capitals"),
-        _count_of(text, LETTERS).cast("long").alias("n_letters"),
         let(
             lines,
             lambda ls: F.struct(
@@ -130,7 +124,8 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             words,
             lambda ws: F.struct(
                 F.size(ws).cast("long").alias("n_words"),
-                F.size(F.filter(ws, lambda w: F.lower(w).isin(*STOP_WORDS)))
+                F.char_length(F.array_join(ws, "")).cast("long").alias("word_chars"),
+                F.size(F.filter(ws, lambda w: w.isin(*stop_words)))
                 .cast("long")
                 .alias("n_stop_words"),
                 _repeat_words(ws).cast("long").alias("n_repeat_words"),
@@ -146,14 +141,13 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "doc_id",
         "_words.*",
         "_lines.*",
-        "word_chars",
         "n_symbols",
-        ratio(F.col("word_chars"), n_words).alias("mean_word_chars"),
+        ratio(F.col("_words.word_chars"), n_words).alias("mean_word_chars"),
         ratio(F.col("n_symbols"), n_words).alias("symbol_ratio"),
         ratio(F.col("_words.n_stop_words"), n_words).alias("stop_word_ratio"),
         ratio(F.col("_words.n_repeat_words"), n_words).alias("repeat_ratio"),
         ratio(F.col("_lines.n_dup_lines"), F.col("_lines.n_lines")).alias("dup_line_ratio"),
-        ratio(F.col("n_capitals"), F.col("n_letters")).alias("capital_ratio"),
+        ratio(F.col("n_capitals"), F.col("_words.word_chars")).alias("capital_ratio"),
     )
 
 

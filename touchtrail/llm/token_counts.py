@@ -28,7 +28,7 @@ PLAIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
 MAYBE_SPECIAL = "<|"
 
 # Remembered counts per worker; beyond this many the store starts again.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 def whole_tokens(path: str) -> frozenset[str]:
