@@ -29,9 +29,9 @@ def _quality() -> str:
       SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
     words AS (
       SELECT r, doc_id, text,
-             list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), w -> w <> '') AS ws,
+             list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
              list_filter(string_split(text, chr(10)),
-                         x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+                         lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
       FROM base),
     windows AS (
       SELECT r, i, [ws[i], ws[i + 1], ws[i + 2]] AS w
@@ -46,7 +46,7 @@ def _quality() -> str:
              length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
              len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
              len(regexp_extract_all(text, '[A-Z]')) AS n_capitals,
-             len(list_filter(ws, w -> w IN ({stops}))) AS n_stop,
+             len(list_filter(ws, lambda w: w IN ({stops}))) AS n_stop,
              len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines
       FROM words),
     every AS (
