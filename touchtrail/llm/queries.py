@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchtrail.llm import quality_rules, token_counts
+from touchtrail.llm import license_scan, packing, quality_rules, secret_ledger, token_counts
 from touchtrail.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,59 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def packing_tokenizer() -> tuple[str, str, str]:
+    import public_tokenizers
+
+    return (
+        tokenizer_file("byte_bpe_50k.json"),
+        tokenizer_file("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").alias("first_word"),
+        F.array_max("places.start").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ledger.scan(read_table(spark, sf_dir, "documents"))
+    findings = F.col("findings")
+
+    def of(kind: str):
+        return F.size(F.filter(findings, lambda f: f["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(secret_ledger.listed(F.filter(findings, lambda f: f["base"])), 256).alias(
+            "base_sha256"
+        ),
+        secret_ledger.listed(findings).alias("spans"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), limit=2048
     )
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), packing_tokenizer(), capacity=2048)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
     return scored.select(
@@ -44,6 +91,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_license_scan": op2_license_scan,
+        "op4_secret_ledger": op4_secret_ledger,
         "op5_token_counts": op5_token_counts,
+        "op7_best_fit_packing": op7_best_fit_packing,
         "op8_quality_rules": op8_quality_rules,
     }
