@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchtrail.llm import license_scan, packing, quality_rules, secret_ledger, token_counts
+from touchtrail.llm import (
+    license_scan,
+    packing,
+    quality_rules,
+    secret_ledger,
+    simhash,
+    token_counts,
+)
 from touchtrail.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +37,15 @@ def packing_tokenizer() -> tuple[str, str, str]:
     )
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3)
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -91,6 +107,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_simhash": op1_simhash,
         "op2_license_scan": op2_license_scan,
         "op4_secret_ledger": op4_secret_ledger,
         "op5_token_counts": op5_token_counts,
