@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.llm import (
+    block_anchors,
     license_scan,
     packing,
     quality_rules,
@@ -105,6 +106,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = block_anchors.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -113,4 +119,5 @@ def queries() -> dict[str, Query]:
         "op5_token_counts": op5_token_counts,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_quality_rules": op8_quality_rules,
+        "op10_block_anchors": op10_block_anchors,
     }
