@@ -14,6 +14,7 @@ from touchtrail.llm import (
     quality_rules,
     secret_ledger,
     simhash,
+    suffix_lpf,
     token_counts,
 )
 from touchtrail.llm.common import read_table
@@ -61,6 +62,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_lpf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_lpf.remove_repeats(read_table(spark, sf_dir, "documents"), length=50)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_ledger.scan(read_table(spark, sf_dir, "documents"))
     findings = F.col("findings")
@@ -115,6 +121,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
         "op2_license_scan": op2_license_scan,
+        "op3_suffix_lpf": op3_suffix_lpf,
         "op4_secret_ledger": op4_secret_ledger,
         "op5_token_counts": op5_token_counts,
         "op7_best_fit_packing": op7_best_fit_packing,
