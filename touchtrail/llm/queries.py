@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.llm import (
     block_anchors,
+    interpolation_lm,
     license_scan,
     packing,
     quality_rules,
@@ -92,6 +93,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_interpolation_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = interpolation_lm.score(read_table(spark, sf_dir, "documents"))
+    return scored.drop("train_types")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), packing_tokenizer(), capacity=2048)
 
@@ -124,6 +130,7 @@ def queries() -> dict[str, Query]:
         "op3_suffix_lpf": op3_suffix_lpf,
         "op4_secret_ledger": op4_secret_ledger,
         "op5_token_counts": op5_token_counts,
+        "op6_interpolation_lm": op6_interpolation_lm,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_quality_rules": op8_quality_rules,
         "op10_block_anchors": op10_block_anchors,

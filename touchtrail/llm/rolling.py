@@ -107,18 +107,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 # -- parcels ---------------------------------------------------------------------------
 
 
-def planes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(
-        values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T
-    ).tobytes()
+def planes(values: np.ndarray, keep: int | None = None) -> bytes:
+    """The bytes of the numbers, lowest bytes of all first; ``keep`` leaves out higher ones."""
+    size = values.dtype.itemsize
+    raw = values.view(np.uint8).reshape(len(values), size)[:, : keep or size]
+    return np.ascontiguousarray(raw.T).tobytes()
 
 
-def unplanes(data: bytes, dtype: str) -> np.ndarray:
+def unplanes(data: bytes, dtype: str, keep: int | None = None) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    if not data:
-        return np.empty(0, dtype=dtype)
-    raw = np.frombuffer(data, np.uint8).reshape(size, -1).T
-    return np.ascontiguousarray(raw).view(dtype).reshape(-1)
+    keep = keep or size
+    stored_bytes = np.frombuffer(data, np.uint8).reshape(keep, -1)
+    raw = np.zeros((stored_bytes.shape[1], size), dtype=np.uint8)
+    raw[:, :keep] = stored_bytes.T
+    return raw.view(dtype).reshape(-1)
 
 
 def steps(values: np.ndarray) -> bytes:
@@ -126,12 +128,13 @@ def steps(values: np.ndarray) -> bytes:
     v = values.astype(np.int64)
     with np.errstate(over="ignore"):
         d = np.diff(v, prepend=np.int64(0))
-    d = (d << 1) ^ (d >> 63)  # small negatives become small too
-    return planes(d.astype(np.int64))
+    d = ((d << 1) ^ (d >> 63)).view(U64)  # small negatives become small too
+    width = max(1, -(-int(d.max()).bit_length() // 8)) if len(d) else 1
+    return bytes([width]) + planes(d, width)
 
 
 def unsteps(data: bytes) -> np.ndarray:
-    d = unplanes(data, "<u8")
+    d = unplanes(memoryview(data)[1:], "<u8", data[0])
     d = (d >> U64(1)).astype(np.int64) ^ -(d & U64(1)).astype(np.int64)
     with np.errstate(over="ignore"):
         return np.cumsum(d)
