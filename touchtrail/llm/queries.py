@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.llm import (
     block_anchors,
+    decontaminate,
     interpolation_lm,
     license_scan,
     packing,
@@ -118,6 +119,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = block_anchors.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -133,5 +140,6 @@ def queries() -> dict[str, Query]:
         "op6_interpolation_lm": op6_interpolation_lm,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_quality_rules": op8_quality_rules,
+        "op9_bm25_decontamination": op9_bm25_decontamination,
         "op10_block_anchors": op10_block_anchors,
     }
