@@ -5,11 +5,12 @@ against it. Impacts are divided by what an item would score against itself, so a
 the share of an item's weight that a passage holds, and one threshold fits all items.
 
 Passages overlap by half and are twice as long as the longest item of their index, so an
-item within a text lies wholly within some passage. A passage is first bounded by the
-largest impacts of its terms (the first pivot of WAND, for all passages of a text at
-once); those that could reach the threshold go through block-max WAND, which returns
-every item at or above it. An item counts as leaked where its question (the leading
-words) and its answer (the trailing words) both overlap with the passage.
+item within a text lies wholly within some passage. Block-max WAND finds the items: a
+block of items is looked into only if the largest impacts a passage's terms have in it
+add up to the threshold (tested for all passages and blocks of a text at once), and in a
+live block cursors skip to the pivot. Every item at or above the threshold is returned.
+It counts as leaked where its question (the leading words) and its answer (the trailing
+words) both overlap with the passage.
 
 The index is cut into shards by item length and bounded size; each is broadcast in its
 turn, so its size never depends on the corpus, nor the memory on the benchmark. Texts
@@ -31,10 +32,9 @@ from touchtrail.llm.common import Batches, stored, texts
 from touchtrail.llm.license_scan import words_of
 from touchtrail.llm.rolling import binary_batch
 
-BLOCK = 64  # postings of a block with a maximum of its own
+BLOCKS = 64  # of consecutive items, at most; each term has a maximum in each of them
 SHARD_BYTES = 8 << 20  # of item text in one broadcast index
 K1, B = 1.2, 0.75
-NEVER = 1 << 60
 
 
 @dataclass(frozen=True)
@@ -43,54 +43,59 @@ class Settings:
     ``answer_share``: part of an item's words, at its end, that is taken as the answer.
     ``overlap``: share of the word triples of question and of answer to be found again."""
 
-    threshold: float = 0.5
+    threshold: float = 0.6
     answer_share: float = 0.25
     overlap: float = 0.5
     triple: int = 3
 
 
-class Postings:
-    """Items and impacts of one term, with the largest impact of all and of each block."""
-
-    def __init__(self, items: list[int], impacts: list[float]):
-        self.items = items
-        self.impacts = impacts
-        self.best = max(impacts)
-        self.block_best = [max(impacts[i : i + BLOCK]) for i in range(0, len(items), BLOCK)]
-        self.block_last = [items[min(i + BLOCK, len(items)) - 1] for i in range(0, len(items), BLOCK)]
-
-
 class Index:
-    """Inverted index of a shard; ``vocabulary`` numbers its terms."""
+    """Inverted index of a shard, in blocks of consecutive items.
+
+    ``vocabulary`` numbers the terms. Term t has its postings at ``first[t]:first[t+1]``
+    of ``items`` and ``impacts``, ascending by item, and its blocks, with the largest
+    impact in each, at ``block_first[t]:block_first[t+1]`` of ``blocks`` and ``best``.
+    """
 
     def __init__(self, ids: list[int], datas: list[bytes], settings: Settings):
-        self.ids = ids
-        self.words = [words_of(d) for d in datas]
-        self.longest = max((len(w) for w in self.words), default=0)
-        average = sum(map(len, self.words)) / max(1, len(self.words))
+        # Items of like length have like impacts, which keeps block maxima tight.
+        order = sorted(range(len(ids)), key=lambda i: len(words_of(datas[i])))
+        self.ids = [ids[i] for i in order]
+        words = [words_of(datas[i]) for i in order]
+        self.longest = len(words[-1]) if words else 0
+        self.block = max(4, -(-len(ids) // BLOCKS))
+        self.n_blocks = -(-len(ids) // self.block)
+        average = sum(map(len, words)) / max(1, len(words))
         counts: dict[bytes, dict[int, int]] = {}
-        for item, words in enumerate(self.words):
-            for w in words:
-                held = counts.setdefault(w, {})
-                held[item] = held.get(item, 0) + 1
-        weight = {
-            w: log(1 + (len(ids) - len(held) + 0.5) / (len(held) + 0.5)) for w, held in counts.items()
-        }
+        for item, held in enumerate(words):
+            for w in held:
+                in_items = counts.setdefault(w, {})
+                in_items[item] = in_items.get(item, 0) + 1
         own = [0.0] * len(ids)
-        impacts: dict[bytes, list[tuple[int, float]]] = {}
-        for w, held in counts.items():
-            for item, n in held.items():
-                norm = K1 * (1 - B + B * len(self.words[item]) / average)
-                impact = weight[w] * n * (K1 + 1) / (n + norm)
-                own[item] += impact
-                impacts.setdefault(w, []).append((item, impact))
-        self.vocabulary = {w: i for i, w in enumerate(impacts)}
-        self.postings = [
-            Postings([i for i, _ in sorted(p)], [v / own[i] for i, v in sorted(p)])
-            for p in impacts.values()
-        ]
-        self.bounds = np.array([p.best for p in self.postings] + [0.0])
-        self.parts = [self._parts(w, settings) for w in self.words]
+        postings: list[list[tuple[int, float]]] = []
+        for in_items in counts.values():
+            weight = log(1 + (len(ids) - len(in_items) + 0.5) / (len(in_items) + 0.5))
+            row = []
+            for item, n in sorted(in_items.items()):
+                norm = K1 * (1 - B + B * len(words[item]) / average)
+                row.append((item, weight * n * (K1 + 1) / (n + norm)))
+                own[item] += row[-1][1]
+            postings.append(row)
+        self.vocabulary = {w: i for i, w in enumerate(counts)}
+        self.first = np.cumsum([0, *map(len, postings)])
+        self.items = np.array([i for row in postings for i, _ in row], dtype=np.int64)
+        self.impacts = np.array([v / own[i] for row in postings for i, v in row])
+        blocks: list[dict[int, float]] = []
+        for row in postings:
+            best: dict[int, float] = {}
+            for i, v in row:
+                k = i // self.block
+                best[k] = max(best.get(k, 0.0), v / own[i])
+            blocks.append(best)
+        self.block_first = np.cumsum([0, *map(len, blocks)])
+        self.blocks = np.array([k for best in blocks for k in best], dtype=np.int64)
+        self.best = np.array([v for best in blocks for v in best.values()])
+        self.parts = [self._parts(w, settings) for w in words]
 
     @staticmethod
     def _parts(words: list[bytes], s: Settings) -> tuple[set, set]:
@@ -105,88 +110,94 @@ def triples(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(size))))
 
 
-def above(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-    """(item, score) of every item whose score reaches the threshold: block-max WAND."""
+def above(index: Index, terms: np.ndarray, block: int, threshold: float) -> list[tuple[int, float]]:
+    """(item, score) of every item of a block that reaches the threshold: WAND.
+
+    Cursors are ordered by their item; the first whose bounds, the block maxima, add up to
+    the threshold is the pivot, and items before it cannot reach it.
+    """
+    cursors = []  # [item, place, end, bound]
+    low, high = block * index.block, (block + 1) * index.block
+    for t in terms.tolist():
+        a, b = index.first[t], index.first[t + 1]
+        i, j = a + np.searchsorted(index.items[a:b], (low, high))
+        if i < j:
+            cursors.append([int(index.items[i]), int(i), int(j), float(index.impacts[i:j].max())])
     found = []
-    lists = [index.postings[t] for t in terms]
-    at = [0] * len(lists)
-    here = [p.items[0] for p in lists]
-    order = list(range(len(lists)))
-
-    def move(i: int, target: int) -> None:
-        """Cursor i to its first item not before ``target``, whole blocks at a time."""
-        p = lists[i]
-        block = at[i] // BLOCK
-        while block < len(p.block_last) and p.block_last[block] < target:
-            block += 1
-        at[i] = max(at[i], block * BLOCK)
-        while at[i] < len(p.items) and p.items[at[i]] < target:
-            at[i] += 1
-        here[i] = p.items[at[i]] if at[i] < len(p.items) else NEVER
+
+    def move(cursor: list, target: int) -> None:
+        place = cursor[1]
+        while place < cursor[2] and index.items[place] < target:
+            place += 1
+        cursor[1] = place
+        cursor[0] = int(index.items[place]) if place < cursor[2] else high
 
     while True:
-        order.sort(key=here.__getitem__)
-        bound, pivot = 0.0, -1
-        for k, i in enumerate(order):
-            if here[i] == NEVER:
+        cursors.sort()
+        bound, pivot = 0.0, None
+        for cursor in cursors:
+            if cursor[0] == high:
                 break
-            bound += lists[i].best
+            bound += cursor[3]
             if bound >= threshold:
-                pivot = k
+                pivot = cursor[0]
                 break
-        if pivot < 0:
+        if pivot is None:
             return found
-        item = here[order[pivot]]
-        while pivot + 1 < len(order) and here[order[pivot + 1]] == item:
-            pivot += 1
-        # What the blocks that could hold the item allow, and how far that is true.
-        allowed, until = 0.0, NEVER
-        for i in order[: pivot + 1]:
-            p = lists[i]
-            block = at[i] // BLOCK
-            while block < len(p.block_last) and p.block_last[block] < item:
-                block += 1
-            if block < len(p.block_last):
-                allowed += p.block_best[block]
-                until = min(until, p.block_last[block])
-        if allowed < threshold:
-            after = here[order[pivot + 1]] if pivot + 1 < len(order) else NEVER
-            target = max(item + 1, min(until + 1, after))
-            for i in order[: pivot + 1]:
-                move(i, target)
-        elif here[order[0]] == item:
-            score = sum(lists[i].impacts[at[i]] for i in order[: pivot + 1])
+        if cursors[0][0] == pivot:
+            there = [c for c in cursors if c[0] == pivot]
+            score = sum(float(index.impacts[c[1]]) for c in there)
             if score >= threshold:
-                found.append((item, score))
-            for i in order[: pivot + 1]:
-                move(i, item + 1)
+                found.append((pivot, score))
+            for cursor in there:
+                move(cursor, pivot + 1)
         else:
-            for i in order[: pivot + 1]:
-                if here[i] < item:
-                    move(i, item)
+            for cursor in cursors:
+                if cursor[0] < pivot:
+                    move(cursor, pivot)
 
 
-def passages(index: Index, words: list[bytes], s: Settings) -> Iterator[tuple[int, int]]:
-    """(start, end) of the passages of a text that could reach the threshold."""
-    codes = np.fromiter(map(index.vocabulary.get, words, [-1] * len(words)), np.int64, len(words))
-    total = np.concatenate(([0.0], np.cumsum(index.bounds[codes])))
+def live_blocks(
+    index: Index, codes: np.ndarray, threshold: float
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(start, end, terms, blocks) of the passages of a text and the blocks of the index
+    whose maxima, added over a passage's distinct terms, reach the threshold.
+
+    This is the block-max test for all passages of a text at once; it leaves out no item
+    that reaches the threshold.
+    """
     stride = max(1, index.longest)
-    starts = np.arange(0, max(1, len(words) - stride), stride)
-    ends = np.minimum(starts + 2 * stride, len(words))
-    # A little slack for sums taken in another order.
-    for k in np.flatnonzero(total[ends] - total[starts] >= s.threshold - 1e-6).tolist():
-        yield int(starts[k]), int(ends[k])
+    count = max(1, -(-(len(codes) - stride) // stride))
+    at = np.flatnonzero(codes >= 0)
+    passage = np.concatenate((at // stride, at // stride - 1))
+    pair = passage * len(index.vocabulary) + np.tile(codes[at], 2)
+    pair = np.unique(pair[(passage >= 0) & (passage < count)])
+    passage, term = np.divmod(pair, len(index.vocabulary))
+    size = index.block_first[term + 1] - index.block_first[term]
+    ends = np.cumsum(size)
+    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(index.block_first[term] - ends + size, size)
+    cell = np.repeat(passage * index.n_blocks, size) + index.blocks[place]
+    bound = np.bincount(cell, weights=index.best[place], minlength=count * index.n_blocks)
+    live = np.flatnonzero(bound >= threshold)
+    if not len(live):
+        return
+    which, block = np.divmod(live, index.n_blocks)
+    for k in np.unique(which).tolist():
+        terms = term[np.searchsorted(passage, k) : np.searchsorted(passage, k, side="right")]
+        yield k * stride, min(len(codes), (k + 2) * stride), terms, block[which == k]
 
 
 def leaks_of(index: Index, words: list[bytes], s: Settings) -> dict[int, tuple]:
     """item -> (score, question overlap, answer overlap, start, end) of its best passage."""
     best: dict[int, tuple] = {}
-    for start, end in passages(index, words, s):
-        part = words[start:end]
-        terms = list({t for w in part if (t := index.vocabulary.get(w)) is not None})
-        hits = above(index, terms, s.threshold)
+    codes = np.fromiter(map(index.vocabulary.get, words, [-1] * len(words)), np.int64, len(words))
+    # A little slack, as sums are taken in different orders.
+    threshold = s.threshold - 1e-9
+    for start, end, terms, blocks in live_blocks(index, codes, threshold):
+        hits = [h for b in blocks.tolist() for h in above(index, terms, b, threshold)]
         if not hits:
             continue
+        part = words[start:end]
         there = triples(part, s.triple)
         singles = set(part)
         for item, score in hits:
