@@ -12,7 +12,7 @@ Conventions of all operators of this package:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +28,14 @@ Batches = Iterable[pa.RecordBatch]
 CHUNK_BYTES = 1 << 20
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with NULL texts as empty ones."""
+def texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, text) with NULL texts as empty ones, and the ``carried`` columns."""
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *carried,
     )
 
 
@@ -40,6 +43,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_row(docs: DataFrame, id_col: str = "doc_id", name: str = "_row") -> DataFrame:
+    """The rows with a number of their own: the id, where ids are unique and not NULL.
+
+    Otherwise rows get other numbers, fixed by storing them.
+    """
+    doubtful = docs.groupBy(F.col(id_col)).count().where(F.col("count") > 1)
+    if doubtful.isEmpty() and docs.where(F.col(id_col).isNull()).isEmpty():
+        return docs.withColumn(name, F.col(id_col).cast("long"))
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared scratch folder and read back.
 

@@ -103,14 +103,21 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(hashed(words), counted))
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the counts and ratios the rules speak of, in one projection."""
+def features(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: str | None = None
+) -> DataFrame:
+    """doc_id and the counts and ratios the rules speak of, in one projection.
+
+    ``carried`` names a column to pass on.
+    """
+    carry = [] if carried is None else [carried]
     text = F.col("text")
     words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     stop_words = [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)]
-    counted = texts(docs, id_col, text_col).select(
+    counted = texts(docs, id_col, text_col, carry).select(
         "doc_id",
+        *carry,
         _count_of(text, SYMBOLS).cast("long").alias("n_symbols"),
         _count_of(text, CAPITALS).cast("long").alias("n_capitals"),
         let(
@@ -139,6 +146,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     return counted.select(
         "doc_id",
+        *carry,
         "_words.*",
         "_lines.*",
         "n_symbols",
@@ -177,3 +185,14 @@ def apply_rules(
     the default table. Ties and repeated rows do not matter: rows are independent.
     """
     return features(docs, id_col, text_col).withColumn("kept", verdict(rules))
+
+
+def kept_rows(
+    docs: DataFrame,
+    rules: Sequence[Rule] = RULES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The input rows, with all their columns, that every rule of the table keeps."""
+    whole = docs.withColumn("_whole", F.struct(*docs.columns))
+    return features(whole, id_col, text_col, "_whole").where(verdict(rules)).select("_whole.*")

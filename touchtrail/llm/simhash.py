@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.llm.common import Batches, chunks, runs, stored, table_batch, texts
 from touchtrail.llm.components import components
+from touchtrail.llm.rolling import BASES, mixed
 
 SEGMENTS = 4
 WIDTH = 16
@@ -252,3 +253,121 @@ def near_duplicates(
         named.join(smallest, "root").select("fingerprint", "component_id"), "simhash-labels"
     )
     return printed.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+# -- groups of similar documents ---------------------------------------------------------
+
+BANDS = 8  # independent fingerprints; a similar pair is close in one of them at least
+BINS = 256
+
+
+def band_fingerprints(words: list[bytes]) -> list[int]:
+    """Fingerprints of the distinct words, each band with its own mixing of one hash.
+
+    Words change less than shingles where a text is edited, so copies stay within few
+    bits; what is alike in its words only is sorted out by the sketch.
+    """
+    from xxhash import xxh64_intdigest
+
+    distinct = set(words)
+    hashes = np.fromiter((xxh64_intdigest(w, SEED) for w in distinct), np.uint64, len(distinct))
+    steps = np.arange(1, BANDS + 1, dtype=np.uint64) * BASES[0]
+    return [bit_majority(mixed(hashes ^ step)) for step in steps]
+
+
+def shingle_sketch(hashes: np.ndarray) -> bytes:
+    """One byte per bin, of the smallest hash in it; 0 for an empty bin."""
+    smallest = np.full(BINS, ~np.uint64(0), dtype=np.uint64)
+    np.minimum.at(smallest, (hashes % np.uint64(BINS)).astype(np.int64), hashes)
+    value = (mixed(smallest) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    value[smallest == ~np.uint64(0)] = 0
+    return value.tobytes()
+
+
+def _similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated share of common shingles, row by row; 1 for two texts without words."""
+    either = ((a > 0) | (b > 0)).sum(axis=1)
+    equal = ((a > 0) & (a == b)).sum(axis=1)
+    share = np.where(either > 0, equal / np.maximum(either, 1), 1.0)
+    return np.maximum(0.0, (share - 1 / 255) / (1 - 1 / 255))
+
+
+def similar_links(least: float) -> Links:
+    """Links of fingerprints that are close and whose shingle sketches agree."""
+
+    def links(run: dict[str, np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        close = within_bits(run, rows, columns)
+        if "_bins" not in run:
+            run["_bins"] = np.frombuffer(b"".join(run["sketch"]), np.uint8).reshape(-1, BINS)
+        bins = run["_bins"]
+        i, j = np.nonzero(close)
+        for first in range(0, len(i), 1 << 14):
+            a, b = i[first : first + (1 << 14)], j[first : first + (1 << 14)]
+            close[a, b] = _similarity(bins[rows[a]], bins[columns[b]]) >= least
+        return close
+
+    return links
+
+
+def similar_groups(
+    docs: DataFrame,
+    shingle: int = 5,
+    least: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """(doc_id, group_id) of every document that is similar to another one.
+
+    Ids must be unique and not NULL. Two documents are linked when one of ``BANDS``
+    fingerprints differs in at most 3 bits (pigeonring, as above) and the estimated share
+    of common ``shingle``-word shingles is at least ``least``; equal word sequences always
+    are. A group is named by its smallest id. Case is ignored.
+    """
+    schema = pa.schema(
+        [
+            pa.field("doc_id", pa.int64()),
+            pa.field("same", pa.binary()),
+            pa.field("prints", pa.list_(pa.int64())),
+            pa.field("sketch", pa.binary()),
+        ]
+    )
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        from hashlib import sha256
+
+        for ids, datas in chunks(batches):
+            rows: dict[str, list] = {"same": [], "prints": [], "sketch": []}
+            for data in datas:
+                words = data.lower().split()
+                rows["same"].append(sha256(b" ".join(words)).digest())
+                rows["prints"].append(band_fingerprints(words))
+                rows["sketch"].append(shingle_sketch(shingle_hashes(words, shingle, SEED)))
+            yield table_batch(schema, {"doc_id": ids} | rows)
+
+    printed = stored(
+        texts(docs, id_col, text_col)
+        .select(F.col("doc_id").cast("long"), "text")
+        .mapInArrow(run, "doc_id long, same binary, prints array<long>, sketch binary"),
+        "similar-prints",
+    )
+    same = printed.groupBy("same").agg(F.min("doc_id").alias("node"))
+    firsts = stored(
+        printed.join(same.select("node"), F.col("doc_id") == F.col("node")).select(
+            "node", "prints", "sketch"
+        ),
+        "similar-firsts",
+    )
+    keyed = (
+        firsts.select("node", F.posexplode("prints").alias("band", "fingerprint"))
+        .withColumn("key", F.explode(ring_keys(F.col("fingerprint"))))
+        .withColumn("key", F.col("key") + F.shiftleft(F.col("band").cast("long"), 32))
+        .drop("band")
+    )
+    dealt = block_pairs(keyed, "node").join(firsts.select("node", "sketch"), "node")
+    edges = forest_edges(dealt, "node", similar_links(least))
+    linked = components(edges)
+    grouped = printed.select("doc_id", "same").join(same, "same")
+    return (
+        grouped.join(linked, "node", "left")
+        .select("doc_id", F.coalesce("component", "node").alias("group_id"))
+    )
