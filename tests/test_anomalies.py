@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from touchtrail.config import ANOMALY
 from touchtrail.operators import anomalies
 from touchtrail.plans import registry
+from touchtrail.sources.store import materialize
 
 
 def months(n, start=2023):
@@ -89,7 +90,7 @@ def test_bucketed_ranks_equal_one_global_order(spark):
         F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("month_start_date"),
         (F.floor(F.rand(3) * 500) / 10 * F.when(F.col("id") % 2 == 0, 1).otherwise(-1)).alias("z_score"),
     ).withColumn("is_anomaly", F.abs("z_score") >= 2.75)
-    df = registry.materialize(df, "rank_check")
+    df = materialize(df, "rank_check")
     got = anomalies.rank_anomalies(df).where("is_anomaly").collect()
     expected = sorted(got, key=lambda r: (-abs(r["z_score"]), r["channel"], r["month_start_date"]))
     assert [r["anomaly_rank"] for r in expected] == list(range(1, len(expected) + 1))

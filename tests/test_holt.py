@@ -5,13 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from touchtrail.config import FORECAST
 from touchtrail.operators import holt
 from touchtrail.plans import pipeline, registry
+from touchtrail.plans.models import TABLES, Models
 
 NOISY = [112, 118, 132, 129, 121, 135, 148, 148, 136, 119, 104, 118, 115, 126, 141, 135, 125, 149]
 STEP = [10, 11, 12, 13, 14, 15, 40, 41, 42, 43, 44, 45, 46, 47]
@@ -123,6 +126,43 @@ def test_short_gapped_and_repeated_series_are_reported(spark):
     assert holt.fit_and_smooth(series).count() == 1
 
 
+def test_every_series_is_reported(spark):
+    series = history(spark, five=[1] * 5, six=[1, 2, 3, 4, 5, 7])
+    rows = {r["series_key"]: r for r in holt.series_report(series).collect()}
+    assert (rows["five"]["months"], rows["five"]["status"]) == (5, "too_short")
+    assert (str(rows["six"]["first_month"]), str(rows["six"]["last_month"])) == ("2020-01-01", "2020-06-01")
+    assert rows["six"]["status"] == "ok"
+
+
+@pytest.mark.parametrize(
+    "table", ["channel_performance", "monthly_revenue_customer_growth", "fct_attributed_revenue"]
+)
+def test_empty_inputs_raise(spark, sf_dir, table):
+    full = registry.stored(spark, sf_dir)
+    tables = Models(full.raw, lambda name, df: df)
+    for name in TABLES:
+        setattr(tables, name, getattr(full, name))
+    setattr(tables, table, getattr(full, table).limit(0))
+    with pytest.raises(ValueError, match="No rows"):
+        pipeline.store_anomalies(tables)
+    if table == "monthly_revenue_customer_growth":
+        with pytest.raises(ValueError, match="No rows"):
+            pipeline.store_forecast(tables)
+
+
+def test_long_series_take_linear_time(spark):
+    def seconds(n):
+        y = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: (i % 7).cast("double"))
+        rows = spark.range(1).select(F.lit("k").alias("series_key"), y.alias("y"))
+        started = time.perf_counter()
+        holt.smooth_fixed(rows, 0.5, 0.2).select("sse").collect()
+        rows.select(holt._sample_std(F.col("y"))).collect()
+        return time.perf_counter() - started
+
+    seconds(1000)
+    assert seconds(64_000) < 5
+
+
 def test_fixed_parameters_follow_the_recursion(spark):
     (row,) = holt.smooth_fixed(history(spark, jumpy=JUMPY), 0.5, 0.2).collect()
     assert row["sse"] == pytest.approx(direct_sse(JUMPY, 0.5, 0.2, 5, 4))

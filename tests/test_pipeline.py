@@ -17,7 +17,7 @@ from touchtrail.sources.derived import raw_tables
 def data_dir(spark, sf_dir, tmp_path_factory):
     """The derived raw tables written as source files."""
     root = tmp_path_factory.mktemp("sources")
-    raw = raw_tables(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir, flawed=False)
     for name in ("campaign_metadata", "content_performance", "portfolio_revenue"):
         df = raw[name]
         if name == "content_performance":  # repeated keys are a source defect that fails validation

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchtrail.operators import contracts, quality, reconciliation
-from touchtrail.plans import registry
+from touchtrail.plans import pipeline
+from touchtrail.plans.models import TABLES
+from touchtrail.sources.derived import raw_tables
 from touchtrail.sources.schemas import RAW_SCHEMAS
 
 
@@ -136,7 +138,9 @@ def test_any_failure_raises(spark, clean):
 
 @pytest.fixture(scope="module")
 def tables(spark, sf_dir):
-    return registry.all_tables(spark, sf_dir)
+    """All model tables over sources that keep the rules."""
+    models = pipeline.storing_models(raw_tables(spark, sf_dir, flawed=False))
+    return {name: getattr(models, name) for name in TABLES}
 
 
 def test_number_of_constraints(tables):
@@ -196,3 +200,23 @@ def test_negative_measures_are_reported(tables):
     (row,) = reconciliation.violated(reconciliation.nonnegative_report(negative)).collect()
     assert row["model_name"] == "channel_performance"
     assert row["invalid_row_count"] == tables["channel_performance"].count()
+
+
+def test_flawed_sources_break_rules_of_every_kind(spark, sf_dir):
+    """The default derived sources give the registered reports something to count."""
+    raw = raw_tables(spark, sf_dir)
+    hit = {
+        r["check_name"]
+        for r in quality.judged(quality.value_findings(raw)).where("issue_count > 0").collect()
+    }
+    assert "revenue_user_exists" in hit
+    assert len(hit) >= 10
+    journeys = pipeline.storing_models(raw)
+    reasons = {
+        r[0]
+        for touch in ("first_touch", "last_touch")
+        for r in journeys.int_user_journeys.select(f"{touch}_attribution_reason").distinct().collect()
+    }
+    assert {"utm_source", "referral_source"} <= reasons
+    flags = journeys.int_attributed_revenue.select("missing_journey_flag").distinct().collect()
+    assert {r[0] for r in flags} == {True, False}

@@ -72,14 +72,3 @@ def stage_signups(raw: DataFrame) -> DataFrame:
         canonical_channel("last_touch_channel").alias("last_touch_channel"),
     )
 
-
-STAGERS = {
-    "campaign_metadata": ("stg_campaign_metadata", stage_campaigns),
-    "content_performance": ("stg_content_performance", stage_content),
-    "portfolio_revenue": ("stg_portfolio_revenue", stage_revenue),
-    "user_signups": ("stg_user_signups", stage_signups),
-}
-
-
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: stager(raw[table]) for table, (name, stager) in STAGERS.items()}

@@ -60,6 +60,17 @@ def series_status(series: DataFrame, config: ForecastConfig = FORECAST) -> DataF
     )
 
 
+def series_report(series: DataFrame, config: ForecastConfig = FORECAST) -> DataFrame:
+    """One row per series, fitted or not: months, first and last month, status."""
+    return series_status(series, config).select(
+        "series_key",
+        F.size("months").alias("months"),
+        F.element_at("months", 1).alias("first_month"),
+        F.element_at("months", -1).alias("last_month"),
+        "status",
+    )
+
+
 def usable_series(series: DataFrame, config: ForecastConfig = FORECAST) -> DataFrame:
     return series_status(series, config).where(F.col("status") == "ok").drop("status")
 
@@ -118,19 +129,40 @@ def _search(y: np.ndarray, config: ForecastConfig) -> np.ndarray:
     return best
 
 
+def _run(y: np.ndarray, alpha: float, beta: float, level: float, trend: float):
+    """Final level and trend, and the prediction of every month."""
+    fitted = np.empty(len(y))
+    for i, value in enumerate(y.tolist()):
+        fitted[i] = predicted = level + trend
+        moved = alpha * value + (1.0 - alpha) * predicted
+        trend = beta * (moved - level) + (1.0 - beta) * trend
+        level = moved
+    return level, trend, fitted
+
+
+FITTED = (
+    "sse double, alpha double, beta double, l0 double, b0 double, level double, trend double, "
+    "fitted array<double>"
+)
+
+
 def fit(series: DataFrame, values: str = "y", config: ForecastConfig = FORECAST) -> DataFrame:
-    """Add ``fit``: struct (sse, alpha, beta, l0, b0) minimising the squared errors.
+    """Add ``fit``: the parameters (sse, alpha, beta, l0, b0) that minimise the squared
+    errors, the final ``level`` and ``trend``, and ``fitted``, the in-sample predictions.
 
     The search runs a few hundred candidates per series as vectors in an Arrow
     batch; Spark decides which series run where.
     """
 
-    @F.pandas_udf("sse double, alpha double, beta double, l0 double, b0 double")
+    @F.pandas_udf(FITTED)
     def search(batch: pd.Series) -> pd.DataFrame:
-        found = [_search(np.asarray(y, dtype=float), config) for y in batch]
-        return pd.DataFrame(
-            np.reshape(found, (-1, 5)), columns=["sse", "alpha", "beta", "l0", "b0"]
-        )
+        rows = []
+        for values_ in batch:
+            y = np.asarray(values_, dtype=float)
+            best = _search(y, config).tolist()
+            rows.append((*best, *_run(y, *best[1:])))
+        names = ["sse", "alpha", "beta", "l0", "b0", "level", "trend", "fitted"]
+        return pd.DataFrame(rows, columns=names)
 
     return series.withColumn("fit", search(F.col(values)))
 
@@ -148,17 +180,15 @@ def _advance(y: Column, level: Column, trend: Column, alpha: Column, beta: Colum
 
 
 def smooth(values: Column, params: Column) -> Column:
-    """Run the recursion: struct (level, trend, fitted array) at the end of the series."""
+    """Run the recursion: struct (level, trend, sse) at the end of the series."""
     start = F.struct(
-        params["l0"].alias("level"), params["b0"].alias("trend"),
-        F.array().cast("array<double>").alias("fitted"),
+        params["l0"].alias("level"), params["b0"].alias("trend"), _d(0).alias("sse")
     )
 
     def step(s: Column, value: Column) -> Column:
         p, l, b = _advance(value, s["level"], s["trend"], params["alpha"], params["beta"])
-        return F.struct(
-            l.alias("level"), b.alias("trend"), F.array_append(s["fitted"], p).alias("fitted")
-        )
+        error = value - p
+        return F.struct(l.alias("level"), b.alias("trend"), (s["sse"] + error * error).alias("sse"))
 
     return F.aggregate(values, start, step)
 
@@ -167,9 +197,12 @@ def smooth(values: Column, params: Column) -> Column:
 
 
 def fit_and_smooth(series: DataFrame, config: ForecastConfig = FORECAST) -> DataFrame:
-    """Fitted series: ``fit``, ``run`` (final state, fitted values) and ``residual_std``."""
+    """Fitted series: ``fit``, ``run`` (final state, fitted values) and ``residual_std``.
+
+    Series that cannot be fitted are left out; :func:`series_report` lists them all.
+    """
     fitted = fit(spread_series(usable_series(series, config)), "y", config)
-    run = fitted.withColumn("run", smooth(F.col("y"), F.col("fit")))
+    run = fitted.withColumn("run", F.struct("fit.level", "fit.trend", "fit.fitted"))
     errors = F.zip_with("y", F.col("run.fitted"), lambda a, p: a - p)
     return run.withColumn("residual_std", _sample_std(errors))
 
@@ -183,7 +216,11 @@ def _sum_squares(values: Column) -> Column:
 
 
 def _deviations(values: Column) -> Column:
-    return F.transform(values, lambda v: v - _mean(values))
+    # The mean is bound once, not recomputed for every element.
+    bound = F.transform(
+        F.array(_mean(values)), lambda mean: F.transform(values, lambda v: v - mean)
+    )
+    return F.element_at(bound, 1)
 
 
 def _sample_std(values: Column) -> Column:
@@ -234,7 +271,7 @@ def holdout_metrics(fitted: DataFrame, config: ForecastConfig = FORECAST) -> Dat
             "_held": F.slice("y", n - h + 1, F.lit(h)),
         }
     ).withColumnRenamed("fit", "_production")
-    refit = fit(split, "_train", config).withColumn("_run", smooth(F.col("_train"), F.col("fit")))
+    refit = fit(split, "_train", config).withColumn("_run", F.col("fit"))
     errors = F.transform(
         "_held",
         lambda a, i: a - (F.col("_run.level") + (i + 1).cast("double") * F.col("_run.trend")),
@@ -267,11 +304,10 @@ def smooth_fixed(
         (F.element_at("y", 2) - F.element_at("y", 1)).alias("b0"),
     )
     run = series.withColumn("_params", params).withColumn("_run", smooth(F.col("y"), F.col("_params")))
-    errors = F.zip_with("y", F.col("_run.fitted"), lambda a, p: a - p)
     return run.select(
         "series_key",
         F.size("y").alias("months_fitted"),
         F.col("_run.level").alias("level"),
         F.col("_run.trend").alias("trend"),
-        _sum_squares(errors).alias("sse"),
+        F.col("_run.sse").alias("sse"),
     )

@@ -99,10 +99,11 @@ TABLES: dict[str, Callable[[Models], DataFrame]] = {
     "campaign_performance": lambda m: summaries.campaign_performance(
         m.fct_campaign_roi, m.dim_channel, m.dim_company, m.dim_time, m.config
     ),
+    "company_metrics": lambda m: summaries.company_metrics(m.cells),
     "company_revenue_analysis": lambda m: summaries.company_revenue_analysis(
-        m.dim_company, materialize(summaries.company_metrics(m.cells), "company_metrics")
+        m.dim_company, m.company_metrics
     ),
     "monthly_revenue_customer_growth": lambda m: summaries.monthly_revenue_customer_growth(
-        m.cells, m.dim_time
+        m.cells, m.dim_time, m.config
     ),
 }

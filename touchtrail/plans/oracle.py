@@ -53,7 +53,8 @@ def _key(d: str, pattern: str = "%Y%m%d") -> str:
 
 
 def _share(top: str, bottom: str, digits: int) -> str:
-    return f"round(CAST({top} AS DOUBLE) / nullif(CAST({bottom} AS DOUBLE), 0), {digits})"
+    # Adding zero turns a negative zero into a plain one.
+    return f"(round(CAST({top} AS DOUBLE) / nullif(CAST({bottom} AS DOUBLE), 0), {digits}) + 0)"
 
 
 def _values(rows) -> str:
@@ -73,10 +74,11 @@ RELATIONS["raw_campaign_metadata"] = f"""
   SELECT 'cmp-' || p_partkey || ' ' AS campaign_id,
          'Launch ' || p_partkey || ' / Wave' AS campaign_name,
          {_pick(derived.RAW_PUBLISHED, 'p_partkey')} AS channel,
-         CAST(p_retailprice * 10 AS DECIMAL(18, 2)) AS budget_usd,
+         CAST(p_retailprice * CASE WHEN p_partkey % 59 = 0 THEN -10 ELSE 10 END AS DECIMAL(18, 2))
+           AS budget_usd,
          CAST(DATE '1995-01-01' + CAST(p_partkey % 12 * 60 AS INTEGER) AS VARCHAR) AS start_date,
-         CAST(DATE '1995-01-01' + CAST(p_partkey % 12 * 60 + {derived.CAMPAIGN_DAYS} AS INTEGER)
-              AS VARCHAR) AS end_date,
+         CAST(DATE '1995-01-01' + CAST(p_partkey % 12 * 60 + CASE WHEN p_partkey % 53 = 0 THEN -1
+              ELSE {derived.CAMPAIGN_DAYS} END AS INTEGER) AS VARCHAR) AS end_date,
          CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'CTC-00' || (p_partkey % 4 + 1) END
            AS target_company_id
   FROM part"""
@@ -87,37 +89,46 @@ _CONTENT_CHANNEL = _pick(
 RELATIONS["raw_content_performance"] = f"""
   SELECT 'cnt-' || l_orderkey || '-' || l_linenumber AS content_id,
          {_CONTENT_CHANNEL} AS channel,
-         strftime(l_shipdate, '%Y-%m-%d') AS publish_date,
-         CAST(l_quantity * 100 AS BIGINT) AS views,
-         CAST(round(l_quantity * l_discount * 100) AS BIGINT) AS clicks,
+         CASE WHEN l_orderkey % 307 = 0 THEN '31/12/1996' ELSE strftime(l_shipdate, '%Y-%m-%d') END
+           AS publish_date,
+         CASE WHEN l_orderkey % 401 = 0 THEN -1 ELSE 1 END * CAST(l_quantity * 100 AS BIGINT) AS views,
+         CASE WHEN l_orderkey % 409 = 0 THEN -1 - CAST(round(l_quantity * l_discount * 100) AS BIGINT)
+              ELSE CAST(round(l_quantity * l_discount * 100) AS BIGINT) END AS clicks,
          CASE WHEN l_suppkey % 12 = 0 THEN '' ELSE {_CONTENT_CHANNEL} END AS utm_source,
          CASE WHEN l_partkey % 3 = 0 THEN ' ' ELSE 'Launch-' || l_partkey || ' Wave' END
            AS utm_campaign
   FROM lineitem"""
 
-RELATIONS["raw_portfolio_revenue"] = """
-  SELECT 'rev-' || o_orderkey AS revenue_id, 'CTC-00' || (o_custkey % 4 + 1) AS company_id,
-         'usr-' || o_custkey AS user_id, strftime(o_orderdate, '%Y-%m') AS month,
-         CAST(o_totalprice AS DECIMAL(18, 2)) AS revenue_amount,
+RELATIONS["raw_portfolio_revenue"] = f"""
+  SELECT 'rev-' || o_orderkey AS revenue_id,
+         CASE WHEN o_orderkey % 31 = 0 AND month IN {_in(derived.SHORT_MONTHS)} THEN 'CTC-007'
+              WHEN o_orderkey % 37 = 0 AND month IN {_in(derived.GAPPED_MONTHS)} THEN 'CTC-008'
+              ELSE 'CTC-00' || (o_custkey % 4 + 1) END AS company_id,
+         CASE WHEN o_orderkey % 97 = 0 THEN 'ghost-' ELSE 'usr-' END || o_custkey AS user_id,
+         CASE WHEN o_orderkey % 223 = 0 THEN '1996/07' ELSE month END AS month,
+         CAST(CASE WHEN o_orderkey % 211 = 0 THEN -1 ELSE 1 END
+              * CAST(o_totalprice AS DECIMAL(18, 2)) AS DECIMAL(18, 2)) AS revenue_amount,
          o_orderpriority <> '1-URGENT' AS is_recurring
-  FROM orders"""
+  FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders)"""
 
 _WAVE = f"c_custkey // {_USERS}"
 RELATIONS["raw_user_signups"] = f"""
   SELECT 'usr-' || c_custkey AS user_id,
-         coalesce((SELECT strftime(min(o_orderdate), '%Y-%m-%d') FROM orders
-                   WHERE o_custkey = c_custkey), '') AS signup_date,
+         CASE WHEN c_custkey % 83 = 0 THEN '1995-02-30' ELSE
+           coalesce((SELECT strftime(min(o_orderdate), '%Y-%m-%d') FROM orders
+                     WHERE o_custkey = c_custkey), '') END AS signup_date,
          'CTC-00' || (c_custkey % 4 + 1) AS company_id,
-         CASE WHEN c_custkey % 80 = 0 THEN '' ELSE {_pick(derived.RAW_REFERRAL, 'c_custkey')} END
+         CASE WHEN c_custkey % 5 = 0 THEN '' ELSE {_pick(derived.RAW_REFERRAL, 'c_custkey')} END
            AS referral_source,
          CASE WHEN c_custkey % 8 = 0 THEN '' ELSE {_pick(derived.RAW_PUBLISHED, _WAVE)} END
            AS utm_source,
          {_pick(derived.RAW_MEDIUM, 'c_custkey // 7')} AS utm_medium,
          CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'LAUNCH ' || ({_WAVE}) || ' wave!' END
            AS utm_campaign,
-         CASE WHEN c_custkey % 40 = 0 THEN '' WHEN c_custkey % 13 = 0 THEN 'organic'
+         CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 61 = 0 THEN 'Billboard'
+              WHEN c_custkey % 13 = 0 THEN 'organic'
               ELSE {_pick(derived.RAW_PUBLISHED, _WAVE)} END AS first_touch_channel,
-         CASE WHEN c_custkey % 40 = 0 THEN ' '
+         CASE WHEN c_custkey % 7 = 0 THEN ' ' WHEN c_custkey % 127 = 0 THEN 'Billboard'
               WHEN c_custkey % 9 < 5 THEN {_pick(derived.RAW_PUBLISHED, _WAVE)}
               ELSE {_pick(derived.RAW_TOUCH, 'c_nationkey')} END AS last_touch_channel
   FROM customer"""
@@ -181,7 +192,7 @@ def _fit(alias: str, touch: str) -> str:
     return (
         f"{alias}.campaign_slug = t.utm_campaign AND {alias}.channel = t.{touch}_resolved_channel "
         f"AND t.signup_date >= {alias}.start_date AND t.signup_date <= {alias}.end_date "
-        f"AND coalesce({alias}.target_company_id, t.company_id) = t.company_id"
+        f"AND ({alias}.target_company_id IS NULL OR {alias}.target_company_id = t.company_id)"
     )
 
 
@@ -496,7 +507,7 @@ RELATIONS["series"] = """
   UNION ALL SELECT channel, month_start_date, monthly_revenue FROM panel
   UNION ALL SELECT company_id, t.month_start_date, CAST(sum(revenue_amount) AS DOUBLE)
             FROM fct_attributed_revenue f JOIN dim_time t ON t.date_key = f.revenue_date_key
-            GROUP BY 1, 2"""
+            WHERE company_id IS NOT NULL GROUP BY 1, 2"""
 
 RELATIONS["numbered"] = """
   SELECT k, m, v, row_number() OVER (PARTITION BY k ORDER BY m) AS i FROM series
@@ -746,22 +757,6 @@ def _generic_report() -> str:
     )
 
 
-def _schema_report() -> str:
-    rows = []
-    for table in RAW_SCHEMAS:
-        for name, message in (
-            (f"table_exists_{table}", f"Required table raw.{table} exists"),
-            (f"required_columns_{table}", "All required columns are present"),
-            (f"expected_types_{table}", "All columns have the expected types"),
-        ):
-            rows.append((name, message))
-    listed = ", ".join(f"({_quote(n)}, {_quote(m)})" for n, m in rows)
-    return (
-        "SELECT check_name, 'PASS' AS status, CAST(0 AS BIGINT) AS issue_count, message "
-        f"FROM (VALUES {listed}) v(check_name, message)"
-    )
-
-
 def _conservation() -> str:
     def total(table: str, column: str) -> str:
         return f"(SELECT CAST(sum({column}) AS DOUBLE) FROM {table})"
@@ -978,11 +973,13 @@ def oracle_sql() -> dict[str, str]:
           FULL JOIN {_by('last_touch_channel', 'channel_key', 'l')} l USING (channel_key)
           WHERE channel_key IS NOT NULL"""),
         "quality_raw_report": _raw_report(),
-        "quality_schema_report": _schema_report(),
         "quality_duplicates": _select(
             "SELECT content_id, count(*) AS rows FROM raw_content_performance "
             "GROUP BY content_id HAVING count(*) > 1"),
         "quality_orphans": _select(
+            "SELECT user_id, count(*) AS rows FROM raw_portfolio_revenue x WHERE NOT EXISTS "
+            "(SELECT 1 FROM raw_user_signups s WHERE s.user_id = x.user_id) GROUP BY 1"),
+        "quality_content_without_campaign": _select(
             "SELECT utm_campaign AS campaign_slug, count(*) AS rows FROM stg_content_performance x "
             "WHERE NOT EXISTS (SELECT 1 FROM stg_campaign_metadata c "
             "WHERE c.campaign_slug = x.utm_campaign) GROUP BY 1"),
@@ -1013,6 +1010,14 @@ def oracle_sql() -> dict[str, str]:
                  count(*) FILTER (WHERE is_anomaly) AS anomalies FROM named_anomalies"""),
         "holt_fixed_params": _fixed_holt(),
         "holt_fit": _holt_fit(),
+        "series_report": _select(f"""
+          SELECT k AS series_key, CAST(count(*) AS INTEGER) AS months,
+                 CAST(min(m) AS VARCHAR) AS first_month, CAST(max(m) AS VARCHAR) AS last_month,
+                 CASE WHEN count(*) < {FORECAST.holdout} + 3 THEN 'too_short'
+                      WHEN date_diff('month', min(m), max(m)) + 1 <> count(*)
+                           OR count(DISTINCT m) <> count(*) THEN 'irregular'
+                      ELSE 'ok' END AS status
+          FROM series GROUP BY k"""),
         "holt_forecast": _fitted(_future(), ("numbered", "full")),
         "holt_holdout_metrics": _holt_holdout(),
         "holt_comparison": _holt_comparison(),
@@ -1039,7 +1044,7 @@ def oracle_sql() -> dict[str, str]:
                  (SELECT count(*) FROM chosen_campaigns) AS campaign_count,
                  (SELECT count(*) FROM channel_performance WHERE channel_key IN {chosen})
                    AS channel_count,
-                 CAST(6 AS BIGINT) AS forecast_horizon
+                 CAST({FORECAST.horizon} AS BIGINT) AS forecast_horizon
           FROM chosen_detail"""),
         "attribution_comparison": _select("""
           SELECT channel_key, channel_name, CAST(first_touch_revenue AS DOUBLE) AS first_touch_revenue,

@@ -23,6 +23,7 @@ LAYER_OF = {
     "int": "intermediate",
     "dim": "marts",
     "fct": "marts",
+    "channel_month_panel": "anomaly",
 }
 
 # Tables written partitioned, and by which column.
@@ -46,7 +47,7 @@ def catalog_sink(layer: str, name: str, df: DataFrame, partition_by: str | None)
 
 
 def layer_of(table: str) -> str:
-    return LAYER_OF.get(table.split("_")[0], "analytics")
+    return LAYER_OF.get(table) or LAYER_OF.get(table.split("_")[0], "analytics")
 
 
 def storing_models(raw: Mapping[str, DataFrame], sink: Sink = scratch_sink) -> Models:
@@ -58,14 +59,18 @@ def storing_models(raw: Mapping[str, DataFrame], sink: Sink = scratch_sink) -> M
     return Models(raw, keep)
 
 
-def build_models(raw: Mapping[str, DataFrame], sink: Sink = scratch_sink) -> dict[str, DataFrame]:
-    """Store all 17 model tables; every table is computed from stored inputs."""
-    models = storing_models(raw, sink)
-    return {name: getattr(models, name) for name in TABLES}
+def channel_panel(tables: Models, config: AnomalyConfig = ANOMALY) -> DataFrame:
+    """Dense month x channel panel of last-touch revenue, stored once for its readers."""
+    if config != ANOMALY:
+        return planned_panel(tables, config)
+    if "channel_month_panel" not in vars(tables):
+        tables.channel_month_panel = tables.keep(
+            "channel_month_panel", planned_panel(tables, config)
+        )
+    return tables.channel_month_panel
 
 
-def channel_panel(tables: Models, config: AnomalyConfig = ANOMALY) -> DataFrame:
-    """Dense month x channel panel of last-touch revenue from stored tables."""
+def planned_panel(tables: Models, config: AnomalyConfig = ANOMALY) -> DataFrame:
     revenue = anomalies.monthly_channel_revenue(
         attribution.as_cells(tables.fct_attributed_revenue), tables.dim_time, config
     )
@@ -102,11 +107,27 @@ def company_series(tables: Models) -> DataFrame:
     return holt.build_series(history, "company_id", "month", "revenue")
 
 
+def require_rows(tables: Mapping[str, DataFrame]) -> None:
+    """Raise ValueError naming the tables that are empty."""
+    empty = [name for name, df in tables.items() if df.isEmpty()]
+    if empty:
+        raise ValueError(f"No rows in: {', '.join(empty)}")
+
+
 def store_anomalies(
     tables: Models, sink: Sink = scratch_sink, config: AnomalyConfig = ANOMALY
 ) -> DataFrame:
-    # Ranking reads the scored rows three times: store the small panel, not rescan the fact.
-    panel = store.materialize(channel_panel(tables, config), "channel_month_panel")
+    """Score and store the anomalies; raises when there is nothing to score."""
+    require_rows(
+        {
+            "channels": tables.channel_performance,
+            "months": tables.monthly_revenue_customer_growth,
+            "revenue": tables.fct_attributed_revenue,
+        }
+    )
+    # Ranking reads the scored rows three times: the panel is small and stored.
+    panel = channel_panel(tables, config)
+    require_rows({"channel panel": panel})
     scored = anomalies.channel_anomalies(panel, config)
     return sink("anomaly", "channel_revenue_anomalies", scored, None)
 
@@ -118,6 +139,7 @@ def store_forecast(
 
     The fitted series is stored first: three results read it.
     """
+    require_rows({"monthly history": tables.monthly_revenue_customer_growth})
     series = portfolio_series(tables)
     rejected = holt.series_status(series, config).where(F.col("status") != "ok").first()
     if rejected is not None:
@@ -144,6 +166,24 @@ def store_forecast(
     }
 
 
+def all_series(tables: Models) -> DataFrame:
+    """Portfolio, channels and companies: every series of the stored tables."""
+    return (
+        portfolio_series(tables)
+        .unionByName(channel_series(tables))
+        .unionByName(company_series(tables))
+    )
+
+
+def store_series_report(
+    tables: Models, sink: Sink = scratch_sink, config: ForecastConfig = FORECAST
+) -> DataFrame:
+    """Which series can be forecast, and why the others cannot."""
+    return sink(
+        "forecasting", "series_report", holt.series_report(all_series(tables), config), None
+    )
+
+
 def ingest(spark: SparkSession, data_dir: str, raw_root: str) -> dict[str, int]:
     """Load the source files into a new raw version; returns rows per table."""
     return store.publish_tables(spark, read_sources(spark, data_dir), raw_root)
@@ -168,4 +208,5 @@ def run(
     models = storing_models(raw, sink)
     tables = {name: getattr(models, name) for name in TABLES}
     tables["channel_revenue_anomalies"] = store_anomalies(models, sink)
+    tables["series_report"] = store_series_report(models, sink)
     return tables | store_forecast(models, sink)

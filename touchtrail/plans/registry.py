@@ -32,7 +32,6 @@ from touchtrail.operators import (
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
 from touchtrail.sources.derived import raw_tables
-from touchtrail.sources.store import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,15 +124,17 @@ def quality_raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.value_findings(raw_tables(spark, sf_dir)))
 
 
-def quality_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.schema_report(spark, raw_tables(spark, sf_dir))
-
-
 def quality_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicated_keys(raw_tables(spark, sf_dir)["content_performance"], "content_id")
 
 
 def quality_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of revenue records without a signup."""
+    raw = raw_tables(spark, sf_dir)
+    return quality.orphan_keys(raw["portfolio_revenue"], raw["user_signups"], "user_id")
+
+
+def quality_content_without_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content slugs without a campaign of that slug."""
     m = stored(spark, sf_dir)
     content = m.stg_content_performance.select(F.col("utm_campaign").alias("campaign_slug"))
@@ -178,7 +179,7 @@ def rolling_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = materialize(pipeline.channel_panel(stored(spark, sf_dir)), "channel_month_panel")
+    panel = pipeline.channel_panel(stored(spark, sf_dir))
     return comparable(anomalies.channel_anomalies(panel), ANOMALY_DIGITS)
 
 
@@ -217,13 +218,12 @@ def anomaly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Portfolio, channels and companies: every series of the stored tables."""
-    tables = stored(spark, sf_dir)
-    return (
-        pipeline.portfolio_series(tables)
-        .unionByName(pipeline.channel_series(tables))
-        .unionByName(pipeline.company_series(tables))
-    )
+    return pipeline.all_series(stored(spark, sf_dir))
+
+
+def series_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every series with its months and whether it can be forecast."""
+    return comparable(holt.series_report(_all_series(spark, sf_dir)))
 
 
 def holt_fixed_params(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,9 +371,9 @@ def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
 OTHER_QUERIES: tuple[Query, ...] = (
     touch_revenue_by_channel,
     quality_raw_report,
-    quality_schema_report,
     quality_duplicates,
     quality_orphans,
+    quality_content_without_campaign,
     quality_generic_report,
     conservation_report,
     nonnegative_report,
@@ -384,6 +384,7 @@ OTHER_QUERIES: tuple[Query, ...] = (
     anomaly_list,
     anomaly_trend,
     anomaly_kpis,
+    series_report,
     holt_fixed_params,
     holt_fit,
     holt_forecast,

@@ -3,7 +3,10 @@
 Plain per-row arithmetic on whole tables: every part is a campaign, every
 customer a signup, every order a revenue record, every line item a content item.
 Spellings are varied on purpose (case, padding, aliases, blanks), so that the
-cleaning operators have work to do.
+cleaning operators have work to do. With ``flawed`` (the default) some rows also
+break the rules a source should keep, chosen by key arithmetic: unknown users, negative
+amounts, reversed or malformed dates, unlisted companies and channels, and companies with
+few or missing months. Without it the tables pass validation but for repeated keys.
 """
 
 from __future__ import annotations
@@ -34,6 +37,9 @@ TEST_SCHEMAS = {
 CAMPAIGN_USERS = 10  # customers per campaign
 CAMPAIGN_DAYS = 365
 
+SHORT_MONTHS = ("1995-01", "1995-03")
+GAPPED_MONTHS = tuple(f"1996-{m:02d}" for m in range(1, 10) if m != 5)
+
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
@@ -48,30 +54,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TEST_SCHEMAS[name]).parquet(path)
 
 
-def campaign_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _if(flawed: bool, condition: Column, value: Column | str, otherwise: Column) -> Column:
+    return F.when(condition, value).otherwise(otherwise) if flawed else otherwise
+
+
+def campaign_metadata(spark: SparkSession, sf_dir: str, flawed: bool = True) -> DataFrame:
     key = F.col("p_partkey")
     start = F.date_add(F.lit("1995-01-01").cast("date"), ((key % 12) * 60).cast("int"))
+    length = _if(flawed, key % 53 == 0, F.lit(-1), F.lit(CAMPAIGN_DAYS))
+    sign = _if(flawed, key % 59 == 0, F.lit(-10), F.lit(10))
     return _table(spark, sf_dir, "part").select(
         F.concat(F.lit("cmp-"), key.cast("string"), F.lit(" ")).alias("campaign_id"),
         F.concat(F.lit("Launch "), key.cast("string"), F.lit(" / Wave")).alias("campaign_name"),
         _pick(RAW_PUBLISHED, key).alias("channel"),
-        (F.col("p_retailprice") * 10).cast(MONEY).alias("budget_usd"),
+        (F.col("p_retailprice") * sign).cast(MONEY).alias("budget_usd"),
         start.cast("string").alias("start_date"),
-        F.date_add(start, CAMPAIGN_DAYS).cast("string").alias("end_date"),
+        F.date_add(start, length).cast("string").alias("end_date"),
         F.when(key % 3 == 0, "").otherwise(_company(key)).alias("target_company_id"),
     )
 
 
-def content_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+def content_performance(spark: SparkSession, sf_dir: str, flawed: bool = True) -> DataFrame:
+    part, supplier, order = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    views = (F.col("l_quantity") * 100).cast("bigint")
+    clicks = F.round(F.col("l_quantity") * F.col("l_discount") * 100).cast("bigint")
     channel = _pick(RAW_PUBLISHED, F.when(supplier % 5 == 0, supplier).otherwise(part))
     return _table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("cnt-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("content_id"),
         channel.alias("channel"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("publish_date"),
-        (F.col("l_quantity") * 100).cast("bigint").alias("views"),
-        F.round(F.col("l_quantity") * F.col("l_discount") * 100).cast("bigint").alias("clicks"),
+        _if(flawed, order % 307 == 0, "31/12/1996", day).alias("publish_date"),
+        _if(flawed, order % 401 == 0, -views, views).alias("views"),
+        _if(flawed, order % 409 == 0, -clicks - 1, clicks).alias("clicks"),
         F.when(supplier % 12 == 0, "").otherwise(channel).alias("utm_source"),
         F.when(part % 3 == 0, " ")
         .otherwise(F.concat(F.lit("Launch-"), part.cast("string"), F.lit(" Wave")))
@@ -79,19 +94,27 @@ def content_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def portfolio_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = F.col("o_custkey")
+def portfolio_revenue(spark: SparkSession, sf_dir: str, flawed: bool = True) -> DataFrame:
+    user, order = F.col("o_custkey"), F.col("o_orderkey")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    amount = F.col("o_totalprice").cast(MONEY)
+    # One company with two months only, and one whose months have a gap.
+    short = (order % 31 == 0) & month.isin(*SHORT_MONTHS)
+    gapped = (order % 37 == 0) & month.isin(*GAPPED_MONTHS)
+    company = _if(flawed, short, "CTC-007", _if(flawed, gapped, "CTC-008", _company(user)))
+    name = F.concat(F.lit("usr-"), user.cast("string"))
+    ghost = F.concat(F.lit("ghost-"), user.cast("string"))
     return _table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("rev-"), F.col("o_orderkey").cast("string")).alias("revenue_id"),
-        _company(user).alias("company_id"),
-        F.concat(F.lit("usr-"), user.cast("string")).alias("user_id"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
-        F.col("o_totalprice").cast(MONEY).alias("revenue_amount"),
+        F.concat(F.lit("rev-"), order.cast("string")).alias("revenue_id"),
+        company.alias("company_id"),
+        _if(flawed, order % 97 == 0, ghost, name).alias("user_id"),
+        _if(flawed, order % 223 == 0, "1996/07", month).alias("month"),
+        _if(flawed, order % 211 == 0, -amount, amount).cast(MONEY).alias("revenue_amount"),
         (F.col("o_orderpriority") != "1-URGENT").alias("is_recurring"),
     )
 
 
-def user_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_signups(spark: SparkSession, sf_dir: str, flawed: bool = True) -> DataFrame:
     """Customers with their first order date; a customer without orders has none."""
     first_order = (
         _table(spark, sf_dir, "orders")
@@ -102,24 +125,34 @@ def user_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     campaign = F.expr(f"c_custkey div {CAMPAIGN_USERS}")
     seventh = F.expr("c_custkey div 7")
+    day = F.coalesce(F.date_format("first_order", "yyyy-MM-dd"), F.lit(""))
+    # No touch, no UTM source and no referral are independent of each other, so that every
+    # step of the channel fallback occurs.
+    referral = F.when(key % 5 == 0, "").otherwise(_pick(RAW_REFERRAL, key))
+    touched = F.when(key % 13 == 0, "organic").otherwise(_pick(RAW_PUBLISHED, campaign))
+    last = F.when(key % 9 < 5, _pick(RAW_PUBLISHED, campaign)).otherwise(
+        _pick(RAW_TOUCH, F.col("c_nationkey"))
+    )
     return customers.join(first_order, "c_custkey", "left").select(
         F.concat(F.lit("usr-"), key.cast("string")).alias("user_id"),
-        F.coalesce(F.date_format("first_order", "yyyy-MM-dd"), F.lit("")).alias("signup_date"),
+        _if(flawed, key % 83 == 0, "1995-02-30", day).alias("signup_date"),
         _company(key).alias("company_id"),
-        F.when(key % 80 == 0, "").otherwise(_pick(RAW_REFERRAL, key)).alias("referral_source"),
+        referral.alias("referral_source"),
         F.when(key % 8 == 0, "").otherwise(_pick(RAW_PUBLISHED, campaign)).alias("utm_source"),
         _pick(RAW_MEDIUM, seventh).alias("utm_medium"),
         F.when(key % 5 == 0, "")
         .otherwise(F.concat(F.lit("LAUNCH "), campaign.cast("string"), F.lit(" wave!")))
         .alias("utm_campaign"),
-        F.when(key % 40 == 0, "").when(key % 13 == 0, "organic")
-        .otherwise(_pick(RAW_PUBLISHED, campaign)).alias("first_touch_channel"),
-        F.when(key % 40 == 0, " ").when(key % 9 < 5, _pick(RAW_PUBLISHED, campaign))
-        .otherwise(_pick(RAW_TOUCH, F.col("c_nationkey"))).alias("last_touch_channel"),
+        F.when(key % 7 == 0, "")
+        .otherwise(_if(flawed, key % 61 == 0, "Billboard", touched))
+        .alias("first_touch_channel"),
+        F.when(key % 7 == 0, " ")
+        .otherwise(_if(flawed, key % 127 == 0, "Billboard", last))
+        .alias("last_touch_channel"),
     )
 
 
-_DERIVERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_DERIVERS: dict[str, Callable[[SparkSession, str, bool], DataFrame]] = {
     "campaign_metadata": campaign_metadata,
     "content_performance": content_performance,
     "portfolio_revenue": portfolio_revenue,
@@ -130,13 +163,15 @@ _DERIVERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 class RawTables(Mapping[str, DataFrame]):
     """The derived raw tables by name; each is planned when it is first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self._spark, self._sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, flawed: bool = True) -> None:
+        self._spark, self._sf_dir, self._flawed = spark, sf_dir, flawed
         self._planned: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._planned:
-            self._planned[name] = _DERIVERS[name](self._spark, self._sf_dir)
+            self._planned[name] = _DERIVERS[name](
+                self._spark, self._sf_dir, self._flawed
+            )
         return self._planned[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -146,5 +181,5 @@ class RawTables(Mapping[str, DataFrame]):
         return len(_DERIVERS)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(spark, sf_dir)
+def raw_tables(spark: SparkSession, sf_dir: str, flawed: bool = True) -> RawTables:
+    return RawTables(spark, sf_dir, flawed)
