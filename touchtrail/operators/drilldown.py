@@ -7,8 +7,9 @@ they reach the Parquet scan. Sorting is left to the caller's sink (``ordered``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchtrail.config import SKEW, UNKNOWN, SkewConfig
@@ -196,6 +197,72 @@ def top_campaigns(
     return campaigns.orderBy(F.col(measure).desc_nulls_last(), "campaign_id").limit(n)
 
 
+def top_by_every_measure(campaigns: DataFrame, n: int = TOP_CAMPAIGNS) -> DataFrame:
+    """(measure, position, campaign_id, value): the n largest campaigns by each measure.
+
+    Each list is cut by its own top-n before it is numbered, so the window sorts n rows.
+    """
+    lists = []
+    for measure in CAMPAIGN_MEASURES:
+        largest = top_campaigns(campaigns.where(F.col("campaign_id").isNotNull()), measure, n)
+        place = Window.partitionBy("measure").orderBy(F.col("value").desc_nulls_last(), "campaign_id")
+        lists.append(
+            largest.select(
+                F.lit(measure).alias("measure"),
+                "campaign_id",
+                F.col(measure).cast("double").alias("value"),
+            ).select("measure", F.row_number().over(place).alias("position"), "campaign_id", "value")
+        )
+    return reduce(DataFrame.unionByName, lists)
+
+
+def rank_order_violations(anomalies: DataFrame) -> DataFrame:
+    """Pairs of neighbouring ranks whose magnitudes are in the wrong order, and ranks that
+    are missing or repeated.
+
+    A rank is compared with its successor by an equality join, so no task sorts them all.
+    """
+    ranked = anomalies.where("is_anomaly").select(
+        F.col("anomaly_rank").alias("rank"), F.abs("z_score").alias("strength")
+    )
+    following = ranked.select((F.col("rank") - 1).alias("rank"), F.col("strength").alias("next"))
+    joined = ranked.join(following, "rank", "left")
+    last = ranked.agg(F.max("rank")).scalar()
+    repeated = F.count(F.lit(1)) > 1
+    return (
+        joined.groupBy("rank")
+        .agg(
+            F.max("strength").alias("strength"),
+            F.max("next").alias("next_strength"),
+            repeated.alias("repeated"),
+        )
+        .where(
+            F.col("repeated")
+            | (F.col("next_strength") > F.col("strength"))
+            | (F.col("next_strength").isNull() & (F.col("rank") < last))
+        )
+    )
+
+
+def forecast_overlap(history: DataFrame, forecast: DataFrame, month: str = "month") -> DataFrame:
+    """How many forecast months are also observed months: one row."""
+    both = forecast.select(month).join(history.select(month).distinct(), month, "left_semi")
+    return forecast.agg(
+        F.count(F.lit(1)).alias("forecast_months"),
+        F.min(month).alias("first_forecast_month"),
+    ).select(
+        "forecast_months",
+        "first_forecast_month",
+        history.agg(F.max(month)).scalar().alias("last_observed_month"),
+        both.agg(F.count(F.lit(1))).scalar().alias("overlapping_months"),
+    )
+
+
+def with_position(df: DataFrame, *order: Column) -> DataFrame:
+    """The place of each row in a presentation order; for results of presentation size."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
 def with_defined_ctr(channels: DataFrame) -> DataFrame:
     return channels.where(F.col("click_through_rate").isNotNull())
 

@@ -12,7 +12,13 @@ import re
 from touchtrail.config import ANOMALY, CHANNEL_DESCRIPTORS, COMPANY_DESCRIPTORS, FORECAST
 from touchtrail.operators.contracts import CONTRACTS
 from touchtrail.operators.reconciliation import ANALYTICS_TOTALS, NONNEGATIVE
-from touchtrail.plans.registry import CHANNELS, COMPANIES, FIXED_ALPHA, FIXED_BETA
+from touchtrail.plans.registry import (
+    CHANNEL_NAMES,
+    CHANNELS,
+    COMPANIES,
+    FIXED_ALPHA,
+    FIXED_BETA,
+)
 from touchtrail.sources import derived
 from touchtrail.sources.schemas import RAW_SCHEMAS
 
@@ -1062,6 +1068,46 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT * FROM campaign_performance "
             "ORDER BY last_touch_roi DESC NULLS LAST, campaign_id LIMIT 15)",
             _CAMPAIGN_MONEY, "start_date end_date"),
+        "top_campaigns_by_measure": _select("\nUNION ALL ".join(
+            f"""SELECT * FROM (
+                SELECT '{m}' AS measure,
+                       CAST(row_number() OVER (ORDER BY {m} DESC NULLS LAST, campaign_id) AS INTEGER)
+                         AS position,
+                       campaign_id, round(CAST({m} AS DOUBLE), 6) AS value
+                FROM campaign_performance WHERE campaign_id IS NOT NULL) WHERE position <= 15"""
+            for m in ("last_touch_roi", "first_touch_roi", "last_touch_attributed_revenue",
+                      "first_touch_attributed_revenue", "budget_usd"))),
+        "channel_unfiltered": _select("""
+          SELECT channel_key, channel_name, CAST(first_touch_revenue AS DOUBLE) AS first_touch_revenue,
+                 CAST(last_touch_revenue AS DOUBLE) AS last_touch_revenue, views, clicks,
+                 campaign_count,
+                 CAST(row_number() OVER (ORDER BY last_touch_revenue DESC NULLS LAST, channel_key)
+                      AS INTEGER) AS position
+          FROM channel_performance"""),
+        "monthly_unfiltered": _select("""
+          SELECT CAST(month_start_date AS VARCHAR) AS month,
+                 CAST(total_revenue AS DOUBLE) AS total_revenue, active_customers, new_customers,
+                 CAST(row_number() OVER (ORDER BY month_start_date NULLS LAST) AS INTEGER) AS position
+          FROM monthly_revenue_customer_growth"""),
+        "anomaly_all_rows": _table(
+            f"(SELECT * FROM named_anomalies WHERE channel_name IN {_in(CHANNEL_NAMES)})", "",
+            "month_start_date", _ANOMALY_DIGITS),
+        "rank_order_violations": _select("""
+          SELECT count(anomaly_rank) AS ranks,
+                 (SELECT count(*) FROM (
+                    SELECT anomaly_rank, abs(z_score) AS a,
+                           row_number() OVER (ORDER BY anomaly_rank) AS i,
+                           lag(abs(z_score)) OVER (ORDER BY anomaly_rank) AS b
+                    FROM anomalies WHERE is_anomaly)
+                  WHERE i <> anomaly_rank OR b < a) AS violations
+          FROM anomalies"""),
+        "forecast_overlap": _select(f"""
+          SELECT CAST({FORECAST.horizon} AS BIGINT) AS forecast_months,
+                 CAST(CAST(max(month_start_date) + INTERVAL 1 MONTH AS DATE) AS VARCHAR)
+                   AS first_forecast_month,
+                 CAST(max(month_start_date) AS VARCHAR) AS last_observed_month,
+                 CAST(0 AS BIGINT) AS overlapping_months
+          FROM monthly_revenue_customer_growth"""),
         "channels_with_ctr": _select("""
           SELECT channel_name, format('{:.1f}', click_through_rate * 100) || '%' AS click_through_rate,
                  '$' || format('{:,.0f}', CAST(campaign_budget_usd AS DOUBLE)) AS campaign_budget_usd

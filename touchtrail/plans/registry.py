@@ -39,6 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 COMPANIES = ("CTC-001", "CTC-003")
 CHANNELS = ("youtube", "twitter", "organic")
 
+CHANNEL_NAMES = ("YouTube", "Blog")
+
 FIXED_ALPHA, FIXED_BETA = 0.5, 0.2
 
 _STORED: dict[tuple[str, str], Models] = {}
@@ -362,6 +364,62 @@ def top_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(drilldown.top_campaigns(stored(spark, sf_dir).campaign_performance))
 
 
+def top_campaigns_by_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = drilldown.top_by_every_measure(stored(spark, sf_dir).campaign_performance)
+    return comparable(rows, {"value": 6})
+
+
+def channel_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel performance without a selection, in presentation order."""
+    tables = stored(spark, sf_dir)
+    rows = drilldown.channel_performance(tables.channel_performance, _detail(tables))
+    placed = drilldown.with_position(
+        rows, F.col("last_touch_revenue").desc_nulls_last(), F.col("channel_key")
+    )
+    return comparable(
+        placed.select(
+            "channel_key", "channel_name", "first_touch_revenue", "last_touch_revenue", "views",
+            "clicks", "campaign_count", "position",
+        )
+    )
+
+
+def monthly_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly revenue with new customers, in presentation order."""
+    tables = stored(spark, sf_dir)
+    rows = drilldown.monthly_revenue(
+        tables.monthly_revenue_customer_growth, _detail(tables)
+    )
+    return comparable(drilldown.with_position(rows, F.col("month").asc_nulls_last()))
+
+
+def anomaly_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All scored rows of some channels by name, not only the flagged ones."""
+    rows = drilldown.anomaly_list(
+        _named_anomalies(spark, sf_dir), channel_names=CHANNEL_NAMES, show_all=True
+    )
+    return comparable(rows, ANOMALY_DIGITS)
+
+
+def rank_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Breaks in the order of the anomaly ranks, and how many ranks were looked at."""
+    found = stored_anomalies(spark, sf_dir)
+    return found.agg(F.count("anomaly_rank").alias("ranks")).select(
+        "ranks",
+        drilldown.rank_order_violations(found)
+        .agg(F.count(F.lit(1)))
+        .scalar()
+        .alias("violations"),
+    )
+
+
+def forecast_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = stored(spark, sf_dir).monthly_revenue_customer_growth.select(
+        F.col("month_start_date").alias("month")
+    )
+    return comparable(drilldown.forecast_overlap(history, _portfolio_forecast(spark, sf_dir)))
+
+
 def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = drilldown.with_defined_ctr(stored(spark, sf_dir).channel_performance)
     shown = rows.select("channel_name", "click_through_rate", "campaign_budget_usd")
@@ -402,6 +460,12 @@ OTHER_QUERIES: tuple[Query, ...] = (
     attribution_long,
     top_campaigns,
     channels_with_ctr,
+    top_campaigns_by_measure,
+    channel_unfiltered,
+    monthly_unfiltered,
+    anomaly_all_rows,
+    rank_order_violations,
+    forecast_overlap,
 )
 
 
