@@ -220,3 +220,16 @@ def test_flawed_sources_break_rules_of_every_kind(spark, sf_dir):
     assert {"utm_source", "referral_source"} <= reasons
     flags = journeys.int_attributed_revenue.select("missing_journey_flag").distinct().collect()
     assert {r[0] for r in flags} == {True, False}
+
+
+def test_references_are_joined_once_per_type(tables):
+    """The references share joins; parents are not copied into every child's plan."""
+    plan = contracts.contract_report(tables)._jdf.queryExecution().optimizedPlan().toString()
+    joins = plan.count("Join LeftOuter") + plan.count("Join LeftAnti")
+    kinds = {
+        dict(tables[t].dtypes)[c]
+        for t, contract in contracts.CONTRACTS.items()
+        for c, _, _ in contract.references
+    }
+    assert joins == len(kinds) + 1
+    assert plan.count("Relation [") < 5 * len(tables)

@@ -235,71 +235,96 @@ def constraint_names(tables: Mapping[str, DataFrame | list[str]], contracts=CONT
 
 
 # Expressions below are generated as SQL text: one call per table, not one per rule.
+# Constraints travel as their number in ``constraint_names``, not as text.
 
 
-def _missing_values(table: str, df: DataFrame, contract: Contract) -> DataFrame:
+def _missing_values(
+    table: str, df: DataFrame, contract: Contract, numbers: Mapping[str, int]
+) -> DataFrame:
     required = [c for c in df.columns if c not in contract.optional]
     counts = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS `{c}`" for c in required])
-    rows = ", ".join(f"{sql_text(f'not_null:{table}.{c}')}, `{c}`" for c in required)
-    return counts.selectExpr(f"stack({len(required)}, {rows}) AS (constraint_name, failures)")
+    rows = ", ".join(f"{numbers[f'not_null:{table}.{c}']}, `{c}`" for c in required)
+    return counts.selectExpr(f"stack({len(required)}, {rows}) AS (number, failures)")
 
 
-def _checked_values(table: str, df: DataFrame, contract: Contract) -> DataFrame:
-    """(constraint, value) pairs: all values of unique columns, unlisted values otherwise."""
+def _checked_values(
+    table: str, df: DataFrame, contract: Contract, numbers: Mapping[str, int]
+) -> DataFrame:
+    """(number, value) pairs: all values of unique columns, unlisted values otherwise."""
     entries = [
-        f"{sql_text(f'unique:{table}.{c}')}, CAST(`{c}` AS STRING)" for c in contract.unique
+        f"{numbers[f'unique:{table}.{c}']}, CAST(`{c}` AS STRING)" for c in contract.unique
     ]
     for c, vocabulary in contract.accepted.items():
         listed = ", ".join(sql_text(v) for v in vocabulary)
         unlisted = f"CASE WHEN `{c}` NOT IN ({listed}) THEN CAST(`{c}` AS STRING) END"
-        entries.append(f"{sql_text(f'accepted:{table}.{c}')}, {unlisted}")
-    pairs = f"stack({len(entries)}, {', '.join(entries)}) AS (constraint_name, value)"
+        entries.append(f"{numbers[f'accepted:{table}.{c}']}, {unlisted}")
+    pairs = f"stack({len(entries)}, {', '.join(entries)}) AS (number, value)"
     return df.selectExpr(pairs).where("value IS NOT NULL")
 
 
-def _value_failures(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
+def _value_failures(
+    tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract], numbers: Mapping[str, int]
+) -> DataFrame:
     """Failing values: duplicated ones of unique columns, unlisted ones otherwise."""
     pairs = reduce(
         DataFrame.unionByName,
-        [_checked_values(t, tables[t], c) for t, c in contracts.items() if c.unique or c.accepted],
-    )
-    counted = pairs.groupBy("constraint_name", "value").agg(F.count(F.lit(1)).alias("rows"))
-    failing = F.col("constraint_name").startswith("accepted:") | (F.col("rows") > 1)
-    return counted.where(failing).groupBy("constraint_name").agg(
-        F.count(F.lit(1)).alias("failures")
+        [
+            _checked_values(t, tables[t], c, numbers)
+            for t, c in contracts.items()
+            if c.unique or c.accepted
+        ],
     )
+    counted = pairs.groupBy("number", "value").agg(F.count(F.lit(1)).alias("rows"))
+    accepted = [i for name, i in numbers.items() if name.startswith("accepted:")]
+    failing = F.col("number").isin(accepted) | (F.col("rows") > 1)
+    return counted.where(failing).groupBy("number").agg(F.count(F.lit(1)).alias("failures"))
 
 
 def _reference_failures(
-    tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]
-) -> DataFrame:
-    """Rows whose populated key has no parent; counted per key before the join."""
-    children, parents = [], {}
+    tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract], numbers: Mapping[str, int]
+) -> list[DataFrame]:
+    """Rows whose populated key has no parent; counted per key before the join.
+
+    Keys keep their type: one join for all references of a type, whichever tables they
+    are between. It is an outer join with a flag, because an anti join would be pushed
+    below the count and the union, and then run, parents and all, once per table.
+    """
+    by_type: dict[str, dict[str, list[tuple[int, int, str]]]] = {}
+    targets: dict[tuple[str, str], int] = {}
     for table, contract in contracts.items():
-        if not contract.references:
-            continue
-        entries = []
+        types = dict(tables[table].dtypes)
         for column, parent, parent_column in contract.references:
-            target = f"{parent}.{parent_column}"
-            parents[target] = tables[parent].selectExpr(
-                f"{sql_text(target)} AS target", f"CAST(`{parent_column}` AS STRING) AS value"
-            )
-            name = f"reference:{table}.{column}->{target}"
-            entries.append(f"{sql_text(name)}, {sql_text(target)}, CAST(`{column}` AS STRING)")
-        triples = f"stack({len(entries)}, {', '.join(entries)}) AS (constraint_name, target, value)"
-        children.append(tables[table].selectExpr(triples))
-    counted = (
-        reduce(DataFrame.unionByName, children)
-        .where(F.col("value").isNotNull())
-        .groupBy("constraint_name", "target", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    known = reduce(DataFrame.unionByName, parents.values()).distinct()
-    return (
-        counted.join(known, ["target", "value"], "left_anti")
-        .groupBy("constraint_name")
-        .agg(F.sum("rows").alias("failures"))
-    )
+            number = numbers[f"reference:{table}.{column}->{parent}.{parent_column}"]
+            target = targets.setdefault((parent, parent_column), len(targets))
+            kind = types[column]
+            by_type.setdefault(kind, {}).setdefault(table, []).append((number, target, column))
+    failures = []
+    for kind, children in by_type.items():
+        listed, wanted = [], {}
+        for table, references in children.items():
+            entries = ", ".join(f"{n}, {t}, `{c}`" for n, t, c in references)
+            triples = f"stack({len(references)}, {entries}) AS (number, target, value)"
+            listed.append(tables[table].selectExpr(triples))
+            wanted |= {t: None for _, t, _ in references}
+        parents = [
+            tables[parent].selectExpr(f"{t} AS target", f"CAST(`{c}` AS {kind}) AS value")
+            for (parent, c), t in targets.items()
+            if t in wanted
+        ]
+        counted = (
+            reduce(DataFrame.unionByName, listed)
+            .where("value IS NOT NULL")
+            .groupBy("number", "target", "value")
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        known = reduce(DataFrame.unionByName, parents).distinct().withColumn("known", F.lit(True))
+        failures.append(
+            counted.join(known, ["target", "value"], "left")
+            .where("known IS NULL")
+            .groupBy("number")
+            .agg(F.sum("rows").alias("failures"))
+        )
+    return failures
 
 
 def contract_report(
@@ -309,17 +334,20 @@ def contract_report(
     values for unique and accepted."""
     spark = next(iter(tables.values())).sparkSession
     names = constraint_names(tables, contracts)
+    numbers = {name: i for i, name in enumerate(names)}
     listed = ", ".join(sql_text(n) for n in names)
-    all_names = spark.range(1).selectExpr(f"explode(array({listed})) AS constraint_name")
+    all_names = spark.range(1).selectExpr(
+        f"posexplode(array({listed})) AS (number, constraint_name)"
+    )
     found = reduce(
         DataFrame.unionByName,
         [
-            *[_missing_values(t, tables[t], c) for t, c in contracts.items()],
-            _value_failures(tables, contracts),
-            _reference_failures(tables, contracts),
+            *[_missing_values(t, tables[t], c, numbers) for t, c in contracts.items()],
+            _value_failures(tables, contracts, numbers),
+            *_reference_failures(tables, contracts, numbers),
         ],
     )
-    return all_names.join(found, "constraint_name", "left").select(
+    return all_names.join(found, "number", "left").select(
         "constraint_name",
         F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
         (F.coalesce("failures", F.lit(0)) == 0).alias("passed"),
