@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchtrail.config import FORECAST, ForecastConfig
-from touchtrail.functions.columns import round_half_away
 
 def _d(x: float) -> Column:
     return F.lit(float(x))

@@ -100,7 +100,8 @@ RELATIONS["raw_content_performance"] = f"""
          CASE WHEN l_orderkey % 401 = 0 THEN -1 ELSE 1 END * CAST(l_quantity * 100 AS BIGINT) AS views,
          CASE WHEN l_orderkey % 409 = 0 THEN -1 - CAST(round(l_quantity * l_discount * 100) AS BIGINT)
               ELSE CAST(round(l_quantity * l_discount * 100) AS BIGINT) END AS clicks,
-         CASE WHEN l_suppkey % 12 = 0 THEN '' ELSE {_CONTENT_CHANNEL} END AS utm_source,
+         CASE WHEN l_orderkey % 311 = 0 THEN NULL WHEN l_suppkey % 12 = 0 THEN ''
+              ELSE {_CONTENT_CHANNEL} END AS utm_source,
          CASE WHEN l_partkey % 3 = 0 THEN ' ' ELSE 'Launch-' || l_partkey || ' Wave' END
            AS utm_campaign
   FROM lineitem"""
@@ -128,7 +129,8 @@ RELATIONS["raw_user_signups"] = f"""
            AS referral_source,
          CASE WHEN c_custkey % 8 = 0 THEN '' ELSE {_pick(derived.RAW_PUBLISHED, _WAVE)} END
            AS utm_source,
-         {_pick(derived.RAW_MEDIUM, 'c_custkey // 7')} AS utm_medium,
+         CASE WHEN c_custkey % 67 = 0 THEN NULL ELSE {_pick(derived.RAW_MEDIUM, 'c_custkey // 7')} END
+           AS utm_medium,
          CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'LAUNCH ' || ({_WAVE}) || ' wave!' END
            AS utm_campaign,
          CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 61 = 0 THEN 'Billboard'
@@ -1068,6 +1070,16 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT * FROM campaign_performance "
             "ORDER BY last_touch_roi DESC NULLS LAST, campaign_id LIMIT 15)",
             _CAMPAIGN_MONEY, "start_date end_date"),
+        "loaded_campaigns": _table("raw_campaign_metadata", "budget_usd"),
+        "loaded_content": _table("raw_content_performance"),
+        "loaded_revenue": _table("raw_portfolio_revenue", "revenue_amount"),
+        "loaded_signups": _table("raw_user_signups"),
+        "loaded_row_counts": _select("\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS rows FROM raw_{t}"
+            for t in ("campaign_metadata", "content_performance", "portfolio_revenue",
+                      "user_signups"))),
+        "layer_table_rows": _select(
+            "SELECT channel_key, CAST(2 AS BIGINT) AS rows FROM dim_channel"),
         "top_campaigns_by_measure": _select("\nUNION ALL ".join(
             f"""SELECT * FROM (
                 SELECT '{m}' AS measure,

@@ -13,7 +13,9 @@ from long chains of floating-point sums.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +33,15 @@ from touchtrail.operators import (
 )
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
+from touchtrail.sources import raw_files
 from touchtrail.sources.derived import raw_tables
+from touchtrail.sources.store import (
+    append_table,
+    overwrite_table,
+    read_published,
+    read_table,
+    scratch_dir,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +118,53 @@ def _model_query(attribute: str) -> Query:
     return lambda spark, sf_dir: comparable(stored(spark, sf_dir).plan(attribute))
 
 
+# -- sources and sinks -----------------------------------------------------------------
+
+_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables written as source files, read, published as a version and read back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        folder = f"{scratch_dir(spark)}/sources-{uuid.uuid4().hex}"
+        raw_files.write_sources(raw_tables(spark, sf_dir), f"{folder}/files")
+        counts = pipeline.ingest(spark, f"{folder}/files", f"{folder}/raw")
+        _LOADED[key] = read_published(spark, f"{folder}/raw", list(counts))
+    return _LOADED[key]
+
+
+def _loaded_query(table: str) -> Query:
+    return lambda spark, sf_dir: comparable(loaded(spark, sf_dir)[table])
+
+
+LOADED_QUERIES = {
+    "loaded_campaigns": "campaign_metadata",
+    "loaded_content": "content_performance",
+    "loaded_revenue": "portfolio_revenue",
+    "loaded_signups": "user_signups",
+}
+
+
+def loaded_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each published raw table."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, df in loaded(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def layer_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per channel of a layer table that was overwritten twice and appended to once."""
+    channels = stored(spark, sf_dir).dim_channel
+    for _ in range(2):
+        overwrite_table(channels, "analytics", "channel_sink")
+    append_table(channels, "analytics", "channel_sink")
+    written = read_table(spark, "analytics", "channel_sink")
+    return written.groupBy("channel_key").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # -- touch revenue -------------------------------------------------------------------
 
 
@@ -460,6 +517,8 @@ OTHER_QUERIES: tuple[Query, ...] = (
     attribution_long,
     top_campaigns,
     channels_with_ctr,
+    loaded_row_counts,
+    layer_table_rows,
     top_campaigns_by_measure,
     channel_unfiltered,
     monthly_unfiltered,
@@ -471,5 +530,6 @@ OTHER_QUERIES: tuple[Query, ...] = (
 
 def queries() -> dict[str, Query]:
     registered = {name: _model_query(attribute) for name, attribute in MODEL_QUERIES.items()}
+    registered |= {name: _loaded_query(table) for name, table in LOADED_QUERIES.items()}
     registered |= {query.__name__: query for query in OTHER_QUERIES}
     return registered

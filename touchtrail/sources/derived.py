@@ -87,7 +87,10 @@ def content_performance(spark: SparkSession, sf_dir: str, flawed: bool = True) -
         _if(flawed, order % 307 == 0, "31/12/1996", day).alias("publish_date"),
         _if(flawed, order % 401 == 0, -views, views).alias("views"),
         _if(flawed, order % 409 == 0, -clicks - 1, clicks).alias("clicks"),
-        F.when(supplier % 12 == 0, "").otherwise(channel).alias("utm_source"),
+        F.when(order % 311 == 0, None)
+        .when(supplier % 12 == 0, "")
+        .otherwise(channel)
+        .alias("utm_source"),
         F.when(part % 3 == 0, " ")
         .otherwise(F.concat(F.lit("Launch-"), part.cast("string"), F.lit(" Wave")))
         .alias("utm_campaign"),
@@ -139,7 +142,7 @@ def user_signups(spark: SparkSession, sf_dir: str, flawed: bool = True) -> DataF
         _company(key).alias("company_id"),
         referral.alias("referral_source"),
         F.when(key % 8 == 0, "").otherwise(_pick(RAW_PUBLISHED, campaign)).alias("utm_source"),
-        _pick(RAW_MEDIUM, seventh).alias("utm_medium"),
+        F.when(key % 67 == 0, None).otherwise(_pick(RAW_MEDIUM, seventh)).alias("utm_medium"),
         F.when(key % 5 == 0, "")
         .otherwise(F.concat(F.lit("LAUNCH "), campaign.cast("string"), F.lit(" wave!")))
         .alias("utm_campaign"),

@@ -111,3 +111,44 @@ def read_sources(
         else:
             tables[table] = read_csv_source(spark, path, schema)
     return tables
+
+
+# -- writing -----------------------------------------------------------------------
+
+
+def write_csv_source(df: DataFrame, path: str) -> None:
+    """A folder of CSV files with headers; NULL is written as the sentinel."""
+    values = [
+        F.coalesce(F.col(c).cast("string"), F.lit(SOURCE_NULL)).alias(c) for c in df.columns
+    ]
+    (
+        df.select(*values)
+        .write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
+def write_json_source(
+    df: DataFrame, path: str, key: str, documents: int = 8, list_field: str = "signups"
+) -> None:
+    """A folder of JSON documents ``{list_field: [{...}, ...]}``, rows dealt by ``key``."""
+    record = F.struct(*df.columns)
+    dealt = df.groupBy(F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document")).agg(
+        F.collect_list(record).alias(list_field)
+    )
+    text = F.to_json(F.struct(list_field), {"ignoreNullFields": "false"})
+    dealt.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def write_sources(
+    tables: Mapping[str, DataFrame], data_dir: str, files: Mapping[str, str] = SOURCE_FILES
+) -> None:
+    """The raw tables as a source folder that :func:`read_sources` reads."""
+    for table, path in source_paths(data_dir, files).items():
+        if path.endswith(".json"):
+            write_json_source(tables[table], path, tables[table].columns[0])
+        else:
+            write_csv_source(tables[table], path)
