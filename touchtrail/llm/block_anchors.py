@@ -63,13 +63,12 @@ class Words:
 def parcels(
     chunk: r.Chunk, words: Words, places: np.ndarray, buckets: np.ndarray, short: np.ndarray,
     long: np.ndarray | None, n_buckets: int,
-) -> Iterator[tuple]:
+) -> Iterator[pa.RecordBatch]:
     """Resolve what repeats within the chunk, and send one witness of it and the rest.
 
     ``places``: word places in the chunk, ascending. Witnesses are marked as seen.
     """
-    keys = (buckets, short) if long is None else (buckets, short, long)
-    order, group = r.groups(*keys)
+    order, group = r.groups(short, buckets) if long is None else r.groups(short, long, buckets)
     size = np.bincount(group) if len(group) else np.empty(0, dtype=np.int64)
     repeated = np.zeros(len(places), dtype=bool)
     repeated[order] = size[group] > 1
@@ -78,23 +77,28 @@ def parcels(
         leader[order[np.concatenate(([True], np.diff(group) > 0))]] = True
     doc = words.doc[places]
     inside = places - words.first[doc]
-    for row, hits in r.hits_by_row(chunk.rows[doc[repeated]], inside[repeated]):
-        yield (row % n_buckets, b"", b"", b"", b"", b"", b"", hits, row)
+    row, hits = r.runs_by_row(chunk.rows[doc[repeated]], inside[repeated])
+    spread = pa.array(row.to_numpy() % n_buckets)
+    yield r.filled(PARCEL_SCHEMA, {"bucket": spread, "row": row, "hits": hits})
     sent = np.flatnonzero(~repeated | leader)
+    found = []
     for bucket, part in r.by_bucket(buckets[sent]):
         at = sent[part]
         docs, counts = np.unique(doc[at], return_counts=True)
-        yield (
-            bucket,
-            r.steps(chunk.rows[docs]),
-            r.steps(counts),
-            r.steps(inside[at]),
-            r.planes(short[at]),
-            b"" if long is None else r.planes(long[at]),
-            np.packbits(repeated[at]).tobytes(),
-            b"",
-            0,
+        found.append(
+            (
+                bucket,
+                r.steps(chunk.rows[docs]),
+                r.steps(counts),
+                r.steps(inside[at]),
+                r.planes(short[at]),
+                b"" if long is None else r.planes(long[at]),
+                np.packbits(repeated[at]).tobytes(),
+                None,
+                None,
+            )
         )
+    yield r.binary_batch(PARCEL_SCHEMA, found)
 
 
 def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
@@ -104,11 +108,9 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
     """
     parts: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
-        passed = []
-        for p in batch.to_pylist():
-            if p["hits"]:
-                passed.append((p["row"], p["hits"]))
-                continue
+        passed, rest = r.take_passed(batch, "hits")
+        yield passed.select(["row", "hits"])
+        for p in rest:
             places = r.unsteps(p["places"])
             rows = np.repeat(r.unsteps(p["rows"]), r.unsteps(p["counts"]))
             short = r.unplanes(p["short"], "<u4" if grid else "<u8")
@@ -116,27 +118,30 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
             seen = np.unpackbits(np.frombuffer(p["seen"], np.uint8), count=len(places)).view(bool)
             bucket = np.full(len(places), p["bucket"], dtype=np.int32)
             parts.append((bucket, short, long, rows, places, seen))
-        if passed:
-            yield r.binary_batch(HITS_SCHEMA, passed)
     if not parts:
         return
     bucket, short, long, rows, places, seen = (np.concatenate(c) for c in zip(*parts))
     del parts
-    order, group = r.groups(bucket, short, long)
+    if grid:
+        order, group = r.groups(bucket.astype(r.U64) << r.U64(32) | short)
+    else:
+        order, group = r.groups(short, long, bucket)
     size = np.bincount(group)
-    seen_in = np.zeros(len(size), dtype=bool)
-    seen_in[group[seen[order]]] = True
+    hit = np.zeros(len(size), dtype=bool)
     if grid:
-        indexed = np.zeros(len(size), dtype=bool)
-        indexed[group[places[order] % grid == 0]] = True
-        hit = seen_in | (indexed & (size > 1))
+        hit[group[places[order] % grid == 0]] = True
+        hit &= size > 1
     else:
-        hit = seen_in | (size > 1)
-    found = order[hit[group]]
-    found = found[~seen[found]]
-    rows_out = r.hits_by_row(rows[found], places[found])
-    for first in range(0, len(rows_out), 5000):
-        yield r.binary_batch(HITS_SCHEMA, rows_out[first : first + 5000])
+        hit = size > 1
+    hit[group[seen[order]]] = True
+    found = np.empty(len(order), dtype=bool)
+    found[order] = hit[group]
+    found &= ~seen
+    row, hits = r.runs_by_row(rows[found], places[found])
+    for first in range(0, len(row), 5000):
+        yield pa.RecordBatch.from_arrays(
+            [row.slice(first, 5000), hits.slice(first, 5000)], schema=HITS_SCHEMA
+        )
 
 
 def remove_repeats(
@@ -156,6 +161,8 @@ def remove_repeats(
     block = (window + 1) // 2
     rows = r.numbered(docs, id_col, text_col, "repeat-rows")
     n_buckets = r.bucket_count(rows)
+    # Far fewer windows than places are looked up.
+    n_window_buckets = max(4, n_buckets // 3)
 
     def probe(batches: Batches) -> Iterator[pa.RecordBatch]:
         for chunk, _ in r.doc_chunks(batches):
@@ -166,10 +173,7 @@ def remove_repeats(
             h = r.mixed(r.rolled(words.hashes, block, r.BASES[1]))[places]
             buckets = (h % r.U64(n_buckets)).astype(np.int32)
             short = (h >> r.U64(32)).astype("<u4")
-            yield r.binary_batch(
-                PARCEL_SCHEMA,
-                list(parcels(chunk, words, places, buckets, short, None, n_buckets)),
-            )
+            yield from parcels(chunk, words, places, buckets, short, None, n_buckets)
 
     def extend(batches: Batches) -> Iterator[pa.RecordBatch]:
         for chunk, more in r.doc_chunks(batches, ("hits",)):
@@ -185,11 +189,9 @@ def remove_repeats(
             places = np.flatnonzero(ok & near[: len(ok)])
             one = r.mixed(r.rolled(words.hashes, window, r.BASES[1]))[places]
             two = r.mixed(r.rolled(words.hashes, window, r.BASES[0]))[places]
-            buckets = (two % r.U64(n_buckets)).astype(np.int32)
+            buckets = (two % r.U64(n_window_buckets)).astype(np.int32)
             long = (two >> r.U64(48)).astype("<u2")
-            yield r.binary_batch(
-                PARCEL_SCHEMA, list(parcels(chunk, words, places, buckets, one, long, n_buckets))
-            )
+            yield from parcels(chunk, words, places, buckets, one, long, n_window_buckets)
 
     def among_blocks(batches: Batches) -> Iterator[pa.RecordBatch]:
         return look_up(batches, block)
@@ -197,15 +199,15 @@ def remove_repeats(
     def among_windows(batches: Batches) -> Iterator[pa.RecordBatch]:
         return look_up(batches, None)
 
-    def looked_up(sent: DataFrame, look) -> DataFrame:
-        dealt = sent.repartitionById(n_buckets, F.col("bucket"))
+    def looked_up(sent: DataFrame, look, n: int) -> DataFrame:
+        dealt = sent.repartitionById(n, F.col("bucket"))
         found = dealt.mapInArrow(look, "row long, hits binary")
         return found.groupBy("row").agg(F.collect_list("hits").alias("hits"))
 
-    anchors = looked_up(rows.mapInArrow(probe, PARCEL), among_blocks)
+    anchors = looked_up(rows.mapInArrow(probe, PARCEL), among_blocks, n_buckets)
     # Both joins read the same shuffle of the texts.
     around = rows.join(anchors, "row", "left")
-    repeats = looked_up(around.mapInArrow(extend, PARCEL), among_windows)
+    repeats = looked_up(around.mapInArrow(extend, PARCEL), among_windows, n_window_buckets)
 
     out = pa.schema(
         [
@@ -232,7 +234,7 @@ def remove_repeats(
                     kept, spans = words, []
                     if hits:
                         gone = r.marked(hits, len(words), after=window - 1)
-                        spans = r.to_runs(np.flatnonzero(gone)).reshape(-1, 2).tolist()
+                        spans = r.to_runs(np.flatnonzero(gone)).tolist()
                         kept = [w for w, g in zip(words, gone.tolist()) if not g]
                     joined = b" ".join(kept)
                     result.append(

@@ -174,7 +174,7 @@ def _answered(batches: Batches, totals: tuple[int, int] | None) -> Iterator[pa.R
     sizes = [len(a[2]) for a in asked]
     bucket = np.repeat(np.array([a[0] for a in asked], dtype=np.int32), sizes)
     keys, fit, tuned = (np.concatenate([a[i] for a in asked]) for i in (3, 4, 5))
-    order, group = r.groups(bucket, keys)
+    order, group = r.groups(keys, bucket)
     del bucket, keys
     n = int(group[-1]) + 1
     member = np.empty(len(order), dtype=np.int64)

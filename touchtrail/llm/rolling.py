@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,43 +151,73 @@ def by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def to_runs(positions: np.ndarray) -> np.ndarray:
-    """Ascending distinct positions as start, end, start, end ... of consecutive runs."""
+    """Ascending distinct positions as (start, end) rows of consecutive runs."""
     if not len(positions):
-        return np.empty(0, dtype=np.int64)
+        return np.empty((0, 2), dtype=np.int64)
     cut = np.flatnonzero(np.diff(positions) != 1)
     starts = positions[np.concatenate(([0], cut + 1))]
     ends = positions[np.concatenate((cut, [len(positions) - 1]))] + 1
-    return np.stack((starts, ends), axis=1).reshape(-1).astype(np.int64)
+    return np.stack((starts, ends), axis=1)
 
 
 def marked(runs: list[bytes], size: int, before: int = 0, after: int = 0) -> np.ndarray:
     """Which of ``size`` places lie in one of the stored runs, each run widened by
     ``before`` places to the left and ``after`` to the right."""
-    level = np.zeros(size + 1, dtype=np.int64)
-    for data in runs:
-        pairs = unsteps(data)
-        np.add.at(level, np.clip(pairs[::2] - before, 0, size), 1)
-        np.add.at(level, np.clip(pairs[1::2] + after, 0, size), -1)
-    return np.cumsum(level[:-1]) > 0
+    pairs = np.frombuffer(b"".join(runs), "<u4").reshape(-1, 2).astype(np.int64)
+    starts = np.bincount(np.clip(pairs[:, 0] - before, 0, size), minlength=size + 1)
+    ends = np.bincount(np.clip(pairs[:, 1] + after, 0, size), minlength=size + 1)
+    return np.cumsum(starts[:size] - ends[:size]) > 0
 
 
-def hits_by_row(rows: np.ndarray, positions: np.ndarray) -> list[tuple[int, bytes]]:
-    """(row, runs of positions) for unordered (row, position) pairs."""
+def runs_by_row(rows: np.ndarray, positions: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """(row, its runs of positions as bytes) for positions that ascend within a row and
+    rows that stand together."""
     if not len(rows):
-        return []
-    order = np.lexsort((positions, rows))
-    rows, positions = rows[order], positions[order]
-    cuts = [0, *(np.flatnonzero(np.diff(rows)) + 1).tolist(), len(rows)]
-    return [
-        (int(rows[a]), steps(to_runs(np.unique(positions[a:b])))) for a, b in zip(cuts, cuts[1:])
-    ]
-
-
-def groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, group number along the order) of equal keys."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+        return pa.array([], pa.int64()), pa.array([], pa.binary())
+    new_row = rows[1:] != rows[:-1]
+    cut = np.flatnonzero(new_row | (positions[1:] != positions[:-1] + 1))
+    first = np.concatenate(([0], cut + 1))
+    last = np.concatenate((cut, [len(rows) - 1]))
+    pairs = np.stack((positions[first], positions[last] + 1), axis=1).astype("<u4")
+    of_run = rows[first]
+    starts = np.concatenate(([0], np.flatnonzero(of_run[1:] != of_run[:-1]) + 1))
+    offsets = (np.append(starts, len(of_run)) * 8).astype(np.int32)
+    binary = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())]
+    )
+    return pa.array(of_run[starts], pa.int64()), binary
+
+
+def filled(schema: pa.Schema, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch of the given columns, NULL in all others."""
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema],
+        schema=schema,
+    )
+
+
+def take_passed(batch: pa.RecordBatch, name: str) -> tuple[pa.RecordBatch, list[dict]]:
+    """Rows that carry finished hits in column ``name``, and the parcels among the rest."""
+    passed = batch.column(name).is_valid()
+    return batch.filter(passed), batch.filter(pc.invert(passed)).to_pylist()
+
+
+def groups(key: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, group number along the order) of equal rows of keys.
+
+    Rows are sorted by ``key`` alone; the other keys sort only what is equal in it.
+    """
+    order = np.argsort(key)
+    s = key[order]
+    equal = s[1:] == s[:-1]
+    if more and equal.any():
+        some = np.flatnonzero(np.append(equal, False) | np.insert(equal, 0, False))
+        members = order[some]
+        order[some] = members[np.lexsort((*(m[members] for m in more[::-1]), key[members]))]
     changed = np.zeros(len(order), dtype=bool)
-    for k in keys:
+    changed[1:] = ~equal
+    for k in more:
         s = k[order]
         changed[1:] |= s[1:] != s[:-1]
     return order, np.cumsum(changed)

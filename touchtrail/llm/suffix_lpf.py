@@ -34,9 +34,13 @@ from touchtrail.llm.common import Batches
 
 ANCHOR = 20
 
+# Bytes of a hash that go through the shuffle; the bucket tells a few bits more.
+AROUND_BYTES = 4
+HEAD_BYTES = 8
+
 PARCEL = (
-    "bucket int, rows binary, orders binary, counts binary, places binary, short binary, "
-    "long binary, covered binary, row long"
+    "bucket int, rows binary, orders binary, counts binary, places binary, keys binary, "
+    "anchors binary, covered binary, row long"
 )
 PARCEL_SCHEMA = pa.schema(
     [
@@ -45,8 +49,8 @@ PARCEL_SCHEMA = pa.schema(
         pa.field("orders", pa.binary()),
         pa.field("counts", pa.binary()),
         pa.field("places", pa.binary()),
-        pa.field("short", pa.binary()),
-        pa.field("long", pa.binary()),
+        pa.field("keys", pa.binary()),
+        pa.field("anchors", pa.binary()),
         pa.field("covered", pa.binary()),
         pa.field("row", pa.int64()),
     ]
@@ -80,34 +84,39 @@ def nearest_smaller(values: np.ndarray) -> np.ndarray:
     return answer
 
 
-def previous_factors(keys: tuple[np.ndarray, ...], order: np.ndarray, length: int) -> np.ndarray:
+def previous_factors(
+    key: np.ndarray, more: tuple[np.ndarray, ...], order: np.ndarray, length: int
+) -> np.ndarray:
     """Longest previous factor of every suffix, cut at ``length``: ``length`` or 0.
 
-    ``keys`` are the hashed heads of the suffixes, ``order`` the place of their documents.
-    The suffixes are sorted by head; neighbours with the same head share ``length`` bytes.
+    ``key`` and ``more`` are the hashed heads of the suffixes, ``order`` the place of their
+    documents. The suffixes are sorted by head; neighbours with the same head share
+    ``length`` bytes.
     """
-    suffixes = np.lexsort((*keys[::-1],))
-    heads = np.zeros(len(suffixes), dtype=np.int64)
-    for k in keys:
-        s = k[suffixes]
-        heads[1:] |= s[1:] != s[:-1]
-    heads = np.cumsum(heads)
-    lpf = np.zeros(len(suffixes), dtype=np.int64)
-    # A head that occurs once has no match; leave those out before looking for neighbours.
-    again = np.bincount(heads)[heads] > 1
-    some = np.flatnonzero(again)
-    # Documents in order within a head, so that nearest smaller places are close by.
-    some = some[np.lexsort((order[suffixes[some]], heads[some]))]
-    value, head = order[suffixes[some]], heads[some]
+    lpf = np.zeros(len(key), dtype=np.int64)
+    if not len(key):
+        return lpf
+    suffixes = np.argsort(key)
+    s = key[suffixes]
+    equal = s[1:] == s[:-1]
+    # A head that occurs once has no match: only the others need their exact order, with
+    # documents in order within a head, so that nearest smaller places are close by.
+    some = suffixes[np.append(equal, False) | np.insert(equal, 0, False)]
+    some = some[np.lexsort((order[some], *(m[some] for m in more), key[some]))]
+    if not len(some):
+        return lpf
+    changed = np.zeros(len(some), dtype=bool)
+    for k in (key, *more):
+        s = k[some]
+        changed[1:] |= s[1:] != s[:-1]
+    head, value = np.cumsum(changed), order[some]
     previous = nearest_smaller(value)
     following = len(value) - 1 - nearest_smaller(value[::-1])[::-1]
     matched = (previous >= 0) & (head[previous] == head)
     inside = following < len(value)
     matched[inside] |= head[following[inside]] == head[inside]
-    lpf[some] = np.where(matched, length, 0)
-    result = np.zeros(len(suffixes), dtype=np.int64)
-    result[suffixes] = lpf
-    return result
+    lpf[some[matched]] = length
+    return lpf
 
 
 # -- parcels -----------------------------------------------------------------------------
@@ -136,88 +145,90 @@ def anchors_of(chunk: r.Chunk, length: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def parcels(
-    chunk: r.Chunk, doc: np.ndarray, places: np.ndarray, keys: tuple[np.ndarray, np.ndarray],
-    buckets: np.ndarray, n_buckets: int, length: int, done: np.ndarray | None = None,
-    done_places: np.ndarray | None = None,
-) -> Iterator[tuple]:
-    """Settle what an earlier document of the chunk covers; send the rest by bucket."""
-    lpf = previous_factors((buckets, *keys), chunk.orders[doc], length)
-    settled = lpf >= length
+    chunk: r.Chunk, doc: np.ndarray, places: np.ndarray, keys: np.ndarray, key_bytes: int,
+    anchors: np.ndarray | None, buckets: np.ndarray, n_buckets: int, length: int,
+    done: np.ndarray | None = None,
+) -> Iterator[pa.RecordBatch]:
+    """Settle what an earlier document of the chunk covers; send the rest by bucket.
+
+    ``done``: places of the chunk that are covered already.
+    """
+    more = (buckets,) if anchors is None else (anchors, buckets)
+    settled = previous_factors(keys, more, chunk.orders[doc], length) >= length
+    covered = places[settled] if done is None else np.union1d(done, places[settled])
+    in_doc = np.searchsorted(chunk.first, covered, side="right") - 1
+    row, hits = r.runs_by_row(chunk.rows[in_doc], covered - chunk.first[in_doc])
+    spread = pa.array(row.to_numpy() % n_buckets)
+    yield r.filled(PARCEL_SCHEMA, {"bucket": spread, "row": row, "covered": hits})
     inside = places - chunk.first[doc]
-    rows, covered = chunk.rows[doc[settled]], inside[settled]
-    if done is not None:
-        rows = np.concatenate((rows, chunk.rows[done]))
-        covered = np.concatenate((covered, done_places - chunk.first[done]))
-    for row, hits in r.hits_by_row(rows, covered):
-        yield (row % n_buckets, b"", b"", b"", b"", b"", b"", hits, row)
     rest = np.flatnonzero(~settled)
+    found = []
     for bucket, part in r.by_bucket(buckets[rest]):
         at = rest[part]
         docs, counts = np.unique(doc[at], return_counts=True)
-        yield (
-            bucket,
-            r.steps(chunk.rows[docs]),
-            r.steps(chunk.orders[docs]),
-            r.steps(counts),
-            r.steps(inside[at]),
-            r.planes(keys[0][at]),
-            r.planes(keys[1][at]),
-            b"",
-            0,
+        found.append(
+            (
+                bucket,
+                r.steps(chunk.rows[docs]),
+                r.steps(chunk.orders[docs]),
+                r.steps(counts),
+                r.steps(inside[at]),
+                r.planes(keys[at], key_bytes),
+                None if anchors is None else r.planes(anchors[at]),
+                None,
+                None,
+            )
         )
+    yield r.binary_batch(PARCEL_SCHEMA, found)
 
 
-def settle(batches: Batches, length: int, anchors: bool) -> Iterator[pa.RecordBatch]:
+def settle(batches: Batches, length: int, with_anchors: bool) -> Iterator[pa.RecordBatch]:
     """Covered places of a partition's buckets and, for anchors, those still open."""
     parts: list[tuple[np.ndarray, ...]] = []
-    short_type, long_type = ("<u4", "<u8") if anchors else ("<u8", "<u2")
+    key_bytes = AROUND_BYTES if with_anchors else HEAD_BYTES
     for batch in batches:
-        passed = []
-        for p in batch.to_pylist():
-            if p["covered"]:
-                passed.append((p["row"], p["covered"], None))
-                continue
+        passed, rest = r.take_passed(batch, "covered")
+        yield r.filled(FOUND_SCHEMA, {n: passed.column(n) for n in ("row", "covered")})
+        for p in rest:
             counts = r.unsteps(p["counts"])
             places = r.unsteps(p["places"])
             parts.append(
                 (
                     np.full(len(places), p["bucket"], dtype=np.int32),
-                    r.unplanes(p["short"], short_type),
-                    r.unplanes(p["long"], long_type),
+                    r.unplanes(p["keys"], "<u8", key_bytes),
+                    r.unplanes(p["anchors"], "<u4") if with_anchors else places[:0],
                     np.repeat(r.unsteps(p["rows"]), counts),
                     np.repeat(r.unsteps(p["orders"]), counts),
                     places,
                 )
             )
-        if passed:
-            yield r.binary_batch(FOUND_SCHEMA, passed)
     if not parts:
         return
-    bucket, short, long, rows, orders, places = (np.concatenate(c) for c in zip(*parts))
+    bucket, keys, anchors, rows, orders, places = (np.concatenate(c) for c in zip(*parts))
     del parts
-    covered = previous_factors((bucket, short, long), orders, length) >= length
-    found: dict[int, list] = {}
-    for row, hits in r.hits_by_row(rows[covered], places[covered]):
-        found[row] = [hits, None]
-    if anchors:
-        order, group = r.groups(bucket, short)
-        n = int(group[-1]) + 1 if len(group) else 0
-        spans = np.full((n, 4), -1, dtype=np.int64)
-        # First and last surroundings and documents of each anchor.
-        lowest, highest = np.iinfo(np.int64).max, np.iinfo(np.int64).min
-        spans[:, ::2], spans[:, 1::2] = lowest, highest
-        for column, values in ((0, long.view(np.int64)[order]), (2, orders[order])):
-            np.minimum.at(spans[:, column], group, values)
-            np.maximum.at(spans[:, column + 1], group, values)
-        mixed_up = (spans[:, 0] != spans[:, 1]) & (spans[:, 2] != spans[:, 3])
-        open_ = np.zeros(len(rows), dtype=bool)
-        open_[order] = mixed_up[group]
-        open_ &= ~covered
-        for row, hits in r.hits_by_row(rows[open_], places[open_]):
-            found.setdefault(row, [None, None])[1] = hits
-    out = [(row, *hits) for row, hits in found.items()]
-    for first in range(0, len(out), 5000):
-        yield r.binary_batch(FOUND_SCHEMA, out[first : first + 5000])
+    more = (anchors, bucket) if with_anchors else (bucket,)
+    covered = previous_factors(keys, more, orders, length) >= length
+    out = [("covered", covered)]
+    if with_anchors:
+        out.append(("open", _open(bucket, anchors, keys, orders) & ~covered))
+    for name, chosen in out:
+        row, hits = r.runs_by_row(rows[chosen], places[chosen])
+        for first in range(0, len(row), 5000):
+            yield r.filled(
+                FOUND_SCHEMA, {"row": row.slice(first, 5000), name: hits.slice(first, 5000)}
+            )
+
+
+def _open(bucket: np.ndarray, anchors: np.ndarray, keys: np.ndarray, orders: np.ndarray) -> np.ndarray:
+    """Places whose anchor has several surroundings and stands in several documents."""
+    order, group = r.groups(bucket.astype(r.U64) << r.U64(32) | anchors)
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    several = np.ones(len(first), dtype=bool)
+    for values in (keys[order], orders[order]):
+        several &= np.minimum.reduceat(values, first) != np.maximum.reduceat(values, first)
+    result = np.empty(len(order), dtype=bool)
+    result[order] = several[group]
+    return result
 
 
 # -- operator ----------------------------------------------------------------------------
@@ -250,58 +261,47 @@ def remove_repeats(
             ends = np.minimum(chunk.first[doc + 1] - 1, places + length)
             around = r.span_hashes(chunk.data, starts, ends)
             around = r.mixed(around + (places - starts).astype(r.U64) * r.MIX[1])
-            keys = ((h >> r.U64(32)).astype("<u4"), around)
+            keys = around >> r.U64(64 - 8 * AROUND_BYTES)
+            anchors = (h >> r.U64(32)).astype("<u4")
             buckets = (h % r.U64(n_buckets)).astype(np.int32)
-            yield r.binary_batch(
-                PARCEL_SCHEMA,
-                list(parcels(chunk, doc, places, keys, buckets, n_buckets, length)),
+            yield from parcels(
+                chunk, doc, places, keys, AROUND_BYTES, anchors, buckets, n_buckets, length
             )
 
     def send_windows(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for chunk, more in r.doc_chunks(batches, ("found",)):
-            if not any(more["found"]):
-                continue
+        for chunk, more in r.doc_chunks(batches, ("covered", "open")):
             covered = np.zeros(len(chunk.data), dtype=bool)
             open_ = np.zeros(len(chunk.data), dtype=bool)
-            for i, found in enumerate(more["found"]):
-                a, n = int(chunk.first[i]), len(chunk.datas[i]) - length + 1
-                if not found or n < 1:
-                    continue
-                # An anchor at p stands for the strings that start at p - before .. p.
-                for name, target in (("covered", covered), ("open", open_)):
-                    hits = [f[name] for f in found if f[name]]
-                    # Anchors may lie behind the last start of a string.
-                    wide = r.marked(hits, n + before, before=before)
-                    target[a : a + n] = wide[:n]
-            open_ &= ~covered
-            places = np.flatnonzero(open_)
+            # An anchor at p stands for the strings that start at p - before .. p.
+            for name, target in (("covered", covered), ("open", open_)):
+                for i, hits in enumerate(more[name]):
+                    a, n = int(chunk.first[i]), len(chunk.datas[i]) - length + 1
+                    if hits and n > 0:
+                        # Anchors may lie behind the last start of a string.
+                        target[a : a + n] = r.marked(hits, n + before, before=before)[:n]
+            if not (covered.any() or open_.any()):
+                continue
+            places = np.flatnonzero(open_ & ~covered)
             values = chunk.data.astype(r.U64) + r.U64(1)
-            one = r.mixed(r.rolled(values, length, r.BASES[0]))[places]
-            two = r.mixed(r.rolled(values, length, r.BASES[1]))[places]
-            keys = (one, (two >> r.U64(48)).astype("<u2"))
+            heads = r.mixed(r.rolled(values, length, r.BASES[0]))[places]
+            buckets = r.mixed(r.rolled(values, length, r.BASES[1]))[places] % r.U64(n_buckets)
             doc = np.searchsorted(chunk.first, places, side="right") - 1
-            done_places = np.flatnonzero(covered)
-            done = np.searchsorted(chunk.first, done_places, side="right") - 1
-            yield r.binary_batch(
-                PARCEL_SCHEMA,
-                list(
-                    parcels(
-                        chunk, doc, places, keys, (two % r.U64(n_buckets)).astype(np.int32),
-                        n_buckets, length, done, done_places,
-                    )
-                ),
+            yield from parcels(
+                chunk, doc, places, heads, HEAD_BYTES, None, buckets.astype(np.int32), n_buckets,
+                length, np.flatnonzero(covered),
             )
 
     def among_anchors(batches: Batches) -> Iterator[pa.RecordBatch]:
-        return settle(batches, length, anchors=True)
+        return settle(batches, length, True)
 
     def among_windows(batches: Batches) -> Iterator[pa.RecordBatch]:
-        return settle(batches, length, anchors=False)
+        return settle(batches, length, False)
 
     def settled(sent: DataFrame, look) -> DataFrame:
         dealt = sent.repartitionById(n_buckets, F.col("bucket")).mapInArrow(look, FOUND)
+        # NULLs are left out of the lists.
         return dealt.groupBy("row").agg(
-            F.collect_list(F.struct("covered", "open")).alias("found")
+            F.collect_list("covered").alias("covered"), F.collect_list("open").alias("open")
         )
 
     anchored = settled(rows.mapInArrow(send_anchors, PARCEL), among_anchors)
@@ -326,17 +326,16 @@ def remove_repeats(
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
                 result = []
-                for doc_id, text, found in zip(
+                for doc_id, text, hits in zip(
                     part.column("doc_id").to_pylist(),
                     part.column("text"),
-                    part.column("found").to_pylist(),
+                    part.column("covered").to_pylist(),
                 ):
                     data = text.as_buffer().to_pybytes()
                     kept, spans = data, []
-                    hits = [f["covered"] for f in found or () if f["covered"]]
                     if hits:
                         gone = r.marked(hits, len(data), after=length - 1)
-                        spans = r.to_runs(np.flatnonzero(gone)).reshape(-1, 2).tolist()
+                        spans = r.to_runs(np.flatnonzero(gone)).tolist()
                         kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     result.append(
                         (
