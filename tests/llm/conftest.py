@@ -5,8 +5,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from hypothesis import settings
 from pyspark.sql import functions as F
 
+# Examples share the machine with Spark; their time says nothing.
+settings.register_profile("shared", deadline=None)
+settings.load_profile("shared")
+
 LICENCE = "Released under the MIT License. Also CC-BY-NC, and Apache License, Version 2.0!"
 PASSAGE = " ".join(f"passage{i % 7}w{i}" for i in range(60))
 # Columns named like the operators' own.

@@ -74,6 +74,30 @@ def test_groups_of_equal_keys(rows):
     assert len(by_group) == len(set(rows))
 
 
+@settings(max_examples=40)
+@given(
+    st.lists(st.lists(st.integers(0, 300_000), min_size=1, max_size=8, unique=True), min_size=1, max_size=4),
+    st.integers(0, 5),
+    st.integers(0, 5),
+)
+def test_stored_runs_mark_their_places(rows, before, after):
+    # Some places become runs longer than a pair of numbers holds.
+    places = [sorted(set(r) | set(range(r[0], r[0] + (r[0] % 3) * 70_000))) for r in rows]
+    row = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    numbers, data = rolling.runs_by_row(row, np.concatenate([np.array(p) for p in places]))
+    assert numbers.to_pylist() == list(range(len(places)))
+    size = 450_000
+    expected = np.zeros(size, dtype=bool)
+    for p, one in zip(places, data.to_pylist()):
+        alone = np.zeros(size, dtype=bool)
+        for shift in range(-before, after + 1):
+            at = np.array(p) + shift
+            alone[at[(at >= 0) & (at < size)]] = True
+        assert (rolling.marked([one], size, before, after) == alone).all()
+        expected |= alone
+    assert (rolling.marked(data.to_pylist(), size, before, after) == expected).all()
+
+
 # -- components and block pairs -----------------------------------------------------------
 
 
@@ -175,7 +199,6 @@ def test_previous_factors(rows):
 # -- licences -----------------------------------------------------------------------------
 
 
-@settings(deadline=None)
 @given(
     st.lists(st.text("abc ", min_size=1, max_size=20), min_size=1, max_size=4),
     st.text("abc ", max_size=40),
@@ -293,7 +316,6 @@ def test_mixture_beats_word_counts_on_held_out_texts(spark, sf_dir):
 # -- packing ------------------------------------------------------------------------------
 
 
-@settings(deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 40), min_size=1), st.integers(30, 40))
 def test_plan_places_every_rank_once(histogram, capacity):
     rows = packing.plan(histogram, capacity)
@@ -323,7 +345,7 @@ def test_large_pieces_are_matched():
 # -- retrieval ----------------------------------------------------------------------------
 
 
-@settings(deadline=None, max_examples=60)
+@settings(max_examples=60)
 @given(
     st.lists(st.lists(st.sampled_from("abcdefgh"), min_size=1, max_size=8), min_size=1, max_size=30),
     st.lists(st.sampled_from("abcdefghxyz"), max_size=40),
