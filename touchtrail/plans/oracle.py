@@ -912,7 +912,9 @@ def _holt_comparison() -> str:
 def _holt_holdout() -> str:
     return _fitted(f"""
       SELECT e.k AS series_key, '{FORECAST.model_name}' AS model_name, round(mae, 0) AS mae,
-             round(rmse, 0) AS rmse, round(1 - ss_res / ss_tot, 4) AS r2_score,
+             round(rmse, 0) AS rmse,
+             CASE WHEN ss_tot > 0 THEN round(1 - ss_res / ss_tot, 4) ELSE CAST('nan' AS DOUBLE) END
+               AS r2_score,
              CAST(t.n AS INTEGER) AS train_months, CAST(held AS INTEGER) AS holdout_months,
              round(e.spread, 0) AS residual_std, round(e.level, 0) AS intercept,
              round(e.trend, 0) AS slope
