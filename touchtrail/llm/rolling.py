@@ -160,32 +160,59 @@ def to_runs(positions: np.ndarray) -> np.ndarray:
     return np.stack((starts, ends), axis=1)
 
 
-def marked(runs: list[bytes], size: int, before: int = 0, after: int = 0) -> np.ndarray:
+MOST = 0xFFFF
+
+
+def marked(stored_runs: list[bytes], size: int, before: int = 0, after: int = 0) -> np.ndarray:
     """Which of ``size`` places lie in one of the stored runs, each run widened by
     ``before`` places to the left and ``after`` to the right."""
-    pairs = np.frombuffer(b"".join(runs), "<u4").reshape(-1, 2).astype(np.int64)
-    starts = np.bincount(np.clip(pairs[:, 0] - before, 0, size), minlength=size + 1)
-    ends = np.bincount(np.clip(pairs[:, 1] + after, 0, size), minlength=size + 1)
-    return np.cumsum(starts[:size] - ends[:size]) > 0
+    pairs = np.frombuffer(b"".join(stored_runs), "<u2").reshape(-1, 2).astype(np.int64)
+    counts = np.array([len(data) // 4 for data in stored_runs])
+    moved = np.cumsum(pairs.sum(axis=1))
+    last = np.cumsum(counts)
+    earlier = np.where(last > counts, moved[last - counts - 1], 0)
+    ends = moved - np.repeat(earlier, counts)
+    real = pairs[:, 1] > 0
+    starts, ends = (ends - pairs[:, 1])[real], ends[real]
+    level = np.bincount(np.clip(starts - before, 0, size), minlength=size + 1)
+    level -= np.bincount(np.clip(ends + after, 0, size), minlength=size + 1)
+    return np.cumsum(level[:size]) > 0
 
 
 def runs_by_row(rows: np.ndarray, positions: np.ndarray) -> tuple[pa.Array, pa.Array]:
     """(row, its runs of positions as bytes) for positions that ascend within a row and
-    rows that stand together."""
+    rows that stand together.
+
+    A run is two 16-bit numbers: the gap since the end of the run before it, and its
+    length. Longer gaps and runs take several pairs.
+    """
     if not len(rows):
         return pa.array([], pa.int64()), pa.array([], pa.binary())
     new_row = rows[1:] != rows[:-1]
     cut = np.flatnonzero(new_row | (positions[1:] != positions[:-1] + 1))
     first = np.concatenate(([0], cut + 1))
-    last = np.concatenate((cut, [len(rows) - 1]))
-    pairs = np.stack((positions[first], positions[last] + 1), axis=1).astype("<u4")
+    starts, ends = positions[first], positions[np.concatenate((cut, [len(rows) - 1]))] + 1
     of_run = rows[first]
-    starts = np.concatenate(([0], np.flatnonzero(of_run[1:] != of_run[:-1]) + 1))
-    offsets = (np.append(starts, len(of_run)) * 8).astype(np.int32)
+    begins = np.concatenate(([True], of_run[1:] != of_run[:-1]))
+    gaps = starts - np.where(begins, 0, np.concatenate(([0], ends[:-1])))
+    lengths = ends - starts
+    bridges, rests = gaps // MOST, (lengths - 1) // MOST
+    size = bridges + 1 + rests
+    offset = np.cumsum(size) - size
+    at = np.arange(int(size.sum())) - np.repeat(offset, size)
+    of_pair = np.repeat(bridges, size)
+    pairs = np.zeros((len(at), 2), dtype="<u2")
+    pairs[at < of_pair, 0] = MOST
+    pairs[at > of_pair, 1] = MOST
+    pairs[at == of_pair, 0] = gaps - bridges * MOST
+    pairs[at == of_pair, 1] = lengths - rests * MOST
+    offsets = np.append(offset[begins], len(at)).astype(np.int32) * 4
     binary = pa.Array.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())]
+        pa.binary(),
+        int(begins.sum()),
+        [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())],
     )
-    return pa.array(of_run[starts], pa.int64()), binary
+    return pa.array(of_run[begins], pa.int64()), binary
 
 
 def filled(schema: pa.Schema, columns: dict[str, pa.Array]) -> pa.RecordBatch:

@@ -184,35 +184,42 @@ def parcels(
 
 def settle(batches: Batches, length: int, with_anchors: bool) -> Iterator[pa.RecordBatch]:
     """Covered places of a partition's buckets and, for anchors, those still open."""
-    parts: list[tuple[np.ndarray, ...]] = []
+    held: dict[str, list[np.ndarray]] = {}
+    n_docs = 0
     key_bytes = AROUND_BYTES if with_anchors else HEAD_BYTES
     for batch in batches:
         passed, rest = r.take_passed(batch, "covered")
         yield r.filled(FOUND_SCHEMA, {n: passed.column(n) for n in ("row", "covered")})
         for p in rest:
-            counts = r.unsteps(p["counts"])
-            places = r.unsteps(p["places"])
-            parts.append(
-                (
-                    np.full(len(places), p["bucket"], dtype=np.int32),
-                    r.unplanes(p["keys"], "<u8", key_bytes),
-                    r.unplanes(p["anchors"], "<u4") if with_anchors else places[:0],
-                    np.repeat(r.unsteps(p["rows"]), counts),
-                    np.repeat(r.unsteps(p["orders"]), counts),
-                    places,
-                )
-            )
-    if not parts:
+            counts, places = r.unsteps(p["counts"]), r.unsteps(p["places"])
+            docs = np.arange(n_docs, n_docs + len(counts), dtype=np.int32)
+            n_docs += len(counts)
+            part = {
+                "rows": r.unsteps(p["rows"]),
+                "orders": r.unsteps(p["orders"]),
+                "doc": np.repeat(docs, counts),
+                "place": places.astype(np.uint32),
+                "key": r.unplanes(p["keys"], "<u8", key_bytes),
+                "bucket": np.full(len(places), p["bucket"], dtype=np.int32),
+            }
+            if with_anchors:
+                part["anchor"] = r.unplanes(p["anchors"], "<u4")
+            for name, values in part.items():
+                held.setdefault(name, []).append(values)
+    if not held:
         return
-    bucket, keys, anchors, rows, orders, places = (np.concatenate(c) for c in zip(*parts))
-    del parts
-    more = (anchors, bucket) if with_anchors else (bucket,)
-    covered = previous_factors(keys, more, orders, length) >= length
+    # One column at a time, so that little is held twice.
+    joined = {name: np.concatenate(held.pop(name)) for name in list(held)}
+    doc, key, bucket = joined["doc"], joined["key"], joined["bucket"]
+    orders = joined["orders"][doc]
+    more = (joined["anchor"], bucket) if with_anchors else (bucket,)
+    covered = previous_factors(key, more, orders, length) >= length
     out = [("covered", covered)]
     if with_anchors:
-        out.append(("open", _open(bucket, anchors, keys, orders) & ~covered))
+        out.append(("open", _open(bucket, joined["anchor"], key, orders) & ~covered))
     for name, chosen in out:
-        row, hits = r.runs_by_row(rows[chosen], places[chosen])
+        at = np.flatnonzero(chosen)
+        row, hits = r.runs_by_row(joined["rows"][doc[at]], joined["place"][at].astype(np.int64))
         for first in range(0, len(row), 5000):
             yield r.filled(
                 FOUND_SCHEMA, {"row": row.slice(first, 5000), name: hits.slice(first, 5000)}
