@@ -44,6 +44,9 @@ PARCEL_SCHEMA = pa.schema(
 HITS_SCHEMA = pa.schema([pa.field("row", pa.int64()), pa.field("hits", pa.binary())])
 
 
+PASSES = 8  # over a bucket's keys, an eighth at a time
+
+
 class Words:
     """Word starts, ends, hashes, and documents of a chunk."""
 
@@ -106,38 +109,57 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
 
     With ``grid``, one of the places must be a block of the index, or a witness.
     """
-    parts: list[tuple[np.ndarray, ...]] = []
+    held: dict[str, list[np.ndarray]] = {}
+    n_docs = 0
     for batch in batches:
         passed, rest = r.take_passed(batch, "hits")
         yield passed.select(["row", "hits"])
         for p in rest:
-            places = r.unsteps(p["places"])
-            rows = np.repeat(r.unsteps(p["rows"]), r.unsteps(p["counts"]))
-            short = r.unplanes(p["short"], "<u4" if grid else "<u8")
-            long = r.unplanes(p["long"], "<u2") if p["long"] else np.zeros(len(places), "<u2")
-            seen = np.unpackbits(np.frombuffer(p["seen"], np.uint8), count=len(places)).view(bool)
-            bucket = np.full(len(places), p["bucket"], dtype=np.int32)
-            parts.append((bucket, short, long, rows, places, seen))
-    if not parts:
+            places, counts = r.unsteps(p["places"]), r.unsteps(p["counts"])
+            docs = np.arange(n_docs, n_docs + len(counts), dtype=np.int32)
+            n_docs += len(counts)
+            part = {
+                "rows": r.unsteps(p["rows"]),
+                "doc": np.repeat(docs, counts),
+                "place": places.astype(np.uint32),
+                "seen": np.unpackbits(
+                    np.frombuffer(p["seen"], np.uint8), count=len(places)
+                ).view(bool),
+            }
+            if grid:
+                short = r.unplanes(p["short"], "<u4").astype(r.U64)
+                part["key"] = short | r.U64(p["bucket"]) << r.U64(32)
+            else:
+                part["key"] = r.unplanes(p["short"], "<u8")
+                part["long"] = r.unplanes(p["long"], "<u2")
+                part["bucket"] = np.full(len(places), p["bucket"], dtype=np.int32)
+            for name, values in part.items():
+                held.setdefault(name, []).append(values)
+    if not held:
         return
-    bucket, short, long, rows, places, seen = (np.concatenate(c) for c in zip(*parts))
-    del parts
-    if grid:
-        order, group = r.groups(bucket.astype(r.U64) << r.U64(32) | short)
-    else:
-        order, group = r.groups(short, long, bucket)
-    size = np.bincount(group)
-    hit = np.zeros(len(size), dtype=bool)
-    if grid:
-        hit[group[places[order] % grid == 0]] = True
-        hit &= size > 1
-    else:
-        hit = size > 1
-    hit[group[seen[order]]] = True
-    found = np.empty(len(order), dtype=bool)
-    found[order] = hit[group]
+    batch = passed = rest = p = part = None  # the parcels are not needed any more
+    # One column at a time, so that little is held twice.
+    joined = {name: np.concatenate(held.pop(name)) for name in list(held)}
+    key, places, seen = joined["key"], joined["place"], joined["seen"]
+    found = np.zeros(len(key), dtype=bool)
+    share = key.view(np.uint8)[::8] % PASSES  # equal keys go to the same pass
+    for number in range(PASSES):
+        at = np.flatnonzero(share == number)
+        more = () if grid else (joined["long"][at], joined["bucket"][at])
+        order, group = r.groups(key[at], *more)
+        at = at[order]
+        size = np.bincount(group)
+        hit = np.zeros(len(size), dtype=bool)
+        if grid:
+            hit[group[places[at] % grid == 0]] = True
+            hit &= size > 1
+        else:
+            hit = size > 1
+        hit[group[seen[at]]] = True
+        found[at] = hit[group]
     found &= ~seen
-    row, hits = r.runs_by_row(rows[found], places[found])
+    found = np.flatnonzero(found)
+    row, hits = r.runs_by_row(joined["rows"][joined["doc"][found]], places[found].astype(np.int64))
     for first in range(0, len(row), 5000):
         yield pa.RecordBatch.from_arrays(
             [row.slice(first, 5000), hits.slice(first, 5000)], schema=HITS_SCHEMA
@@ -161,8 +183,8 @@ def remove_repeats(
     block = (window + 1) // 2
     rows = r.numbered(docs, id_col, text_col, "repeat-rows")
     n_buckets = r.bucket_count(rows)
-    # Far fewer windows than places are looked up.
-    n_window_buckets = max(4, n_buckets // 3)
+    # Fewer windows than places are looked up, at twice the bytes each.
+    n_window_buckets = max(4, n_buckets // 2)
 
     def probe(batches: Batches) -> Iterator[pa.RecordBatch]:
         for chunk, _ in r.doc_chunks(batches):
