@@ -175,6 +175,32 @@ def test_similar_groups_follow_shingles(spark):
     assert found == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5}
 
 
+def _with_similarity(rng, n, least):
+    """A text of ``n`` words and a copy with a block appended, similar by ``least`` or just more."""
+    base = [f"w{int(rng.paretovariate(0.8))}" for _ in range(n)]
+    shingles = {tuple(base[i : i + 5]) for i in range(n - 4)}
+    more = list(base)
+    while True:
+        longer = [*more, f"w{int(rng.paretovariate(0.8))}"]
+        union = shingles | {tuple(longer[i : i + 5]) for i in range(len(longer) - 4)}
+        if len(shingles) / len(union) < least:
+            return " ".join(base), " ".join(more)
+        more = longer
+
+
+def test_candidates_do_not_depend_on_the_kind_of_edit(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(60):
+        base, more = _with_similarity(rng, 150 + 10 * i, 0.88)
+        rows += [(2 * i, base), (2 * i + 1, more)]
+    found = {
+        r["doc_id"]: r["group_id"]
+        for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    }
+    assert found == {i: i // 2 * 2 for i in range(120)}
+
+
 # -- suffixes -----------------------------------------------------------------------------
 
 
