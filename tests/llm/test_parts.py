@@ -201,6 +201,32 @@ def test_candidates_do_not_depend_on_the_kind_of_edit(spark):
     assert found == {i: i // 2 * 2 for i in range(120)}
 
 
+def test_similarity_at_the_threshold_is_exact(spark):
+    rows = []
+    expected = {}
+    for i in range(60):
+        # 96 shingles of 120 are common, then 96 of 121.
+        for j, more in ((0, 24), (2, 25)):
+            common = [f"c{i}j{j}w{k}" for k in range(100)]
+            longer = common + [f"m{i}w{k}" for k in range(more)]
+            first = 4 * i + j
+            rows += [(first, " ".join(common)), (first + 1, " ".join(longer))]
+            expected |= {first: first, first + 1: first if j == 0 else first + 1}
+    found = {
+        r["doc_id"]: r["group_id"]
+        for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    }
+    assert found == expected
+
+
+def test_long_texts_get_more_blocks(spark):
+    keyed = spark.range(20).selectExpr("id AS node", "7L AS key", f"{simhash.BLOCK_WEIGHT} AS size")
+    dealt = simhash.block_pairs(keyed, "node", weight="size")
+    assert dealt.groupBy("lo", "hi").count().agg({"count": "max"}).first()[0] < 20
+    met = dealt.alias("a").join(dealt.alias("b"), ["key", "lo", "hi"]).where("a.node < b.node")
+    assert met.select("a.node", "b.node").distinct().count() == 190
+
+
 # -- suffixes -----------------------------------------------------------------------------
 
 

@@ -34,6 +34,7 @@ MAX_BITS = 3
 BUDGETS = tuple((k + 1) * MAX_BITS // SEGMENTS for k in range(SEGMENTS))
 SEED = 42
 BLOCK = 1024
+BLOCK_WEIGHT = 1 << 20
 MAX_SHINGLES = 1 << 16
 
 Links = Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray]
@@ -109,19 +110,24 @@ def ring_keys(fingerprint: Column) -> Column:
     return F.array(*keys)
 
 
-def block_pairs(keyed: DataFrame, spread_by: str, block: int = BLOCK) -> DataFrame:
+def block_pairs(
+    keyed: DataFrame, spread_by: str, block: int = BLOCK, weight: str | None = None
+) -> DataFrame:
     """Rows of keys that occur more than once, dealt to pairs of blocks.
 
     A key with n rows has about ``n / block`` blocks; a row goes to its own block's
     pairs with each of them, so every two rows of a key meet in exactly one place and
-    no place gets more than about two blocks of rows. Adds ``lo``, ``hi`` (the pair)
-    and ``own``.
+    no place gets more than about two blocks of rows. With a ``weight``, blocks of heavy
+    rows also stay near ``BLOCK_WEIGHT``. Adds ``lo``, ``hi`` (the pair) and ``own``.
     """
+    blocks = F.col("n") / block
+    if weight:
+        blocks = F.greatest(blocks, F.least("n", F.col("weight") / BLOCK_WEIGHT))
     sizes = (
         keyed.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(weight or F.lit(0)).alias("weight"))
         .where("n > 1")
-        .select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        .select("key", F.ceil(blocks).cast("int").alias("blocks"))
     )
     dealt = keyed.join(sizes, "key").withColumn(
         "own", F.pmod(F.xxhash64(spread_by), F.col("blocks")).cast("int")
@@ -317,23 +323,153 @@ def first_meetings(run: dict[str, np.ndarray], rows: np.ndarray, columns: np.nda
     return result
 
 
-def similar_links(least: float) -> Links:
-    """Links of documents that share a band and whose shingle sketches agree."""
+def _verdicts(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sketches that are surely similar, and those only the sets can tell.
+
+    The bounds stand so many standard errors from ``least`` that a wrong verdict has a
+    chance of about 2e-7 on either side.
+    """
+    either = ((a > 0) | (b > 0)).sum(axis=1)
+    error = np.sqrt(least * (1 - least) / np.maximum(either, 1))
+    share = _similarity(a, b)
+    sure = share >= least + 5 * error
+    return sure, ~sure & (share >= least - 6 * error)
+
+
+def sketch_verdicts(
+    run: dict[str, np.ndarray], rows: np.ndarray, columns: np.ndarray, asked: np.ndarray, least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_verdicts` as two matrices; False where ``asked`` is."""
+    if "_bins" not in run:
+        run["_bins"] = np.frombuffer(b"".join(run["sketch"]), np.uint8).reshape(-1, BINS)
+    bins = run["_bins"]
+    sure, doubtful = np.zeros_like(asked), np.zeros_like(asked)
+    i, j = np.nonzero(asked)
+    for first in range(0, len(i), 1 << 14):
+        a, b = i[first : first + (1 << 14)], j[first : first + (1 << 14)]
+        sure[a, b], doubtful[a, b] = _verdicts(bins[rows[a]], bins[columns[b]], least)
+    return sure, doubtful
+
+
+def sketch_links(least: float) -> Links:
+    """Links of documents that share a band and whose shingle sketches leave no doubt."""
 
     def links(run: dict[str, np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        close = first_meetings(run, rows, columns)
-        if "_bins" not in run:
-            run["_bins"] = np.frombuffer(b"".join(run["sketch"]), np.uint8).reshape(-1, BINS)
-        bins = run["_bins"]
-        i, j = np.nonzero(close)
-        for first in range(0, len(i), 1 << 14):
-            a, b = i[first : first + (1 << 14)], j[first : first + (1 << 14)]
-            close[a, b] = _similarity(bins[rows[a]], bins[columns[b]]) >= least
-        return close
+        return sketch_verdicts(run, rows, columns, first_meetings(run, rows, columns), least)[0]
 
     return links
 
 
+def _apart(run: dict[str, np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Matrix of the pairs that are compared here and that no sure links connect."""
+    apart = first_meetings(run, rows, columns)
+    apart &= run["label"][rows][:, None] != run["label"][columns][None, :]
+    if run["lo"][0] != run["hi"][0]:
+        apart &= run["own"][rows][:, None] != run["own"][columns][None, :]
+    return apart
+
+
+def in_doubt(run: dict[str, np.ndarray], least: float) -> np.ndarray:
+    """Rows of a block pair with a partner that only the sets can tell."""
+    n = len(run["own"])
+    every, found = np.arange(n), np.zeros(n, dtype=bool)
+    for first in range(0, n, 256):
+        part = every[first : first + 256]
+        later = every[first:]
+        doubtful = sketch_verdicts(run, part, later, _apart(run, part, later), least)[1]
+        found[part] |= doubtful.any(axis=1)
+        found[later] |= doubtful.any(axis=0)
+    return np.flatnonzero(found)
+
+
+def shares(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Jaccard similarity of one set of hashes with others; all are sorted and distinct."""
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    values = np.concatenate(others)
+    hits = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+    ends = np.cumsum(sizes)
+    common = np.diff(np.concatenate(([0], np.cumsum(hits)))[np.concatenate(([0], ends))])
+    return common / (len(own) + sizes - common)
+
+
+def exact_links(least: float) -> Links:
+    """Links of doubtful pairs by their shingle sets; what is connected anyway is linked."""
+
+    def links(run: dict[str, np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        if "_sets" not in run:
+            run["_sets"] = [np.frombuffer(s, "<u8") for s in run["shingles"]]
+        sets = run["_sets"]
+        asked = sketch_verdicts(run, rows, columns, _apart(run, rows, columns), least)[1]
+        near = run["label"][rows][:, None] == run["label"][columns][None, :]
+        reached = np.zeros(len(columns), dtype=bool)
+        for i in range(len(rows)):  # one link per column is enough
+            at = np.flatnonzero(asked[i] & ~reached)
+            for first in range(0, len(at), 64):
+                some = at[first : first + 64]
+                near[i, some] = shares(sets[rows[i]], [sets[k] for k in columns[some]]) >= least
+            reached[at] |= near[i, at]
+        return near
+
+    return links
+
+
+DOUBTS = "key long, lo int, hi int, own int, label int, node long, before binary, sketch binary"
+
+
+def sketched_edges(dealt: DataFrame, least: float) -> DataFrame:
+    """Edges (a, b) of sure links, and with NULLs there the rows that are in doubt."""
+    names = [c.split()[0] for c in DOUBTS.split(", ")]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), *zip(names, types)])
+    keys = ["key", "lo", "hi"]
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        n_held = 0
+
+        def batch() -> pa.RecordBatch:
+            columns = {n: [x for h in held for x in h[n]] for n in schema.names}
+            return table_batch(schema, columns)
+
+        for rows in runs(batches, keys):
+            left, right = forest(rows, sketch_links(least))
+            rows["label"] = np.arange(len(rows["own"]), dtype=np.int32)
+            rows["label"][right] = left
+            doubtful = in_doubt(rows, least)
+            none, blank = [None] * len(left), [None] * len(doubtful)
+            if len(left) or len(doubtful):
+                held.append(
+                    {"a": [*rows["node"][left].tolist(), *blank], "b": [*rows["node"][right].tolist(), *blank]}
+                    | {n: [*none, *rows[n][doubtful].tolist()] for n in names}
+                )
+                n_held += len(left) + len(doubtful)
+            if n_held > 10_000:
+                yield batch()
+                held, n_held = [], 0
+        if held:
+            yield batch()
+
+    return (
+        dealt.repartition(*(F.col(k) for k in keys))
+        .sortWithinPartitions(*keys)
+        .mapInArrow(run, f"a long, b long, {DOUBTS}")
+    )
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles): sorted distinct hashes of (doc_id, text) rows."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for ids, datas in chunks(batches):
+            sets = [
+                np.unique(shingle_hashes(data.lower().split(), shingle, SEED)).tobytes() for data in datas
+            ]
+            yield table_batch(schema, {"node": ids, "shingles": sets})
+
+    return docs.mapInArrow(run, "node long, shingles binary")
+
+
 def similar_groups(
     docs: DataFrame,
     shingle: int = 5,
@@ -344,13 +480,15 @@ def similar_groups(
     """(doc_id, group_id) of every document that is similar to another one.
 
     Ids must be unique and not NULL. Two documents are linked when they share one of
-    ``BANDS`` bands of smallest shingle hashes and the estimated share of common
-    ``shingle``-word shingles is at least ``least``; equal word sequences always are. A group is named by its smallest id. Case is ignored.
+    ``BANDS`` bands of smallest shingle hashes and the share of common ``shingle``-word
+    shingles is at least ``least``; equal word sequences always are. A sketch tells the
+    share where it is far from ``least``, the sets themselves elsewhere. A group is named by its smallest id. Case is ignored.
     """
     schema = pa.schema(
         [
             pa.field("doc_id", pa.int64()),
             pa.field("same", pa.binary()),
+            pa.field("size", pa.int64()),
             pa.field("bands", pa.binary()),
             pa.field("sketch", pa.binary()),
         ]
@@ -360,38 +498,46 @@ def similar_groups(
         from hashlib import sha256
 
         for ids, datas in chunks(batches):
-            rows: dict[str, list] = {"same": [], "bands": [], "sketch": []}
+            rows: dict[str, list] = {"same": [], "size": [], "bands": [], "sketch": []}
             for data in datas:
                 words = data.lower().split()
                 rows["same"].append(sha256(b" ".join(words)).digest())
                 hashes = shingle_hashes(words, shingle, SEED)
+                rows["size"].append(len(hashes))
                 rows["bands"].append(shingle_bands(hashes))
                 rows["sketch"].append(shingle_sketch(hashes))
             yield table_batch(schema, {"doc_id": ids} | rows)
 
+    read = texts(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text")
     printed = stored(
-        texts(docs, id_col, text_col)
-        .select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(run, "doc_id long, same binary, bands binary, sketch binary"),
+        read.mapInArrow(run, "doc_id long, same binary, size long, bands binary, sketch binary"),
         "similar-prints",
     )
     same = printed.groupBy("same").agg(F.min("doc_id").alias("node"))
     firsts = stored(
         printed.join(same.select("node"), F.col("doc_id") == F.col("node")).select(
-            "node", "bands", "sketch"
+            "node", "size", "bands", "sketch"
         ),
         "similar-firsts",
     )
-    keyed = firsts.select("node", F.explode(band_keys(F.col("bands"))).alias("key"))
+    keyed = firsts.select("node", "size", F.explode(band_keys(F.col("bands"))).alias("key"))
     # The earlier bands of a row tell which pairs have met already.
     n_before = F.shiftright("key", 32).cast("int")
     dealt = (
-        block_pairs(keyed, "node")
-        .join(firsts, "node")
+        block_pairs(keyed, "node", weight="size")
+        .drop("size")
+        .join(firsts.drop("size"), "node")
         .withColumn("before", F.substring("bands", F.lit(1), n_before * BAND_BYTES))
         .drop("bands")
     )
-    edges = forest_edges(dealt, "node", similar_links(least))
+    told = stored(sketched_edges(dealt, least), "similar-told")
+    doubts = told.where("node IS NOT NULL").drop("a", "b")
+    wanted = doubts.select("node").distinct()
+    sets = shingle_sets(read.join(wanted, F.col("doc_id") == F.col("node"), "left_semi"), shingle)
+    edges = (
+        told.where("a IS NOT NULL").select("a", "b")
+        .unionByName(forest_edges(doubts.join(sets, "node"), "node", exact_links(least)))
+    )
     linked = components(edges)
     grouped = printed.select("doc_id", "same").join(same, "same")
     return (
