@@ -448,3 +448,16 @@ def test_shards_of_any_number_of_items(spark, n):
     docs = items.withColumnRenamed("item_id", "doc_id")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()}
     assert found == {(i, i) for i in range(n)}
+
+
+def test_surroundings_that_agree_in_32_bits_stay(spark):
+    # The same 20-byte anchor in each text, and surroundings whose hashes agree in their upper half.
+    pairs = [
+        ("urugitnrutcrgaobjyuzffijcwwbzzkracqrvmmqqardtcnwlpnbqwygmgbotgolmzoxpjrzroisuede",
+         "newccrpwayauialpjcybstkrufnevjkracqrvmmqqardtcnwlputnegieaxtielihagqwadzftmkudpr"),
+        ("mbnwfwboqfrhvdfstjybtyzuswobszkracqrvmmqqardtcnwlpfcsvhjmmldppobqoazxdylfumcoaff",
+         "sgbstelbogczdfvzwmrcbngpbalevykracqrvmmqqardtcnwlpvvffghxnsgmpiuyhjmucgvkpfgvmrn"),
+    ]
+    rows = list(enumerate(t for pair in pairs for t in pair))
+    result = suffix_lpf.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in result.collect()} == {0: 0, 1: 0, 2: 0, 3: 0}

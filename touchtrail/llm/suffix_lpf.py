@@ -35,7 +35,7 @@ from touchtrail.llm.common import Batches
 ANCHOR = 20
 
 # Bytes of a hash that go through the shuffle; the bucket tells a few bits more.
-AROUND_BYTES = 4
+AROUND_BYTES = 8
 HEAD_BYTES = 8
 
 PARCEL = (
