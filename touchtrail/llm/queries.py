@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from touchtrail.llm import (
     block_anchors,
     decontaminate,
+    embedding_collisions,
     interpolation_lm,
     license_scan,
     packing,
@@ -18,6 +19,7 @@ from touchtrail.llm import (
     simhash,
     suffix_lpf,
     token_counts,
+    whitening,
 )
 from touchtrail.llm.common import read_table
 
@@ -130,6 +132,15 @@ def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_embedding_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_collisions.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -142,4 +153,6 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_bm25_decontamination": op9_bm25_decontamination,
         "op10_block_anchors": op10_block_anchors,
+        "op11_whitening": op11_whitening,
+        "op13_embedding_collisions": op13_embedding_collisions,
     }
