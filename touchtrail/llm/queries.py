@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.llm import (
     block_anchors,
+    conversation_repair,
     decontaminate,
     embedding_collisions,
     interpolation_lm,
@@ -137,6 +138,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(rows))
+
+
 def op13_embedding_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_collisions.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.9)
 
@@ -154,5 +160,6 @@ def queries() -> dict[str, Query]:
         "op9_bm25_decontamination": op9_bm25_decontamination,
         "op10_block_anchors": op10_block_anchors,
         "op11_whitening": op11_whitening,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_embedding_collisions": op13_embedding_collisions,
     }
