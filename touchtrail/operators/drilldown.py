@@ -97,6 +97,13 @@ def channel_performance(
         "record_count", F.lit(1).cast("bigint")
     )
     totals = touch_totals(cells, "first_touch_channel", "last_touch_channel", "channel_key")
+    return with_channel_totals(summary, totals, channel_keys)
+
+
+def with_channel_totals(
+    summary: DataFrame, totals: DataFrame, channel_keys: Selection
+) -> DataFrame:
+    """The summary's channels with the totals of a selection, 0 where it has none."""
     measures = [f"{t}_{m}" for m in ("revenue", "customers") for t in ("first_touch", "last_touch")]
     base = summary.select(
         "channel_key", "channel_name", "channel_group", "campaign_budget_usd",

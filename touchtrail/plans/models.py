@@ -7,7 +7,16 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from touchtrail.config import SKEW, SkewConfig
-from touchtrail.operators import attribution, cleaning, dimensions, facts, journeys, summaries
+from touchtrail.operators import (
+    attribution,
+    audience,
+    cleaning,
+    dimensions,
+    drilldown,
+    facts,
+    journeys,
+    summaries,
+)
 from touchtrail.sources.store import materialize
 
 # (table name, planned table) -> the table later models read
@@ -49,6 +58,13 @@ class Models:
         setattr(self, name, table)
         return table
 
+    @property
+    def detail(self) -> DataFrame:
+        """Revenue records with company name and month, as the drill-downs read them."""
+        return drilldown.revenue_detail(
+            self.fct_attributed_revenue, self.dim_company, self.dim_time, self.config
+        )
+
     @property
     def cells(self) -> DataFrame:
         """Revenue for summaries: the stored fact, or pre-aggregated cells when lazy."""
@@ -106,4 +122,6 @@ TABLES: dict[str, Callable[[Models], DataFrame]] = {
     "monthly_revenue_customer_growth": lambda m: summaries.monthly_revenue_customer_growth(
         m.cells, m.dim_time, m.config
     ),
+    "user_numbers": lambda m: audience.number_users(m.detail),
+    "audience_cells": lambda m: audience.audience_cells(m.detail, m.user_numbers),
 }

@@ -18,6 +18,7 @@ from touchtrail.plans.registry import (
     COMPANIES,
     FIXED_ALPHA,
     FIXED_BETA,
+    PICKED,
 )
 from touchtrail.sources import derived
 from touchtrail.sources.schemas import RAW_SCHEMAS
@@ -1056,6 +1057,37 @@ def oracle_sql() -> dict[str, str]:
                    AS channel_count,
                  CAST({FORECAST.horizon} AS BIGINT) AS forecast_horizon
           FROM chosen_detail"""),
+        "cells_channel_by_company": _table(
+            f"(SELECT * FROM chosen_channels WHERE channel_key IN {chosen})", _CHANNEL_MONEY),
+        "cells_monthly_filtered": _select("""
+          SELECT CAST(revenue_month AS VARCHAR) AS month,
+                 CAST(sum(revenue_amount) AS DOUBLE) AS total_revenue,
+                 count(DISTINCT user_id) AS active_customers
+          FROM chosen_detail GROUP BY revenue_month"""),
+        "cells_kpi_overview": _select(f"""
+          SELECT round(CAST(coalesce(sum(revenue_amount), 0) AS DOUBLE), 2) AS total_revenue,
+                 count(DISTINCT user_id) AS total_customers,
+                 (SELECT count(*) FROM chosen_campaigns) AS campaign_count,
+                 (SELECT count(*) FROM channel_performance WHERE channel_key IN {chosen})
+                   AS channel_count,
+                 CAST({FORECAST.horizon} AS BIGINT) AS forecast_horizon
+          FROM chosen_detail"""),
+        "customers_by_selection": _select(" UNION ALL ".join(
+            f"""SELECT CAST({i} AS INTEGER) AS selection,
+                 CAST(coalesce(sum(revenue_amount), 0) AS DOUBLE) AS revenue,
+                 count(DISTINCT user_id) AS customers, count(*) AS records
+            FROM detail WHERE {f"company_id IN {_in(companies)}" if companies else "true"}
+              AND {f"(first_touch_channel IN {_in(keys)} OR last_touch_channel IN {_in(keys)})"
+                   if keys else "true"}"""
+            for i, (companies, keys) in enumerate(PICKED))),
+        "customers_new_by_month": _select("""
+          SELECT CAST(d.revenue_month AS VARCHAR) AS month,
+                 count(DISTINCT d.user_id) AS customers,
+                 count(DISTINCT d.user_id) FILTER (WHERE f.m = d.revenue_month) AS new_customers
+          FROM detail d
+          JOIN (SELECT user_id, min(revenue_month) AS m FROM detail WHERE user_id IS NOT NULL
+                GROUP BY user_id) f USING (user_id)
+          GROUP BY d.revenue_month"""),
         "attribution_comparison": _select("""
           SELECT channel_key, channel_name, CAST(first_touch_revenue AS DOUBLE) AS first_touch_revenue,
                  CAST(last_touch_revenue AS DOUBLE) AS last_touch_revenue,

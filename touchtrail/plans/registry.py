@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchtrail.functions.columns import round_half_away
+from touchtrail.config import FORECAST
 from touchtrail.operators import (
     anomalies,
+    audience,
     contracts,
     drilldown,
     facts,
@@ -346,9 +348,7 @@ def history_plus_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detail(tables: Models) -> DataFrame:
-    return drilldown.revenue_detail(
-        tables.fct_attributed_revenue, tables.dim_company, tables.dim_time
-    )
+    return tables.detail
 
 
 def filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -483,6 +483,57 @@ def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drilldown.formatted(shown, ["campaign_budget_usd"], ["click_through_rate"])
 
 
+# -- reads of the customer cells --------------------------------------------------------
+
+# All subsets of two companies and two channels; an empty one means all.
+PICKED = [
+    (tuple(c for i, c in enumerate(COMPANIES[:2]) if a >> i & 1),
+     tuple(c for i, c in enumerate(CHANNELS[:2]) if b >> i & 1))
+    for a in range(4)
+    for b in range(4)
+]
+
+
+def cells_channel_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = stored(spark, sf_dir)
+    return comparable(
+        audience.channel_performance(
+            tables.channel_performance, tables.audience_cells, COMPANIES, CHANNELS
+        )
+    )
+
+
+def cells_monthly_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = stored(spark, sf_dir)
+    return comparable(
+        audience.monthly_revenue(
+            tables.monthly_revenue_customer_growth, tables.audience_cells, COMPANIES, CHANNELS
+        )
+    )
+
+
+def cells_kpi_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = stored(spark, sf_dir)
+    return comparable(
+        audience.kpi_overview(
+            tables.audience_cells, tables.campaign_performance, tables.channel_performance,
+            FORECAST.horizon, COMPANIES, CHANNELS,
+        ),
+        {"total_revenue": 2},
+    )
+
+
+def customers_by_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue and distinct customers of every subset of two companies and two channels."""
+    found = audience.every_selection(stored(spark, sf_dir).audience_cells, PICKED)
+    return comparable(found)
+
+
+def customers_new_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per month and those of them with no earlier revenue."""
+    return comparable(audience.new_customers(stored(spark, sf_dir).audience_cells))
+
+
 OTHER_QUERIES: tuple[Query, ...] = (
     touch_revenue_by_channel,
     quality_raw_report,
@@ -525,6 +576,11 @@ OTHER_QUERIES: tuple[Query, ...] = (
     anomaly_all_rows,
     rank_order_violations,
     forecast_overlap,
+    cells_channel_by_company,
+    cells_monthly_filtered,
+    cells_kpi_overview,
+    customers_by_selection,
+    customers_new_by_month,
 )
 
 
