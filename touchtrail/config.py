@@ -83,12 +83,14 @@ class SkewConfig:
     """How joins protect themselves from hot keys.
 
     A key is hot when it holds more than ``hot_share`` of the rows, so a list of
-    hot keys never has more than ``1 / hot_share`` entries.
+    hot keys never has more than ``1 / hot_share`` entries. From ``crowded`` campaigns of
+    one slug and channel on, campaigns are looked up by day through an index.
     """
 
     hot_share: float = 0.001
     salts: int = 200
     broadcast_rows: int = 200_000
+    crowded: int = 32
 
 
 # Layer -> database name; used verbatim by the table sink.

@@ -14,6 +14,7 @@ from touchtrail.functions.columns import (
     safe_ratio,
     zero_if_null,
 )
+from touchtrail.operators import intervals
 from touchtrail.operators.skew import is_small, plain_join
 
 
@@ -107,9 +108,11 @@ def fct_content_performance(
 
     With few campaigns each content row is matched where it is. With many, content
     is first summed per channel, slug and day, all the match needs: a join key (slug
-    and channel) then has one row per day, so none can be hot in the shuffle join.
+    and channel) then has one row per day, so none can be hot in the shuffle join. Where
+    many campaigns share slug and channel, these days meet campaigns through an index of days.
     """
-    small = is_small(campaigns, config)
+    crowded = intervals.most_shared(campaigns, ["campaign_slug", "channel"]) >= config.crowded
+    small = not crowded and is_small(campaigns, config)
     items = content.select(
         "channel", "utm_campaign", "publish_date", F.lit(1).cast("bigint").alias("items"),
         "views", "clicks",
@@ -129,13 +132,24 @@ def fct_content_performance(
             F.sum("views").alias("views"),
             F.sum("clicks").alias("clicks"),
         )
-    matched = plain_join(
-        items,
-        found,
-        ["utm_campaign", "channel"],
-        "left",
-        lambda left, right: left["publish_date"].between(right["_from"], right["_to"]),
-    )
+    keys = ["utm_campaign", "channel"]
+    if crowded:
+        # Items are one row per slug, channel and day: what finds no campaign is what is left.
+        index = intervals.indexed(found, "_from", "_to")
+        met = intervals.alive(items, index, keys, "publish_date", "_from", "_to")
+        by_day = [*keys, "publish_date"]
+        unmet = items.join(met.select(*by_day).distinct(), by_day, "left_anti")
+        matched = met.drop("_from", "_to").unionByName(
+            unmet.withColumn("campaign_id", F.lit(None).cast("string"))
+        )
+    else:
+        matched = plain_join(
+            items,
+            found,
+            keys,
+            "left",
+            lambda left, right: left["publish_date"].between(right["_from"], right["_to"]),
+        )
     month = F.col("publish_month")
     grouped = (
         matched.withColumn("publish_month", month_start("publish_date"))

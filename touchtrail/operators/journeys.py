@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchtrail.config import SKEW, UNKNOWN, SkewConfig
+from touchtrail.operators import intervals
 from touchtrail.operators.skew import is_small, lookup_join
 
 TOUCHES = ("first_touch", "last_touch")
@@ -66,8 +67,10 @@ def match_campaigns(
 
     A slug shared by several campaigns yields one row per match, as two
     independent left joins do; campaign slugs are checked for uniqueness by the
-    quality rules.
+    quality rules. Where many campaigns share slug and channel, they are met by day.
     """
+    if intervals.most_shared(campaigns, ["campaign_slug", "channel"]) >= config.crowded:
+        return _match_by_day(touches, campaigns, config)
     small = is_small(campaigns, config)
 
     def fits(left: DataFrame, right: DataFrame) -> Column:
@@ -87,6 +90,38 @@ def match_campaigns(
     return matched
 
 
+def _match_by_day(touches: DataFrame, campaigns: DataFrame, config: SkewConfig) -> DataFrame:
+    """As the plain matches, through the index of campaign days.
+
+    Distinct (slug, channel, day, company) of the touches find their campaigns; touches then
+    take them by those four values. A NULL company matches campaigns open to all, and has a
+    value of its own to join by.
+    """
+    company = F.coalesce(F.concat(F.lit("="), F.col("company_id")), F.lit(""))
+    matched = touches.withColumn("_company", company)
+    for touch in TOUCHES:
+        channel, id_name = f"{touch}_resolved_channel", f"{touch}_campaign_id"
+        lookup = _campaign_lookup(campaigns, channel, id_name)
+        index = intervals.indexed(lookup, "_from", "_to")
+        keys = ["utm_campaign", channel]
+        days = (
+            touches.withColumn("_company", company)
+            .select(*keys, "signup_date", "_company")
+            .dropna("any")
+            .distinct()
+        )
+        open_to = F.col("_target").isNull() | (F.concat(F.lit("="), "_target") == F.col("_company"))
+        found = (
+            intervals.alive(days, index, keys, "signup_date", "_from", "_to")
+            .where(open_to)
+            .select(*keys, "signup_date", "_company", id_name)
+        )
+        by = [*keys, "signup_date", "_company"]
+        matched = lookup_join(matched, found, by, ["user_id"], "left", config=config, small=False,
+                              keys_from=touches.withColumn("_company", company))
+    return matched.drop("_company")
+
+
 def _match_status(touch: str) -> Column:
     return (
         F.when(F.col("utm_campaign").isNull(), "missing_utm_campaign")

@@ -562,6 +562,12 @@ def _table(
     return _select(f"SELECT *{replaced} FROM {name}")
 
 
+_CROWDED = """(
+  SELECT 'cmp-' || l_orderkey || '-' || l_linenumber AS id, CAST(l_shipdate AS DATE) AS a,
+         CAST(l_shipdate AS DATE) + CAST(l_partkey % 7 AS INTEGER) AS b,
+         CASE WHEN l_partkey % 3 <> 0 THEN 'CTC-00' || (l_partkey % 4 + 1) END AS target
+  FROM lineitem)"""
+
 _ANOMALY_DIGITS = {
     "monthly_revenue": 2, "expected_revenue": 4, "revenue_difference": 4, "rolling_mean": 4,
     "rolling_std": 4, "z_score": 6, "deviation_percent": 6,
@@ -1072,6 +1078,22 @@ def oracle_sql() -> dict[str, str]:
                    AS channel_count,
                  CAST({FORECAST.horizon} AS BIGINT) AS forecast_horizon
           FROM chosen_detail"""),
+        "crowded_journeys": _select(f"""
+          SELECT c.id AS first_touch_campaign_id,
+                 CASE WHEN c.id IS NULL THEN 'unmatched_or_invalid' ELSE 'matched_first_touch_only'
+                 END AS campaign_match_status,
+                 count(*) AS journeys, count(DISTINCT s.company_id) AS companies,
+                 CAST(0 AS BIGINT) AS last_touch_matches
+          FROM stg_user_signups s LEFT JOIN {_CROWDED} c
+            ON s.signup_date BETWEEN c.a AND c.b AND (c.target IS NULL OR c.target = s.company_id)
+          GROUP BY 1, 2"""),
+        "crowded_content": _select(f"""
+          SELECT {_key("date_trunc('month', x.publish_date)")} AS publish_month_date_key, x.channel,
+                 c.id AS campaign_id, count(*) AS content_count,
+                 CAST(sum(x.views) AS BIGINT) AS views, CAST(sum(x.clicks) AS BIGINT) AS clicks
+          FROM stg_content_performance x LEFT JOIN {_CROWDED} c
+            ON x.channel = 'youtube' AND x.publish_date BETWEEN c.a AND c.b
+          GROUP BY ALL"""),
         "customers_by_selection": _select(" UNION ALL ".join(
             f"""SELECT CAST({i} AS INTEGER) AS selection,
                  CAST(coalesce(sum(revenue_amount), 0) AS DOUBLE) AS revenue,

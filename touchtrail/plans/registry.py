@@ -30,13 +30,14 @@ from touchtrail.operators import (
     drilldown,
     facts,
     holt,
+    journeys,
     quality,
     reconciliation,
 )
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
 from touchtrail.sources import raw_files
-from touchtrail.sources.derived import raw_tables
+from touchtrail.sources.derived import crowded_campaigns, raw_tables
 from touchtrail.sources.store import (
     append_table,
     overwrite_table,
@@ -483,6 +484,35 @@ def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drilldown.formatted(shown, ["campaign_budget_usd"], ["click_through_rate"])
 
 
+# -- campaigns that share a slug and a channel ---------------------------------------------
+
+
+def crowded_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signups and companies per campaign, when all campaigns share a slug and a channel."""
+    signups = stored(spark, sf_dir).stg_user_signups.withColumns(
+        {
+            "utm_campaign": F.lit("shared"),
+            "first_touch_channel": F.lit("youtube"),
+            "last_touch_channel": F.lit("blog"),
+        }
+    )
+    found = journeys.user_journeys(signups, crowded_campaigns(spark, sf_dir))
+    return found.groupBy("first_touch_campaign_id", "campaign_match_status").agg(
+        F.count(F.lit(1)).alias("journeys"),
+        F.countDistinct("company_id").alias("companies"),
+        F.count("last_touch_campaign_id").alias("last_touch_matches"),
+    )
+
+
+def crowded_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content per month and campaign, when all campaigns share a slug and a channel."""
+    content = stored(spark, sf_dir).stg_content_performance.withColumn("utm_campaign", F.lit("shared"))
+    found = facts.fct_content_performance(content, crowded_campaigns(spark, sf_dir))
+    return comparable(
+        found.select("publish_month_date_key", "channel", "campaign_id", "content_count", "views", "clicks")
+    )
+
+
 # -- reads of the customer cells --------------------------------------------------------
 
 # All subsets of two companies and two channels; an empty one means all.
@@ -581,6 +611,8 @@ OTHER_QUERIES: tuple[Query, ...] = (
     cells_kpi_overview,
     customers_by_selection,
     customers_new_by_month,
+    crowded_journeys,
+    crowded_content,
 )
 
 

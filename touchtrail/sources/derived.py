@@ -155,6 +155,23 @@ def user_signups(spark: SparkSession, sf_dir: str, flawed: bool = True) -> DataF
     )
 
 
+def crowded_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned campaigns, one per line item, that all share a slug and a channel.
+
+    Each runs for one to seven days from the shipping date.
+    """
+    part = F.col("l_partkey")
+    start = F.col("l_shipdate").cast("date")
+    return _table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", F.lit("cmp"), "l_orderkey", "l_linenumber").alias("campaign_id"),
+        F.lit("shared").alias("campaign_slug"),
+        F.lit("youtube").alias("channel"),
+        start.alias("start_date"),
+        F.date_add(start, (part % 7).cast("int")).alias("end_date"),
+        F.when(part % 3 != 0, _company(part)).alias("target_company_id"),
+    )
+
+
 _DERIVERS: dict[str, Callable[[SparkSession, str, bool], DataFrame]] = {
     "campaign_metadata": campaign_metadata,
     "content_performance": content_performance,
