@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchtrail.config import SOURCE_NULL
+from touchtrail.sources import json_ranges
 from touchtrail.sources.schemas import RAW_SCHEMAS, SOURCE_FILES
 
 
@@ -80,19 +81,12 @@ def read_json_source(
 ) -> DataFrame:
     """Records of JSON documents ``{list_field: [{...}, ...]}``.
 
-    One document is one task, so large extracts should come as many documents in
-    a folder, or as one record per line with ``list_field=None``, which splits.
+    A document of any size is read by as many tasks as it has byte ranges. With
+    ``list_field=None`` files hold one record per line.
     """
     if list_field is None:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    document = T.StructType([T.StructField(list_field, T.ArrayType(schema), True)])
-    return (
-        spark.read.schema(document)
-        .option("mode", "FAILFAST")
-        .option("multiLine", True)
-        .json(path)
-        .select(F.inline(list_field))
-    )
+    return json_ranges.read_document(spark, path, schema, list_field)
 
 
 def read_sources(
