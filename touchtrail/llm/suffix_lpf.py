@@ -122,18 +122,37 @@ def previous_factors(
 # -- parcels -----------------------------------------------------------------------------
 
 
+def anchor_hashes(chunk: r.Chunk) -> np.ndarray:
+    """Hash of the ANCHOR bytes at each place of the chunk; the largest one across documents."""
+    h = r.mixed(r.rolled(chunk.data.astype(r.U64) + r.U64(1), ANCHOR, r.BASES[0]))
+    ends = chunk.first[1:] - 1
+    crossing = np.zeros(len(h) + 1, dtype=np.int64)
+    np.add.at(crossing, np.clip(ends - ANCHOR + 1, 0, len(h)), 1)
+    np.add.at(crossing, np.clip(ends + 1, 0, len(h)), -1)
+    h[np.cumsum(crossing[:-1]) > 0] = ~r.U64(0)
+    return h
+
+
+def anchored_by(chunk: r.Chunk, places: np.ndarray, length: int) -> np.ndarray:
+    """Starts of the strings of the chunk whose own anchor stands at one of the places."""
+    spread = length - ANCHOR + 1
+    h = anchor_hashes(chunk)
+    if len(h) < spread:
+        return np.empty(0, dtype=np.int64)
+    chosen = np.full(len(h), ~r.U64(0))
+    chosen[places] = h[places]
+    lowest = r.slid_min(h, spread)
+    return np.flatnonzero((r.slid_min(chosen, spread) == lowest) & (lowest != ~r.U64(0)))
+
+
 def anchors_of(chunk: r.Chunk, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, place in the chunk, hash) of every anchor of the chunk."""
     spread = length - ANCHOR + 1
-    h = r.mixed(r.rolled(chunk.data.astype(r.U64) + r.U64(1), ANCHOR, r.BASES[0]))
+    h = anchor_hashes(chunk)
     if len(h) < spread:
         none = np.empty(0, dtype=np.int64)
         return none, none, none.astype(r.U64)
     ends = chunk.first[1:] - 1  # without the line end
-    crossing = np.zeros(len(h) + 1, dtype=np.int64)
-    np.add.at(crossing, np.clip(ends - ANCHOR + 1, 0, len(h)), 1)
-    np.add.at(crossing, np.clip(ends + 1, 0, len(h)), -1)
-    h[np.cumsum(crossing[:-1]) > 0] = ~r.U64(0)
     lowest = r.slid_min(h, spread)
     edge = np.zeros(spread - 1, dtype=r.U64)
     chosen = r.slid_max(np.concatenate((edge, lowest, edge)), spread) == h
@@ -278,17 +297,25 @@ def remove_repeats(
     def send_windows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for chunk, more in r.doc_chunks(batches, ("covered", "open")):
             covered = np.zeros(len(chunk.data), dtype=bool)
+            within = np.zeros(len(chunk.data), dtype=bool)
             open_ = np.zeros(len(chunk.data), dtype=bool)
-            # An anchor at p stands for the strings that start at p - before .. p.
-            for name, target in (("covered", covered), ("open", open_)):
-                for i, hits in enumerate(more[name]):
-                    a, n = int(chunk.first[i]), len(chunk.datas[i]) - length + 1
-                    if hits and n > 0:
-                        # Anchors may lie behind the last start of a string.
-                        target[a : a + n] = r.marked(hits, n + before, before=before)[:n]
+            for i in range(len(chunk.datas)):
+                a, n = int(chunk.first[i]), len(chunk.datas[i]) - length + 1
+                if n <= 0:
+                    continue
+                within[a : a + n] = True
+                # A covered anchor at p stands for all strings that start at p - before .. p,
+                # an open one for those that have no anchor but it. Anchors may lie behind
+                # the last start of a string.
+                if more["covered"][i]:
+                    hits = more["covered"][i]
+                    covered[a : a + n] = r.marked(hits, n + before, before=before)[:n]
+                if more["open"][i]:
+                    open_[a : a + n + before] = r.marked(more["open"][i], n + before)
             if not (covered.any() or open_.any()):
                 continue
-            places = np.flatnonzero(open_ & ~covered)
+            places = anchored_by(chunk, np.flatnonzero(open_), length)
+            places = places[within[places] & ~covered[places]]
             values = chunk.data.astype(r.U64) + r.U64(1)
             heads = r.mixed(r.rolled(values, length, r.BASES[0]))[places]
             buckets = r.mixed(r.rolled(values, length, r.BASES[1]))[places] % r.U64(n_buckets)
