@@ -43,8 +43,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def with_row(docs: DataFrame, id_col: str = "doc_id", name: str = "_row") -> DataFrame:
-    """The rows with a number of their own: the id, where ids are unique and not NULL.
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores before it until no column has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
+def with_row(docs: DataFrame, name: str, id_col: str = "doc_id") -> DataFrame:
+    """The rows with a number of their own, ``name``: the id, where ids are unique and not NULL.
 
     Otherwise rows get other numbers, fixed by storing them.
     """

@@ -21,14 +21,18 @@ def _quality() -> str:
         value = ratios[r.feature].replace("/ n_words", "/ nullif(n_words, 0)")
         for bound, sign in ((r.at_least, ">="), (r.at_most, "<=")):
             if bound is not None:
+                other = ""
+                if r.languages:
+                    listed = ", ".join(f"'{x}'" for x in r.languages)
+                    other = f" OR NOT coalesce(lower(lang) IN ({listed}), false)"
                 rules.append(
-                    f"(coalesce({value} {sign} {bound}, true) OR n_words < {r.applies_from})"
+                    f"(coalesce({value} {sign} {bound}, true) OR n_words < {r.applies_from}{other})"
                 )
     return rf"""
     WITH base AS (
-      SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+      SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents),
     words AS (
-      SELECT r, doc_id, text,
+      SELECT r, doc_id, lang, text,
              list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
              list_filter(string_split(text, chr(10)),
                          lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
@@ -42,7 +46,7 @@ def _quality() -> str:
       FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM windows JOIN twice USING (r, w))
       GROUP BY r),
     counted AS (
-      SELECT r, doc_id, len(ws) AS n_words,
+      SELECT r, doc_id, lang, len(ws) AS n_words,
              length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
              len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
              len(regexp_extract_all(text, '[A-Z]')) AS n_capitals,

@@ -12,13 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchtrail.llm.common import let, texts
+from touchtrail.llm.common import free_name, let, texts
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]+"
 CAPITALS = "[A-Z]+"
 
+# Languages whose stop words the list holds.
+STOP_WORD_LANGUAGES = ("en", "fr", "es", "de")
 STOP_WORDS = (
     "a all an and are as at be by for from have in is it not of on or that the this to was were with "
     "au avec ce dans de des du elle en est et il la le les ne pas pour que qui sur un une "
@@ -29,22 +31,26 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A document fails when ``feature`` lies outside [at_least, at_most]."""
+    """A document fails when ``feature`` lies outside [at_least, at_most].
+
+    A rule with ``languages`` is not applied to texts that are not known to be in one of them.
+    """
 
     feature: str
     at_least: float | None = None
     at_most: float | None = None
     applies_from: float = 0  # smallest n_words the rule is applied to
+    languages: tuple[str, ...] = ()
 
 
 # Ratios follow the usual published heuristics for web text (length, symbol, stop-word,
 # and line rules); a feature without a value (no words, no letters) passes.
 RULES: tuple[Rule, ...] = (
-    Rule("n_words", at_least=50, at_most=1_000_000),
+    Rule("n_words", at_least=50),
     Rule("repeat_ratio", at_most=0.5),
     Rule("mean_word_chars", at_least=2, at_most=15),
     Rule("symbol_ratio", at_most=0.1),
-    Rule("stop_word_ratio", at_least=0.02, applies_from=50),
+    Rule("stop_word_ratio", at_least=0.02, applies_from=50, languages=STOP_WORD_LANGUAGES),
     Rule("dup_line_ratio", at_most=0.5),
     Rule("capital_ratio", at_most=0.4),
 )
@@ -104,18 +110,24 @@ def _repeat_words(words: Column) -> Column:
 
 
 def features(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: str | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carried: str | None = None,
+    lang_col: str | None = None,
 ) -> DataFrame:
-    """doc_id and the counts and ratios the rules speak of, in one projection.
+    """doc_id, language, and the counts and ratios the rules speak of, in one projection.
 
-    ``carried`` names a column to pass on.
+    ``carried`` names a column to pass on. Without a ``lang_col`` languages are NULL.
     """
-    carry = [] if carried is None else [carried]
+    lang = F.lit(None).cast("string") if lang_col is None else F.lower(F.col(lang_col))
+    kept = [] if carried is None else [carried]
+    carry = [*kept, "language"]
     text = F.col("text")
     words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     stop_words = [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)]
-    counted = texts(docs, id_col, text_col, carry).select(
+    counted = texts(docs, id_col, text_col, [*kept, lang.alias("language")]).select(
         "doc_id",
         *carry,
         _count_of(text, SYMBOLS).cast("long").alias("n_symbols"),
@@ -169,7 +181,10 @@ def verdict(rules: Sequence[Rule] = RULES) -> Column:
             inside = inside & (value >= rule.at_least)
         if rule.at_most is not None:
             inside = inside & (value <= rule.at_most)
-        kept = kept & (F.coalesce(inside, F.lit(True)) | (F.col("n_words") < rule.applies_from))
+        free = F.col("n_words") < rule.applies_from
+        if rule.languages:
+            free = free | ~F.coalesce(F.col("language").isin(*rule.languages), F.lit(False))
+        kept = kept & (F.coalesce(inside, F.lit(True)) | free)
     return kept
 
 
@@ -178,13 +193,16 @@ def apply_rules(
     rules: Sequence[Rule] = RULES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str | None = None,
 ) -> DataFrame:
     """Features of every document and ``kept``, the verdict of the table.
 
     One row per input row. An empty or NULL text has no words and is not kept under
-    the default table. Ties and repeated rows do not matter: rows are independent.
+    the default table; no text is too long. Rules for some languages ask for a column that
+    names the language; a text of another or of no known one is judged by the other rules.
+    Ties and repeated rows do not matter: rows are independent.
     """
-    return features(docs, id_col, text_col).withColumn("kept", verdict(rules))
+    return features(docs, id_col, text_col, lang_col=lang_col).withColumn("kept", verdict(rules))
 
 
 def kept_rows(
@@ -192,7 +210,12 @@ def kept_rows(
     rules: Sequence[Rule] = RULES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str | None = None,
 ) -> DataFrame:
     """The input rows, with all their columns, that every rule of the table keeps."""
-    whole = docs.withColumn("_whole", F.struct(*docs.columns))
-    return features(whole, id_col, text_col, "_whole").where(verdict(rules)).select("_whole.*")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.select(*columns, F.struct(*columns).alias(free_name(docs, "_whole")))
+    carried = whole.columns[-1]
+    # Under a name of its own: features are named too.
+    judged = features(whole, id_col, text_col, carried, lang_col).where(verdict(rules))
+    return judged.select(F.col(carried).alias("_row")).select("_row.*")

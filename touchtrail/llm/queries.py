@@ -107,7 +107,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
+    scored = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"), lang_col="lang")
     return scored.select(
         "doc_id",
         "n_words",
