@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -297,6 +298,34 @@ def test_licence_texts_with_gaps_are_labelled(spark):
 # -- secrets ------------------------------------------------------------------------------
 
 
+PLAIN_PATTERNS = {
+    "jwt": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "url_login": r"\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@",
+}
+
+
+@given(st.lists(st.sampled_from([
+    "a", "http", "9", "+", ".", "-", "://", ":", "@", "/", " ", "X", "_", "é", "u:p@", "eyJ", "abcdefgh",
+    "eyJabcdefgh", ".abcdefgh", "http://u:p@",
+]), max_size=30).map("".join))
+def test_linear_patterns_find_what_the_plain_ones_do(text):
+    for rule in secret_ledger.RULES:
+        if rule.kind in PLAIN_PATTERNS:
+            found = [(a, b) for a, _, b in secret_ledger.Scanner([rule]).spans(text.encode())]
+            plain = re.finditer(PLAIN_PATTERNS[rule.kind], text, re.ASCII)
+            assert found == [m.span() for m in plain]
+
+
+@pytest.mark.parametrize("text", [
+    "http://x " + "a." * 500_000, "eyJ" + "-eyJabcdefgh" * 100_000, "a" * 1_000_000 + "://", "1.a" * 300_000 + "://u:p@",
+    "-----BEGIN " + "A " * 500_000, "token" + " " * 1_000_000, "://" + "x:" * 400_000, "eyJabcdefgh." * 90_000,
+    "Bearer " * 150_000, "xoxb-" * 200_000, "ghp_" * 250_000,
+])
+def test_a_long_text_does_not_hang(text):
+    """Quadratic work on a megabyte would take minutes to hours."""
+    secret_ledger.Scanner(secret_ledger.RULES).spans(text.encode())
+
+
 def test_ledger_scans_only_what_is_new(spark, tmp_path, monkeypatch):
     path = f"file://{tmp_path}/ledger"
     scanned = []

@@ -8,7 +8,7 @@ Every text is addressed by its content (SHA-256). A ledger table remembers which
 3. scans the remaining blobs once each and appends them to the ledger,
 4. joins the findings back to every row (path, version) with that content.
 
-The ledger is a Parquet table that only grows by appends, so a failed run leaves
+The ledger is a Parquet table, one folder per rule version, that only grows by appends, so a failed run leaves
 earlier entries untouched and a repeated one scans what is still missing.
 """
 
@@ -29,7 +29,8 @@ from touchtrail.sources.store import scratch_dir
 
 @dataclass(frozen=True)
 class SecretRule:
-    """``pattern`` finds candidates; ``group`` must have ``at_least`` characters.
+    """``pattern`` finds candidates; ``group`` must have ``at_least`` characters. A match
+    begins where its group ``start`` does, if the pattern has one.
 
     ``needs``: lower-case ASCII strings of which a text must hold one, or a match is
     impossible. ``run_of``: the text must hold ``at_least`` such characters in a row.
@@ -68,12 +69,21 @@ MORE_RULES = (
     SecretRule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", needs=("private key",)),
     SecretRule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}", needs=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     SecretRule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}", needs=("xox",)),
+    # Both patterns look at a run of characters once, from its first one, and only go on to
+    # their first possible start in it if what follows the run fits: linear on any text.
     SecretRule(
         "jwt",
-        r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+        r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8})"
+        r"(?:[A-Za-z0-9_]*+-)*?(?P<start>(?<!\w)eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)",
         needs=("eyj",),
     ),
-    SecretRule("url_login", r"\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@", needs=("://",)),
+    SecretRule(
+        "url_login",
+        r"(?<![a-z0-9+.-])(?=[a-z0-9+.-]++://)"
+        r"(?:(?<!\w)(?=[a-z])|[a-z0-9]*+(?:[+.-]++[0-9][a-z0-9]*+)*+[+.-]++(?=[a-z]))"
+        r"(?P<start>[a-z0-9+.-]++://[^\s/:@]++:[^\s/@]++@)",
+        needs=("://",),
+    ),
     SecretRule("bearer", r"\bBearer\x20+[A-Za-z0-9._~+/=-]{20,}", needs=("bearer",)),
 )
 
@@ -116,7 +126,8 @@ class Scanner:
                 text = data.decode()
             for match in pattern.finditer(text):
                 if len(match[rule.group]) >= rule.at_least:
-                    found.append((match.start(), number, match.end()))
+                    begin = match.start("start" if "start" in pattern.groupindex else 0)
+                    found.append((begin, number, match.end()))
         return sorted(found)
 
 
@@ -168,11 +179,16 @@ def find(blobs: DataFrame, rules: Sequence[SecretRule] = RULES) -> DataFrame:
     return blobs.select("blob", "text").mapInArrow(run, f"blob string, findings {FINDINGS}")
 
 
-LEDGER = f"blob string, rules string, findings {FINDINGS}"
+LEDGER = f"blob string, findings {FINDINGS}"
+
+
+def ledger_of(path: str, version: str) -> str:
+    """Folder of one rule version: a run reads the entries of its own rules alone."""
+    return f"{path.rstrip('/')}/rules={version}"
 
 
 def open_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``; created empty if nothing has been written there yet."""
+    """The ledger folder ``path``; created empty if nothing has been written there yet."""
     spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(path)
     return spark.read.schema(LEDGER).parquet(path)
 
@@ -192,10 +208,10 @@ def scan(
     blob of the empty string, and a NULL id is kept.
     """
     spark = docs.sparkSession
-    path = ledger_path or f"{scratch_dir(spark)}/secret-ledger-{uuid.uuid4().hex}"
-    version = rule_version(rules)
+    whole = ledger_path or f"{scratch_dir(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    path = ledger_of(whole, rule_version(rules))
     addressed = texts(docs, id_col, text_col).withColumn("blob", F.sha2("text", 256))
-    known = open_ledger(spark, path).where(F.col("rules") == version)
+    known = open_ledger(spark, path)
 
     # One row stands for each unseen blob. A blob all of whose rows lack an id is looked
     # up by its address alone.
@@ -211,15 +227,13 @@ def scan(
         unseen.where("doc_id IS NULL").select("blob"), "blob", "left_semi"
     )
     scanned = find(with_id.unionByName(without_id), rules).dropDuplicates(["blob"])
-    scanned.select("blob", F.lit(version).alias("rules"), "findings").write.option(
-        "compression", "zstd"
-    ).mode("append").parquet(path)
+    scanned.select("blob", "findings").write.option("compression", "zstd").mode("append").parquet(path)
 
     # Stored, so that the join sees its true size and can split hot addresses.
     hits = stored(
         spark.read.schema(LEDGER)
         .parquet(path)
-        .where((F.col("rules") == version) & (F.size("findings") > 0))
+        .where(F.size("findings") > 0)
         .dropDuplicates(["blob"])
         .select("blob", "findings"),
         "secret-hits",
