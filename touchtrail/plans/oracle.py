@@ -18,6 +18,7 @@ from touchtrail.plans.registry import (
     COMPANIES,
     FIXED_ALPHA,
     FIXED_BETA,
+    MOVED_USER,
     PICKED,
 )
 from touchtrail.sources import derived
@@ -562,6 +563,11 @@ def _table(
     return _select(f"SELECT *{replaced} FROM {name}")
 
 
+# Revenue that the earlier version lacked, or had with other amounts.
+_NUMBER = "CAST(regexp_extract(revenue_id, '[0-9]+') AS BIGINT)"
+_MISSING = f"coalesce(revenue_month = DATE '1996-03-01' AND {_NUMBER} % 3 = 0, false)"
+_OTHER_AMOUNT = f"coalesce(revenue_month = DATE '1995-07-01' AND {_NUMBER} % 5 = 0, false)"
+
 _CROWDED = """(
   SELECT 'cmp-' || l_orderkey || '-' || l_linenumber AS id, CAST(l_shipdate AS DATE) AS a,
          CAST(l_shipdate AS DATE) + CAST(l_partkey % 7 AS INTEGER) AS b,
@@ -1078,6 +1084,17 @@ def oracle_sql() -> dict[str, str]:
                    AS channel_count,
                  CAST({FORECAST.horizon} AS BIGINT) AS forecast_horizon
           FROM chosen_detail"""),
+        "refreshed_fact": _table("fct_attributed_revenue", "revenue_amount"),
+        "refreshed_months": _select(f"""
+          SELECT DISTINCT coalesce(CAST({_key('revenue_month')} AS VARCHAR), 'NULL')
+                 AS revenue_date_key, 'rewritten' AS change
+          FROM stg_portfolio_revenue WHERE {_MISSING} OR {_OTHER_AMOUNT} OR user_id = '{MOVED_USER}'
+          UNION ALL SELECT '19900101', 'removed'"""),
+        "version_changes": _select(f"""
+          SELECT revenue_id, CASE WHEN {_MISSING} THEN 'added' ELSE 'changed' END AS change
+          FROM stg_portfolio_revenue WHERE {_MISSING} OR {_OTHER_AMOUNT} OR user_id = '{MOVED_USER}'
+          UNION ALL SELECT 'OLD-' || revenue_id, 'removed' FROM stg_portfolio_revenue
+          WHERE {_NUMBER} % 101 = 0"""),
         "crowded_journeys": _select(f"""
           SELECT c.id AS first_touch_campaign_id,
                  CASE WHEN c.id IS NULL THEN 'unmatched_or_invalid' ELSE 'matched_first_touch_only'

@@ -12,10 +12,11 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchtrail.config import ANOMALY, FORECAST, AnomalyConfig, ForecastConfig
-from touchtrail.operators import anomalies, attribution, holt, quality
+from touchtrail.config import ANOMALY, FORECAST, SKEW, AnomalyConfig, ForecastConfig, SkewConfig
+from touchtrail.functions.columns import date_key
+from touchtrail.operators import anomalies, attribution, facts, holt, quality
 from touchtrail.plans.models import TABLES, Models
-from touchtrail.sources import store
+from touchtrail.sources import store, versions
 from touchtrail.sources.raw_files import read_sources
 
 LAYER_OF = {
@@ -189,6 +190,43 @@ def ingest(spark: SparkSession, data_dir: str, raw_root: str) -> dict[str, int]:
     return store.publish_tables(spark, read_sources(spark, data_dir), raw_root)
 
 
+def refresh_revenue_fact(
+    spark: SparkSession,
+    root: str,
+    revenue: DataFrame,
+    journeys: DataFrame,
+    config: SkewConfig = SKEW,
+) -> versions.Refresh:
+    """Bring the versioned revenue fact up to date, rewriting only months that differ.
+
+    A month differs if its revenue records do, or if it has records of users whose journey
+    has changed. The journeys it was built from are kept in the same commit. Equal to a
+    full rebuild, late, changed and deleted records and journeys included.
+    """
+    base = versions.entry(spark, root)
+    month = date_key("revenue_month")
+    touched: list[str] = []
+    others = {"int_user_journeys": journeys}
+    if "int_user_journeys" in base.tables:
+        before = versions.read(spark, base, "int_user_journeys")
+        users = store.materialize(versions.changed_keys(before, journeys, ["user_id"]), "changed-users")
+        if users.isEmpty():
+            others = {}
+        else:
+            theirs = revenue.join(users.where("user_id IS NOT NULL"), "user_id", "left_semi")
+            label = F.coalesce(month.cast("string"), F.lit(versions.NULL_PART))
+            # Months, of which there are as many as the calendar has.
+            touched = [r[0] for r in theirs.select(label).distinct().collect()]
+
+    def build(rows: DataFrame) -> DataFrame:
+        return facts.fct_attributed_revenue(attribution.attributed_revenue(rows, journeys, config))
+
+    return versions.refresh(
+        spark, root, "fct_attributed_revenue", revenue, month, build, F.col("revenue_date_key"),
+        touched, others,
+    )
+
+
 def validate(spark: SparkSession, raw: dict[str, DataFrame]) -> DataFrame:
     """Run the raw report, append it to the log, and raise when a check failed."""
     report = store.materialize(quality.raw_report(spark, raw), "raw_report")

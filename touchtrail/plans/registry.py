@@ -36,8 +36,8 @@ from touchtrail.operators import (
 )
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
-from touchtrail.sources import raw_files
-from touchtrail.sources.derived import crowded_campaigns, raw_tables
+from touchtrail.sources import raw_files, versions
+from touchtrail.sources.derived import crowded_campaigns, earlier_revenue, raw_tables
 from touchtrail.sources.store import (
     append_table,
     overwrite_table,
@@ -484,6 +484,54 @@ def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drilldown.formatted(shown, ["campaign_budget_usd"], ["click_through_rate"])
 
 
+# -- versions ----------------------------------------------------------------------------
+
+# The user whose journey differs in the earlier version.
+MOVED_USER = "USR-7"
+
+_REFRESHED: dict[tuple[str, str], tuple[str, versions.Refresh]] = {}
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, versions.Refresh]:
+    """Folder of two versions of the revenue fact, the second refreshed from the first."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REFRESHED:
+        m = stored(spark, sf_dir)
+        root = f"{scratch_dir(spark)}/versions-{uuid.uuid4().hex}"
+        revenue, now = m.stg_portfolio_revenue, m.int_user_journeys
+        channel = F.when(F.col("user_id") == MOVED_USER, "elsewhere").otherwise(
+            F.col("last_touch_resolved_channel")
+        )
+        earlier = now.withColumn("last_touch_resolved_channel", channel)
+        pipeline.refresh_revenue_fact(spark, root, earlier_revenue(revenue), earlier)
+        _REFRESHED[key] = root, pipeline.refresh_revenue_fact(spark, root, revenue, now)
+    return _REFRESHED[key]
+
+
+def refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue fact after only the months that differ were rewritten."""
+    root, done = refreshed(spark, sf_dir)
+    at = versions.entry(spark, root, done.number)
+    return comparable(versions.read(spark, at, "fct_attributed_revenue"))
+
+
+def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of the fact that the refresh rewrote or removed."""
+    _, done = refreshed(spark, sf_dir)
+    rows = [(m, "rewritten") for m in done.rewritten] + [(m, "removed") for m in done.removed]
+    return spark.createDataFrame(rows, "revenue_date_key string, change string")
+
+
+def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue records that differ between the last version of the fact and the one before."""
+    root, done = refreshed(spark, sf_dir)
+    old, new = (
+        versions.read(spark, versions.entry(spark, root, n), "fct_attributed_revenue")
+        for n in (done.number - 1, done.number)
+    )
+    return versions.changed_keys(old, new, ["revenue_id"])
+
+
 # -- campaigns that share a slug and a channel ---------------------------------------------
 
 
@@ -613,6 +661,9 @@ OTHER_QUERIES: tuple[Query, ...] = (
     customers_new_by_month,
     crowded_journeys,
     crowded_content,
+    refreshed_fact,
+    refreshed_months,
+    version_changes,
 )
 
 

@@ -172,6 +172,28 @@ def crowded_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def earlier_revenue(revenue: DataFrame) -> DataFrame:
+    """Cleaned revenue as an earlier load may have had it.
+
+    A third of one month is still missing, a fifth of another has other amounts, and there is
+    a month whose records were withdrawn since.
+    """
+    number = F.regexp_extract("revenue_id", r"(\d+)", 1).cast("bigint")
+
+    def some(month: str, every: int) -> Column:
+        return F.coalesce((F.col("revenue_month") == month) & (number % every == 0), F.lit(False))
+
+    amount = F.col("revenue_amount") + F.when(some("1995-07-01", 5), 1).otherwise(0)
+    kept = revenue.where(~some("1996-03-01", 3)).withColumn("revenue_amount", amount.cast(MONEY))
+    withdrawn = revenue.where(number % 101 == 0).withColumns(
+        {
+            "revenue_id": F.concat(F.lit("OLD-"), "revenue_id"),
+            "revenue_month": F.lit("1990-01-01").cast("date"),
+        }
+    )
+    return kept.unionByName(withdrawn)
+
+
 _DERIVERS: dict[str, Callable[[SparkSession, str, bool], DataFrame]] = {
     "campaign_metadata": campaign_metadata,
     "content_performance": content_performance,

@@ -6,10 +6,11 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.config import LAYERS
+from touchtrail.sources import versions
 
 _LOCAL_SCRATCH: list[str] = []
 
@@ -44,48 +45,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 # -- versioned raw load ----------------------------------------------------------
 
 
-def _manifest(root: str) -> str:
-    return f"{root.rstrip('/')}/_published"
-
-
 def publish_tables(
     spark: SparkSession, tables: Mapping[str, DataFrame], root: str
 ) -> dict[str, int]:
     """Rebuild a set of tables as one version, visible all at once or not at all.
 
-    Every table goes to a new version folder. Only after all writes succeeded is
-    the version appended to the manifest (a single committed file), so readers
-    keep seeing the previous version when any write fails.
+    Every table goes to a folder of its own. Only after all writes succeeded is the
+    version committed, so readers keep seeing the previous version when any write fails.
+    Loaders that publish at once both succeed, one version after the other.
 
     Returns the rows written per table, counted while writing.
     """
-    version = uuid.uuid4().hex
-    counts: dict[str, int] = {}
-    for name, df in tables.items():
-        rows = Observation(f"rows_{name}_{version}")
-        df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
-            f"{root.rstrip('/')}/{version}/{name}"
-        )
-        counts[name] = rows.get["rows"]
-    entry = spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
-    )
-    entry.coalesce(1).write.mode("append").parquet(_manifest(root))
-    return counts
-
-
-def current_version(spark: SparkSession, root: str) -> str:
-    row = (
-        spark.read.parquet(_manifest(root))
-        .agg(F.max_by("version", "published_at").alias("version"))
-        .first()
-    )
-    return row["version"]
-
-
-def read_published(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    version = current_version(spark, root)
-    return {name: spark.read.parquet(f"{root.rstrip('/')}/{version}/{name}") for name in names}
+    written = {name: versions.write(df, root, name) for name, df in tables.items()}
+    versions.commit(spark, root, lambda latest: written)
+    return {name: table.digests[versions.NO_PART][0] for name, table in written.items()}
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    return versions.entry(spark, root).number
+
+
+def read_published(
+    spark: SparkSession, root: str, names: list[str], version: int | None = None
+) -> dict[str, DataFrame]:
+    """Tables of one version, the latest if none is named; later versions do not matter."""
+    at = versions.entry(spark, root, version)
+    return {name: versions.read(spark, at, name) for name in names}
 
 
 # -- layer tables ----------------------------------------------------------------
