@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.llm import rolling as r
@@ -33,7 +33,13 @@ TUNED = 1  # this fold's words choose the weights; they count once those are fix
 END, START = r.U64(1), r.U64(2)  # hashes of the end token and of the place before a text
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 CODED_BYTES = 4 << 20
-KEY_BYTES = 5  # of a hash within its bucket: about one count in 300,000 is shared
+# Of a hash within its bucket: all of it for words, whose counts are exact; for bigrams, of
+# which there are many more, about one count in 300,000 is shared.
+WORD_BYTES, PAIR_BYTES = 8, 5
+# Files of the coded table; a table cannot have more than 100,000 buckets. A file holds
+# any number of chunks, which are read one at a time.
+MOST_FILES = 20_000
+TABLE_PREFIX = "lm_coded_"
 BUCKETS = 24  # of context frequency
 FINE = 4  # histogram steps per power of two
 NEVER = -10_000  # an estimate of zero in the histogram
@@ -79,7 +85,8 @@ class Coded:
         self.folds = r.unsteps(row["folds"])
         self.sizes = r.unsteps(row["sizes"])
         self.words = r.unplanes(row["words"], "<u8")
-        self.codes = r.unplanes(row["codes"], "<u4", 3).astype(np.int64)
+        codes = memoryview(row["codes"])
+        self.codes = r.unplanes(codes[1:], "<u4", codes[0]).astype(np.int64)
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         fold = self.folds[self.doc]
         self.learned = (fold != EVALUATED) & (fold != TUNED)
@@ -94,6 +101,11 @@ class Coded:
         return distinct >> 32, distinct & 0xFFFFFFFF, which
 
 
+def code_width(words: int) -> int:
+    """Bytes that number so many words; three are enough for nearly all chunks."""
+    return 3 if words <= 1 << 24 else 4
+
+
 def encode(rows: DataFrame) -> DataFrame:
     """The coded texts of (row, ord, doc_id, text, fold)."""
 
@@ -109,6 +121,7 @@ def encode(rows: DataFrame) -> DataFrame:
             common_first = np.argsort(-counts, kind="stable")
             place = np.empty(len(words), dtype="<u4")
             place[common_first] = np.arange(len(words), dtype="<u4")
+            width = code_width(len(words))
             yield r.binary_batch(
                 CODED_SCHEMA,
                 [
@@ -118,7 +131,7 @@ def encode(rows: DataFrame) -> DataFrame:
                         r.steps(np.array(more["fold"])),
                         r.steps(sizes + 1),
                         r.planes(words[common_first]),
-                        r.planes(place[codes], 3),
+                        bytes([width]) + r.planes(place[codes], width),
                     )
                 ],
             )
@@ -128,10 +141,10 @@ def encode(rows: DataFrame) -> DataFrame:
 
 def _asked(
     coded: Coded, hashes: np.ndarray, fit: np.ndarray, tuned: np.ndarray, n_buckets: int,
-    context: np.ndarray | None = None, word: np.ndarray | None = None,
+    key_bytes: int, context: np.ndarray | None = None, word: np.ndarray | None = None,
 ) -> Iterator[tuple]:
     buckets = (hashes % r.U64(n_buckets)).astype(np.int32)
-    keys = hashes >> r.U64(64 - 8 * KEY_BYTES)
+    keys = hashes >> r.U64(64 - 8 * key_bytes)
     for bucket, at in r.by_bucket(buckets):
         extra = (b"", b"")
         if context is not None:
@@ -141,7 +154,7 @@ def _asked(
             bucket,
             coded.chunk,
             r.steps(at),
-            r.planes(keys[at], KEY_BYTES),
+            r.planes(keys[at], key_bytes),
             r.steps(fit[at]),
             r.steps(tuned[at]),
             *extra,
@@ -154,6 +167,7 @@ def _answered(batches: Batches, totals: tuple[int, int] | None) -> Iterator[pa.R
     With ``totals`` (words and distinct words without the tuned fold) the entries are
     bigrams, and the histogram for the weights is added.
     """
+    key_bytes = WORD_BYTES if totals is None else PAIR_BYTES
     asked: list[tuple] = []
     for batch in batches:
         for p in batch.to_pylist():
@@ -162,7 +176,7 @@ def _answered(batches: Batches, totals: tuple[int, int] | None) -> Iterator[pa.R
                     p["bucket"],
                     p["chunk"],
                     r.unsteps(p["places"]),
-                    r.unplanes(p["keys"], "<u8", KEY_BYTES),
+                    r.unplanes(p["keys"], "<u8", key_bytes),
                     r.unsteps(p["fit"]),
                     r.unsteps(p["tuned"]),
                     r.unsteps(p["context"]) if p["context"] else None,
@@ -285,7 +299,17 @@ def _told_by_chunk(told: DataFrame, name: str) -> DataFrame:
     )
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_tables(spark: SparkSession) -> list[str]:
+    """Drop the coded tables of this and earlier runs; results not yet read need theirs."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(TABLE_PREFIX)]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return names
+
+
+def score(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: np.ndarray | None = None
+) -> DataFrame:
     """Scores of every text; fits the model on the way.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, train_types, base_score (smoothed
@@ -293,17 +317,20 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     whose crc32 of the id is not 0 modulo 10, and fixes the weights on those with 1. A
     NULL id counts as the empty string, so it is scored only. An empty or NULL text is
     its end token. One row per input row; an empty table has no rows, and with nothing
-    to learn from every word has the uniform share.
+    to learn from every word has the uniform share. Given ``weights``, a row of three per
+    context bucket, are used as they are.
 
-    Leaves the coded texts and the counts in the session's shared folders.
+    A chunk of about 4 MB of text is held as numpy arrays; one longer text is a chunk of its
+    own and needs about 100 bytes of worker memory per byte. Leaves the coded texts and the
+    counts in the session's shared folders, see :func:`drop_tables`.
     """
     spark = docs.sparkSession
     rows = r.numbered(docs, id_col, text_col, "lm-rows").withColumn(
         "fold", F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(FOLDS)).cast("int")
     )
     n_buckets = 2 * r.bucket_count(rows)
-    files = max(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    name = f"lm_coded_{uuid.uuid4().hex}"
+    files = min(MOST_FILES, max(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    name = f"{TABLE_PREFIX}{uuid.uuid4().hex}"
     (
         encode(rows)
         .repartition(files, "chunk")
@@ -321,7 +348,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 fit = np.bincount(c.codes[c.learned], minlength=n)
                 tuned = np.bincount(c.codes[c.tuned], minlength=n)
                 yield r.binary_batch(
-                    ASKED_SCHEMA, list(_asked(c, r.mixed(c.words), fit, tuned, n_buckets))
+                    ASKED_SCHEMA, list(_asked(c, r.mixed(c.words), fit, tuned, n_buckets, WORD_BYTES))
                 )
 
     def tell_words(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -346,7 +373,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 learned = np.bincount(which[c.learned], minlength=len(word))
                 tuned = np.bincount(which[c.tuned], minlength=len(word))
                 asked_rows = _asked(
-                    c, hashes, learned, tuned, n_buckets, _with_start(fit, c.words)[context], fit[word]
+                    c, hashes, learned, tuned, n_buckets, PAIR_BYTES, _with_start(fit, c.words)[context], fit[word]
                 )
                 yield r.binary_batch(ASKED_SCHEMA, list(asked_rows))
 
@@ -355,7 +382,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     asked = with_words.mapInArrow(ask_pairs, ASKED).repartitionById(n_buckets, F.col("bucket"))
     pairs = stored(asked.mapInArrow(tell_pairs, TOLD), "lm-pairs")
-    weights = fit_weights(*_cells(pairs))
+    if weights is None:
+        weights = fit_weights(*_cells(pairs))
 
     schema = pa.schema(
         [
