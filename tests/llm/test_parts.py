@@ -280,6 +280,69 @@ def test_automaton_gives_matching_statistics(templates, text):
         assert length == longest
 
 
+def coverage_by_template(templates, words, min_match, gap):
+    """Longest matches of each template by trying all of its substrings."""
+    found = {}
+    for name, text in templates.items():
+        t = text.split()
+
+        def longest(end):
+            return max((n for n in range(1, end + 1)
+                        if any(t[k : k + n] == words[end - n : end] for k in range(len(t)))), default=0)
+
+        lengths = [longest(e) for e in range(1, len(words) + 1)] + [0]
+        matches = []
+        for e, n in enumerate(lengths[:-1], 1):
+            if n >= min_match and lengths[e] <= n:
+                matches += [(e - n, k, n) for k in range(len(t)) if t[k : k + n] == words[e - n : e]]
+        if matches:
+            found[name] = license_scan._chained(sorted(matches), gap, len(t)) / len(t)
+    return found
+
+
+@settings(max_examples=150)
+@given(
+    st.lists(st.lists(st.sampled_from("abc"), min_size=3, max_size=16), min_size=1, max_size=4),
+    st.lists(st.sampled_from("abcd"), max_size=40),
+    st.integers(0, 3),
+)
+def test_every_template_gets_its_own_matches(templates, words, copied):
+    texts = {f"t{i}": " ".join(t) for i, t in enumerate(templates)}
+    if copied < len(templates):  # a text with an edit or two
+        words = words[:5] + templates[copied][:6] + ["d"] + templates[copied][7:] + words[5:]
+    m = license_scan.build({}, texts, 3)
+    _, found = license_scan.scan_words([w.encode() for w in words], m, 3, 4)
+    assert found == pytest.approx(coverage_by_template(texts, words, 3, 4))
+
+
+FAMILY_HEAD = (
+    "redistribution and use in source and binary forms with or without modification are permitted "
+    "provided that the following conditions are met redistributions of source code must retain the "
+    "above copyright notice this list of conditions and the following disclaimer"
+)
+FAMILY = {
+    "two clauses": FAMILY_HEAD + " redistributions in binary form must reproduce the above notice in the documentation",
+    "three clauses": FAMILY_HEAD + " redistributions in binary form must reproduce the above notice in the documentation"
+    " neither the name of the holder nor the names of its contributors may be used to endorse products",
+    "version two": "this program is free software you can redistribute it under version two of the licence"
+    " as published and it comes without any warranty of fitness see the text for more details",
+    "version three": "this program is free software you can redistribute it under version three of the licence"
+    " as published and it comes without any warranty of fitness see the text for more details",
+}
+
+
+@pytest.mark.parametrize("name", list(FAMILY))
+def test_members_of_a_family_get_their_own_label(spark, name):
+    words = FAMILY[name].split()
+    at = len(words) // 3
+    edited = " ".join(words[:at] + ["edited"] + words[at + 1 :])
+    rows = [(1, FAMILY[name]), (2, "before it " + edited + " and after")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in license_scan.scan(docs, {}, FAMILY).collect():
+        best = max(r["coverage"], key=r["coverage"].get)
+        assert name in r["labels"] and r["coverage"][name] == r["coverage"][best] > 0.9
+
+
 def test_licence_texts_with_gaps_are_labelled(spark):
     gpl = license_scan.TEMPLATES["gpl"]
     words = gpl.split()

@@ -82,34 +82,33 @@ class Automaton:
     step: list[dict[int, int]] = field(default_factory=lambda: [{}])
     link: list[int] = field(default_factory=lambda: [-1])
     length: list[int] = field(default_factory=lambda: [0])
-    # One place (template, end) of each state's substrings.
-    place: list[tuple[int, int]] = field(default_factory=lambda: [(-1, -1)])
+    # Places (template, end) of prefixes of templates; a state's substrings stand at its own
+    # and at those of all states whose suffix links lead to it.
+    own: list[list[tuple[int, int]]] = field(default_factory=lambda: [[]])
     # Phrases that are suffixes of a state's substrings: (words, phrase number).
     phrases: list[tuple[tuple[int, int], ...]] = field(default_factory=list)
 
-    def _state(self, length: int, link: int, place: tuple[int, int], step: dict[int, int]) -> int:
+    def _state(self, length: int, link: int, step: dict[int, int]) -> int:
         self.step.append(step)
         self.link.append(link)
         self.length.append(length)
-        self.place.append(place)
+        self.own.append([])
         return len(self.step) - 1
 
     def _split(self, p: int, q: int, token: int) -> int:
         """The part of state q reached from p by one token, as a state of its own."""
-        clone = self._state(
-            self.length[p] + 1, self.link[q], self.place[q], dict(self.step[q])
-        )
+        clone = self._state(self.length[p] + 1, self.link[q], dict(self.step[q]))
         self.link[q] = clone
         while p >= 0 and self.step[p].get(token) == q:
             self.step[p][token] = clone
             p = self.link[p]
         return clone
 
-    def _extend(self, last: int, token: int, place: tuple[int, int]) -> int:
+    def _extend(self, last: int, token: int) -> int:
         q = self.step[last].get(token)
         if q is not None:  # this run of tokens is known from an earlier template
             return q if self.length[q] == self.length[last] + 1 else self._split(last, q, token)
-        new = self._state(self.length[last] + 1, 0, place, {})
+        new = self._state(self.length[last] + 1, 0, {})
         p = last
         while p >= 0 and token not in self.step[p]:
             self.step[p][token] = new
@@ -123,7 +122,8 @@ class Automaton:
     def add(self, template: int, tokens: list[int]) -> None:
         last = 0
         for end, token in enumerate(tokens):
-            last = self._extend(last, token, (template, end))
+            last = self._extend(last, token)
+            self.own[last].append((template, end))
 
     def mark(self, phrases: list[list[int]]) -> None:
         """Note, at every state, the phrases that its substrings end with."""
@@ -140,6 +140,28 @@ class Automaton:
         self.phrases = found
 
 
+    def places(self, shortest: int) -> list[dict[int, list[int]]]:
+        """Ends in each template of the substrings of every state of ``shortest`` tokens or more."""
+        found: list[dict[int, list[int]]] = [{} for _ in self.step]
+        for state in sorted(range(1, len(self.step)), key=self.length.__getitem__, reverse=True):
+            if self.length[state] < shortest:
+                break
+            for template, end in self.own[state]:
+                found[state].setdefault(template, []).append(end)
+            for template, ends in found[state].items():
+                found[self.link[state]].setdefault(template, []).extend(ends)
+        return found
+
+    def suffixes(self, shortest: int) -> list[dict[int, int]]:
+        """For every state and template the state of the longest suffix that stands in it."""
+        places = self.places(shortest)
+        found: list[dict[int, int]] = [{} for _ in self.step]
+        for state in sorted(range(1, len(self.step)), key=self.length.__getitem__):
+            if self.length[state] >= shortest:
+                found[state] = found[self.link[state]] | dict.fromkeys(places[state], state)
+        return found
+
+
 @dataclass(frozen=True)
 class Matcher:
     """What the executors need: vocabulary, automaton, and labels."""
@@ -151,10 +173,14 @@ class Matcher:
     sizes: tuple[int, ...]
     n_texts: int
     shortest_run: int
+    places: list[dict[int, list[int]]]
+    suffixes: list[dict[int, int]]
 
 
 def build(
-    phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES
+    phrases: Mapping[str, str] = PHRASES,
+    templates: Mapping[str, str] = TEMPLATES,
+    min_match: int = 5,
 ) -> Matcher:
     vocabulary: dict[bytes, int] = {}
 
@@ -175,6 +201,8 @@ def build(
         tuple(len(t) for t in [*licence_tokens, *phrase_tokens]),
         len(licence_tokens),
         min((len(t) for t in phrase_tokens), default=2),
+        automaton.places(min_match),
+        automaton.suffixes(min_match),
     )
 
 
@@ -215,27 +243,32 @@ def scan_words(words: list[bytes], m: Matcher, min_match: int, gap: int) -> tupl
     runs = edges.reshape(-1, 2)
     for begin, end in runs[runs[:, 1] - runs[:, 0] >= shortest].tolist():
         state, length = 0, 0
-        previous = (0, 0, 0)  # state, length, end of the match just left
+        open_: dict[int, tuple[int, int]] = {}  # by template: state and length of its match
         for at, token in enumerate(known[begin:end].tolist(), begin):
-            shrunk = False
             while state and token not in a.step[state]:
                 state = a.link[state]
-                shrunk = True
-            if shrunk:
-                if previous[1] >= min_match:
-                    _note(long_matches, a, previous)
                 length = a.length[state]
             if token in a.step[state]:
                 state = a.step[state][token]
                 length += 1
             else:
                 length = 0
-            previous = (state, length, at + 1)
+            here: dict[int, tuple[int, int]] = {}
+            if length >= min_match:
+                for template, suffix in m.suffixes[state].items():
+                    size = length if suffix == state else a.length[suffix]
+                    if size >= min_match:
+                        here[template] = suffix, size
+            # A template's match is over where it does not grow by this token.
+            for template, match in open_.items():
+                if here.get(template, (0, 0))[1] <= match[1]:
+                    _note(long_matches, m, template, match, at)
+            open_ = here
             for size, number in a.phrases[state]:
                 if size <= length:
                     places.append((at + 1 - size, number))
-        if previous[1] >= min_match:
-            _note(long_matches, a, previous)
+        for template, match in open_.items():
+            _note(long_matches, m, template, match, end)
     coverage: dict[str, float] = {}
     for template, matches in long_matches.items():
         if template < m.n_texts:
@@ -245,10 +278,11 @@ def scan_words(words: list[bytes], m: Matcher, min_match: int, gap: int) -> tupl
     return places, coverage
 
 
-def _note(found: dict, a: Automaton, match: tuple[int, int, int]) -> None:
-    state, length, end = match
-    template, last = a.place[state]
-    found.setdefault(template, []).append((end - length, last + 1 - length, length))
+def _note(found: dict, m: Matcher, template: int, match: tuple[int, int], end: int) -> None:
+    """A match that ended before document token ``end``, at every place of it in the template."""
+    state, length = match
+    for last in m.places[state][template]:
+        found.setdefault(template, []).append((end - length, last + 1 - length, length))
 
 
 def scan(
@@ -269,7 +303,7 @@ def scan(
     ``gap`` words between them. ``score``: 1 with a phrase, else the best coverage.
     An empty or NULL text has no words, no places, no labels and score 0.
     """
-    matcher = build(phrases, templates)
+    matcher = build(phrases, templates, min_match)
     schema = pa.schema(
         [
             pa.field("doc_id", pa.int64()),
