@@ -12,9 +12,11 @@ live block cursors skip to the pivot. Every item at or above the threshold is re
 It counts as leaked where its question (the leading words) and its answer (the trailing
 words) both overlap with the passage.
 
-The index is cut into shards by item length and bounded size; each is broadcast in its
-turn, so its size never depends on the corpus, nor the memory on the benchmark. Texts
-are not shuffled.
+The index is cut into shards by item length and bounded size. Term frequencies and the
+average length are those of the whole benchmark, and passages those of a length class, so
+scores do not depend on how it was cut. As many shards as fit the bound are broadcast
+together and held against a text in one pass; only a larger benchmark takes further passes.
+Texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from touchtrail.llm.rolling import binary_batch
 
 BLOCKS = 64  # of consecutive items, at most; each term has a maximum in each of them
 SHARD_BYTES = 8 << 20  # of item text in one broadcast index
+PASS_BYTES = 16 << 20  # of item text held against a text in one pass
 K1, B = 1.2, 0.75
 
 
@@ -49,6 +52,19 @@ class Settings:
     triple: int = 3
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items of the benchmark, and the longest of a length class, in words.
+
+    ``frequency`` has at least the terms of the shard it is used for.
+    """
+
+    items: int
+    average: float
+    longest: int
+    frequency: dict[bytes, int]
+
+
 class Index:
     """Inverted index of a shard, in blocks of consecutive items.
 
@@ -57,27 +73,34 @@ class Index:
     impact in each, at ``block_first[t]:block_first[t+1]`` of ``blocks`` and ``best``.
     """
 
-    def __init__(self, ids: list[int], datas: list[bytes], settings: Settings):
+    def __init__(
+        self, ids: list[int], datas: list[bytes], settings: Settings, whole: Statistics | None = None
+    ):
         # Items of like length have like impacts, which keeps block maxima tight.
         order = sorted(range(len(ids)), key=lambda i: len(words_of(datas[i])))
         self.ids = [ids[i] for i in order]
         words = [words_of(datas[i]) for i in order]
-        self.longest = len(words[-1]) if words else 0
+        longest = len(words[-1]) if words else 0
         self.block = max(4, -(-len(ids) // BLOCKS))
         self.n_blocks = -(-len(ids) // self.block)
-        average = sum(map(len, words)) / max(1, len(words))
         counts: dict[bytes, dict[int, int]] = {}
         for item, held in enumerate(words):
             for w in held:
                 in_items = counts.setdefault(w, {})
                 in_items[item] = in_items.get(item, 0) + 1
+        if whole is None:  # the shard is the benchmark
+            average = sum(map(len, words)) / max(1, len(words))
+            frequency = {w: len(in_items) for w, in_items in counts.items()}
+            whole = Statistics(len(ids), average, longest, frequency)
+        self.longest = whole.longest
         own = [0.0] * len(ids)
         postings: list[list[tuple[int, float]]] = []
-        for in_items in counts.values():
-            weight = log(1 + (len(ids) - len(in_items) + 0.5) / (len(in_items) + 0.5))
+        for word, in_items in counts.items():
+            seen = whole.frequency[word]
+            weight = log(1 + (whole.items - seen + 0.5) / (seen + 0.5))
             row = []
             for item, n in sorted(in_items.items()):
-                norm = K1 * (1 - B + B * len(words[item]) / average)
+                norm = K1 * (1 - B + B * len(words[item]) / whole.average)
                 row.append((item, weight * n * (K1 + 1) / (n + norm)))
                 own[item] += row[-1][1]
             postings.append(row)
@@ -255,44 +278,103 @@ def leaks(
         .withColumn("class", length_class()),
         "benchmark-items",
     )
-    shards = items.groupBy("class").agg(
-        F.ceil(F.sum("n_chars") / SHARD_BYTES).cast("int").alias("n")
-    )
+    known = _Known(items)
+    # Shards of bounded size pass through the driver, those of one pass at a time.
     found = None
-    # One shard of bounded size at a time passes through the driver.
-    for row in sorted(shards.collect()):
-        for number in range(max(1, row["n"])):
-            shard = items.where(
-                (F.col("class") == row["class"])
-                & (F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, row["n"]))) == number)
-            ).select("item_id", "text").collect()
+    for passed in _passes(known.sizes()):
+        indexes = []
+        for kind, number, n in passed:
+            chosen = (F.col("class") == kind) & (_shard(n) == number)
+            shard = items.where(chosen).select("item_id", "text").collect()
             kept = [(r["item_id"], r["text"].encode()) for r in shard if words_of(r["text"].encode())]
-            if not kept:
-                continue
-            kept.sort(key=lambda r: (r[0] is None, r[0], r[1]))
-            index = spark.sparkContext.broadcast(
-                Index([i for i, _ in kept], [t for _, t in kept], settings)
-            )
-            part = _against(source, index, settings)
+            if kept:
+                kept.sort(key=lambda r: (r[0] is None, r[0], r[1]))
+                whole = known.of(kind, number, n)
+                index = Index([i for i, _ in kept], [t for _, t in kept], settings, whole)
+                indexes.append(spark.sparkContext.broadcast(index))
+        if indexes:
+            part = _against(source, indexes, settings)
             found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], _ddl())
     return found
 
 
+def _shard(n: int) -> F.Column:
+    return F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+
+
+def _passes(sizes: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """(class, shard, shards of the class) in groups that stay within PASS_BYTES."""
+    group, held = [], 0.0
+    for kind, size, n in sizes:
+        for number in range(n):
+            if group and held + size / n > PASS_BYTES:
+                yield group
+                group, held = [], 0.0
+            group.append((kind, number, n))
+            held += size / n
+    if group:
+        yield group
+
+
+class _Known:
+    """Statistics over all items, as Spark aggregates; a shard's terms are fetched with it."""
+
+    def __init__(self, items: DataFrame):
+        schema = pa.schema([
+            pa.field("class", pa.int32()), pa.field("item_id", pa.int64()), pa.field("text", pa.string()),
+            pa.field("word", pa.binary()), pa.field("n", pa.int64()),
+        ])
+
+        def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = []
+                for r in batch.to_pylist():
+                    words = words_of(r["text"].encode())
+                    # One row of each distinct word; the item's length with the first.
+                    for k, w in enumerate(dict.fromkeys(words)):
+                        rows.append((r["class"], r["item_id"], r["text"], w, 0 if k else len(words)))
+                yield binary_batch(schema, rows)
+
+        found = items.select("class", "item_id", "text").mapInArrow(
+            run, "class int, item_id long, text string, word binary, n long"
+        )
+        key = F.xxhash64("item_id", "text").alias("key")
+        self.terms = stored(found.select("class", key, "word", "n"), "benchmark-terms")
+        self.classes = items.groupBy("class").agg(F.sum("n_chars").alias("size")).collect()
+        longest = self.terms.groupBy("class").agg(F.max("n").alias("longest")).collect()
+        self.longest = {r["class"]: r["longest"] for r in longest}
+        total = self.terms.where("n > 0").agg(F.count("n").alias("items"), F.avg("n").alias("average")).first()
+        self.items, self.average = total["items"], total["average"] or 1.0
+        counts = self.terms.groupBy("word").agg(F.count(F.lit(1)).alias("seen"))
+        self.frequency = stored(counts, "benchmark-frequencies")
+
+    def sizes(self) -> list[tuple[int, int, int]]:
+        return sorted((r["class"], r["size"], max(1, -(-r["size"] // SHARD_BYTES))) for r in self.classes)
+
+    def of(self, kind: int, number: int, n: int) -> Statistics:
+        own = self.terms.where(
+            (F.col("class") == kind) & (F.pmod(F.col("key"), F.lit(n)) == number)
+        ).select("word").distinct()
+        rows = self.frequency.join(own, "word", "left_semi").collect()
+        frequency = {bytes(r["word"]): r["seen"] for r in rows}
+        return Statistics(self.items, self.average, self.longest[kind], frequency)
+
+
 def _ddl() -> str:
     kinds = {pa.int64(): "long", pa.float64(): "double"}
     return ", ".join(f"{f.name} {kinds[f.type]}" for f in SCHEMA)
 
 
-def _against(source: DataFrame, index, settings: Settings) -> DataFrame:
+def _against(source: DataFrame, indexes: list, settings: Settings) -> DataFrame:
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        shard = index.value
+        shards = [index.value for index in indexes]
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 words = words_of(text.as_buffer().to_pybytes())
-                if words:
+                for shard in shards if words else ():
                     for item, value in sorted(leaks_of(shard, words, settings).items()):
                         rows.append((doc_id, shard.ids[item], *value))
             yield binary_batch(SCHEMA, rows)
