@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchtrail.config import ANOMALY, AnomalyConfig
 from touchtrail.functions.text import fixed, money, month_label, title_label
 from touchtrail.operators.dimensions import with_calendar
+from touchtrail.operators.ranking import global_rank
 
 PANEL_COLUMNS = ("month_start_date", "channel", "monthly_revenue")
 
@@ -110,27 +111,15 @@ def score(baseline: DataFrame, config: AnomalyConfig = ANOMALY) -> DataFrame:
 def rank_anomalies(scored: DataFrame) -> DataFrame:
     """Rank flagged rows by |z|, largest first; ties by channel, then month.
 
-    Ranks are global but no task sees all rows: rows are bucketed by magnitude
-    (finely, and in rank order), ranked inside their bucket, and shifted by the
-    number of rows in the buckets before it. There are at most about a million
-    buckets, so the running count over them is small.
+    Ranks are global but no task sees all rows, however many share one |z|: see
+    :func:`touchtrail.operators.ranking.global_rank`.
     """
-    strength = F.abs(F.col("z_score"))
-    bucket = -F.floor(F.log2(strength) * 500)
-    flagged = scored.where("is_anomaly").select("channel", "month_start_date", "z_score",
-                                                 bucket.alias("_bucket"))
-    ahead = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        flagged.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_before"))
-    )
-    within = Window.partitionBy("_bucket").orderBy(strength.desc(), "channel", "month_start_date")
-    ranks = (
-        flagged.withColumn("_place", F.row_number().over(within))
-        .join(offsets, "_bucket")
-        .select("channel", "month_start_date",
-                (F.col("_before") + F.col("_place")).cast("int").alias("anomaly_rank"))
+    flagged = scored.where("is_anomaly").select(
+        "channel", "month_start_date", F.abs("z_score").alias("_strength")
+    )
+    order = [F.col("_strength").desc(), F.col("channel").asc(), F.col("month_start_date").asc()]
+    ranks = global_rank(flagged, order, "anomaly_rank", "anomaly-ranks").select(
+        "channel", "month_start_date", F.col("anomaly_rank").cast("int")
     )
     return scored.join(ranks, ["channel", "month_start_date"], "left")
 
