@@ -191,3 +191,56 @@ def test_stored_portfolio_forecast(spark, sf_dir):
         "predicted_revenue IS NULL OR prediction_error IS NULL").count() == 0
     assert {r[0] for r in forecast.select("model_name").distinct().collect()} == {
         "holt_exponential_smoothing"}
+
+
+# -- the store of fits ---------------------------------------------------------------
+
+
+def _series(spark, rows):
+    df = spark.createDataFrame(rows, "series_key string, y array<double>")
+    return df.selectExpr("series_key", "transform(sequence(0, size(y) - 1), i -> add_months(date'2001-01-01', i)) AS months", "y")
+
+
+def test_only_unknown_series_are_searched(spark, tmp_path, monkeypatch):
+    rows = [(f"s{i}", [float((i * 7 + k * k) % 13 + k) for k in range(12)]) for i in range(5)]
+    path = str(tmp_path / "fits")
+    searched = []
+    original = holt.fit
+
+    def counting(series, values="y", config=holt.FORECAST):
+        searched.append(series.count())
+        return original(series, values, config)
+
+    monkeypatch.setattr(holt, "fit", counting)
+    plain = {r["series_key"]: r["fit"] for r in original(_series(spark, rows)).collect()}
+    for change, expected in ((None, 5), (None, 0), (2, 1), (None, 0)):
+        if change is not None:
+            rows[change] = ("s2", rows[change][1][::-1])
+            plain["s2"] = original(_series(spark, rows[change:change + 1])).first()["fit"]
+        searched.append(0)
+        found = holt.fit_stored(_series(spark, rows), path)
+        assert {r["series_key"]: r["fit"] for r in found.collect()} == plain
+        assert searched[-1] == expected
+    # A copy under another key, and another setting.
+    searched.append(0)
+    holt.fit_stored(_series(spark, [("copy", rows[0][1])]), path)
+    assert searched[-1] == 0
+    from dataclasses import replace
+    holt.fit_stored(_series(spark, rows), path, config=replace(holt.FORECAST, grid_steps=10))
+    assert searched[-1] == 5
+
+
+def test_results_do_not_depend_on_the_store(spark, tmp_path):
+    rows = [(f"s{i}", [float((i * 5 + k * 3) % 17 + 2 * k) for k in range(10 + i)]) for i in range(4)]
+    path = str(tmp_path / "fits")
+    series = _series(spark, rows)
+    plain, known = holt.fit_and_smooth(series), holt.fit_and_smooth(series, store=path)
+    for result in (holt.forecast, holt.comparison):
+        assert sorted(map(tuple, result(known).collect())) == sorted(map(tuple, result(plain).collect()))
+    assert sorted(map(tuple, holt.holdout_metrics(known, store=path).collect())) == sorted(
+        map(tuple, holt.holdout_metrics(plain).collect()))
+
+
+def test_store_of_no_series(spark, tmp_path):
+    path = str(tmp_path / "fits")
+    assert holt.fit_stored(_series(spark, [("s", [1.0] * 9)]).limit(0), path).count() == 0

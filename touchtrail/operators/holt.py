@@ -19,12 +19,16 @@ Everything else is column expressions.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.config import FORECAST, ForecastConfig
+from touchtrail.sources import files
+
 
 def _d(x: float) -> Column:
     return F.lit(float(x))
@@ -171,6 +175,51 @@ def spread_series(series: DataFrame) -> DataFrame:
     return series.repartition(series.sparkSession.sparkContext.defaultParallelism)
 
 
+# -- a store of fits -----------------------------------------------------------------
+
+
+def fit_key(values: str, config: ForecastConfig = FORECAST) -> Column:
+    """Content address of a fit: the values in order and all settings of the search."""
+    settings = (config.grid_steps, config.zoom_rounds, config.zoom_half_width)
+    text = F.concat_ws(",", F.lit(repr(settings)), F.transform(F.col(values), lambda v: v.cast("string")))
+    return F.sha2(text, 256)
+
+
+STORED_FITS = f"fit_key string, fit struct<{FITTED.replace(' double', ': double').replace('fitted array', 'fitted: array')}>"
+
+
+def known_fits(spark: SparkSession, path: str) -> DataFrame:
+    """The fits under ``path`` as of now, none if there is no such folder.
+
+    Every run that searched has a folder of its own, finished or not seen at all. Named one by
+    one, two readings of a store that has grown in between are never taken for the same.
+    """
+    runs = [f"{path}/{n}" for n in files.names(spark, path) if n.startswith("run-")]
+    done = [r for r in runs if files.exists(spark, f"{r}/_SUCCESS")]
+    if not done:
+        return spark.createDataFrame([], STORED_FITS)
+    return spark.read.schema(STORED_FITS).parquet(*done)
+
+
+def fit_stored(
+    series: DataFrame, path: str, values: str = "y", config: ForecastConfig = FORECAST
+) -> DataFrame:
+    """As :func:`fit`, searching only series whose fit the store does not have.
+
+    What is searched is appended to the store first, so a failed run loses nothing that was
+    stored before it; equal series, and equal parts of series, share one fit.
+    """
+    spark = series.sparkSession
+    keyed = series.withColumn("fit_key", fit_key(values, config))
+    new = keyed.select("fit_key", values).join(known_fits(spark, path), "fit_key", "left_anti")
+    if not new.isEmpty():
+        searched = fit(spread_series(new.dropDuplicates(["fit_key"])), values, config)
+        searched.select("fit_key", "fit").write.parquet(f"{path}/run-{uuid.uuid4().hex}")
+    # Two writers at once may both have searched a series; their fits are the same.
+    fits = known_fits(spark, path).dropDuplicates(["fit_key"])
+    return keyed.join(fits, "fit_key").drop("fit_key")
+
+
 def _advance(y: Column, level: Column, trend: Column, alpha: Column, beta: Column):
     predicted = level + trend
     new_level = alpha * y + (1.0 - alpha) * predicted
@@ -195,12 +244,16 @@ def smooth(values: Column, params: Column) -> Column:
 # -- results ---------------------------------------------------------------------
 
 
-def fit_and_smooth(series: DataFrame, config: ForecastConfig = FORECAST) -> DataFrame:
+def fit_and_smooth(
+    series: DataFrame, config: ForecastConfig = FORECAST, store: str | None = None
+) -> DataFrame:
     """Fitted series: ``fit``, ``run`` (final state, fitted values) and ``residual_std``.
 
-    Series that cannot be fitted are left out; :func:`series_report` lists them all.
+    Series that cannot be fitted are left out; :func:`series_report` lists them all. With a
+    ``store``, a folder, only series that it has no fit of are searched.
     """
-    fitted = fit(spread_series(usable_series(series, config)), "y", config)
+    usable = usable_series(series, config)
+    fitted = fit(spread_series(usable), "y", config) if store is None else fit_stored(usable, store, "y", config)
     run = fitted.withColumn("run", F.struct("fit.level", "fit.trend", "fit.fitted"))
     errors = F.zip_with("y", F.col("run.fitted"), lambda a, p: a - p)
     return run.withColumn("residual_std", _sample_std(errors))
@@ -257,10 +310,13 @@ def comparison(fitted: DataFrame) -> DataFrame:
     )
 
 
-def holdout_metrics(fitted: DataFrame, config: ForecastConfig = FORECAST) -> DataFrame:
+def holdout_metrics(
+    fitted: DataFrame, config: ForecastConfig = FORECAST, store: str | None = None
+) -> DataFrame:
     """Refit without the last ``holdout`` months and score the forecast of them.
 
-    One row per series, with the production fit's final level and trend.
+    One row per series, with the production fit's final level and trend. The refit goes
+    through the ``store`` if there is one.
     """
     h = config.holdout
     n = F.size("y")
@@ -270,7 +326,8 @@ def holdout_metrics(fitted: DataFrame, config: ForecastConfig = FORECAST) -> Dat
             "_held": F.slice("y", n - h + 1, F.lit(h)),
         }
     ).withColumnRenamed("fit", "_production")
-    refit = fit(split, "_train", config).withColumn("_run", F.col("fit"))
+    again = fit(split, "_train", config) if store is None else fit_stored(split, store, "_train", config)
+    refit = again.withColumn("_run", F.col("fit"))
     errors = F.transform(
         "_held",
         lambda a, i: a - (F.col("_run.level") + (i + 1).cast("double") * F.col("_run.trend")),

@@ -13,6 +13,7 @@ from touchtrail.config import ANOMALY, CHANNEL_DESCRIPTORS, COMPANY_DESCRIPTORS,
 from touchtrail.operators.contracts import CONTRACTS
 from touchtrail.operators.reconciliation import ANALYTICS_TOTALS, NONNEGATIVE
 from touchtrail.plans.registry import (
+    CHANGED_SERIES,
     CHANNEL_NAMES,
     CHANNELS,
     COMPANIES,
@@ -1041,6 +1042,11 @@ def oracle_sql() -> dict[str, str]:
                            OR count(DISTINCT m) <> count(*) THEN 'irregular'
                       ELSE 'ok' END AS status
           FROM series GROUP BY k"""),
+        "holt_refit": _select(f"""
+          SELECT k AS series_key, k = '{CHANGED_SERIES}' AS searched FROM series GROUP BY k
+          HAVING count(*) >= {FORECAST.holdout} + 3
+             AND date_diff('month', min(m), max(m)) + 1 = count(*)
+             AND count(DISTINCT m) = count(*)"""),
         "holt_forecast": _fitted(_future(), ("numbered", "full")),
         "holt_holdout_metrics": _holt_holdout(),
         "holt_comparison": _holt_comparison(),

@@ -279,6 +279,19 @@ def anomaly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- forecasts -------------------------------------------------------------------------
 
 
+_FITS: dict[tuple[str, str], str] = {}
+
+
+def fit_store(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the fits that the forecast queries share."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    return _FITS.setdefault(key, f"{scratch_dir(spark)}/fits-{uuid.uuid4().hex}")
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return holt.fit_and_smooth(_all_series(spark, sf_dir), store=fit_store(spark, sf_dir))
+
+
 def _all_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.all_series(stored(spark, sf_dir))
 
@@ -302,7 +315,8 @@ def holt_fixed_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holt_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted = holt.fit(holt.spread_series(holt.usable_series(_all_series(spark, sf_dir))))
+    usable = holt.usable_series(_all_series(spark, sf_dir))
+    fitted = holt.fit_stored(usable, fit_store(spark, sf_dir))
     rmse = F.sqrt(F.col("fit.sse") / F.size("y"))
     return comparable(
         fitted.select("series_key", "fit.alpha", "fit.beta", "fit.l0", "fit.b0", rmse.alias("rmse")),
@@ -311,18 +325,18 @@ def holt_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = holt.forecast(holt.fit_and_smooth(_all_series(spark, sf_dir)))
+    rows = holt.forecast(_fitted(spark, sf_dir))
     return comparable(rows, {"predicted_revenue": 0, "lower_bound": 0, "upper_bound": 0})
 
 
 def holt_holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = holt.holdout_metrics(holt.fit_and_smooth(_all_series(spark, sf_dir)))
+    rows = holt.holdout_metrics(_fitted(spark, sf_dir), store=fit_store(spark, sf_dir))
     whole = {c: 0 for c in ("mae", "rmse", "residual_std", "intercept", "slope")}
     return comparable(rows, whole | {"r2_score": 4})
 
 
 def holt_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = holt.comparison(holt.fit_and_smooth(_all_series(spark, sf_dir)))
+    rows = holt.comparison(_fitted(spark, sf_dir))
     return comparable(
         rows, {"actual_revenue": 2, "predicted_revenue": 0, "prediction_error": 0}
     )
@@ -330,7 +344,28 @@ def holt_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _portfolio_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = pipeline.portfolio_series(stored(spark, sf_dir))
-    return holt.forecast(holt.fit_and_smooth(series))
+    return holt.forecast(holt.fit_and_smooth(series, store=fit_store(spark, sf_dir)))
+
+
+# The series whose values differ in the second run of the refit query.
+CHANGED_SERIES = "CTC-001"
+
+
+def holt_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series that a second run has to search, after the values of one have changed."""
+    path = f"{scratch_dir(spark)}/fits-{uuid.uuid4().hex}"
+    usable = holt.usable_series(_all_series(spark, sf_dir))
+    holt.fit_stored(usable, path)
+    changed = usable.withColumn(
+        "y",
+        F.when(
+            F.col("series_key") == CHANGED_SERIES, F.transform("y", lambda v: v * 2 + 1)
+        ).otherwise(F.col("y")),
+    ).withColumn("fit_key", holt.fit_key("y"))
+    missing = changed.join(holt.known_fits(spark, path), "fit_key", "left_anti")
+    return changed.select("series_key").join(
+        missing.select("series_key", F.lit(True).alias("_new")), "series_key", "left"
+    ).select("series_key", F.coalesce("_new", F.lit(False)).alias("searched"))
 
 
 def history_plus_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -634,6 +669,7 @@ OTHER_QUERIES: tuple[Query, ...] = (
     holt_forecast,
     holt_holdout_metrics,
     holt_comparison,
+    holt_refit,
     history_plus_forecast,
     filter_options,
     revenue_detail,
