@@ -78,6 +78,14 @@ class ForecastConfig:
         return self.holdout + 3
 
 
+@dataclass(frozen=True)
+class CalendarConfig:
+    """Whole months the calendar may span. Dates outside are reported and do not stretch it."""
+
+    first_day: str = "1900-01-01"
+    last_day: str = "2199-12-31"
+
+
 @dataclass(frozen=True)
 class SkewConfig:
     """How joins protect themselves from hot keys.
@@ -106,4 +114,5 @@ LAYERS = {
 
 ANOMALY = AnomalyConfig()
 FORECAST = ForecastConfig()
+CALENDAR = CalendarConfig()
 SKEW = SkewConfig()

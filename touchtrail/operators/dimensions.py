@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchtrail.config import (
+    CALENDAR,
     CHANNEL_DESCRIPTORS,
     COMPANY_DESCRIPTORS,
     OTHER_CHANNEL_GROUP,
     SKEW,
     UNKNOWN,
+    CalendarConfig,
     SkewConfig,
 )
 from touchtrail.functions.columns import date_key, lookup, month_key, month_start
@@ -80,36 +83,83 @@ def dim_company(campaigns: DataFrame, revenue: DataFrame, signups: DataFrame) ->
     )
 
 
+# Source and the dates it brings to the calendar.
+DATED = {
+    "content": ("publish_date",),
+    "signups": ("signup_date",),
+    "revenue": ("revenue_month",),
+    "campaigns": ("start_date", "end_date"),
+}
+
+
+def month_histogram(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """(source, column, month, first_day, last_day, rows) of all dates, one pass per source.
+
+    Counted before the shuffle; the result has a row per source, column and month.
+    """
+    parts = []
+    for source, df in sources.items():
+        columns = DATED[source]
+        listed = ", ".join(f"'{c}', CAST({c} AS date)" for c in columns)
+        dates = df.selectExpr(f"stack({len(columns)}, {listed}) AS (column, day)").where("day IS NOT NULL")
+        parts.append(
+            dates.groupBy(F.lit(source).alias("source"), "column", month_start("day").alias("month")).agg(
+                F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+                F.count(F.lit(1)).alias("rows"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _inside(config: CalendarConfig) -> Column:
+    """Months wholly before or after the horizon are outside."""
+    first, last = (F.lit(d).cast("date") for d in (config.first_day, config.last_day))
+    return (F.col("last_day") >= first) & (F.col("first_day") <= last)
+
+
 def date_bounds(
-    campaigns: DataFrame, content: DataFrame, revenue: DataFrame, signups: DataFrame
+    campaigns: DataFrame, content: DataFrame, revenue: DataFrame, signups: DataFrame,
+    config: CalendarConfig = CALENDAR,
 ) -> DataFrame:
-    """One row: first and last date of any source. One min/max pass per source."""
+    """One row: first and last date of any source, within the calendar's horizon."""
+    sources = {"content": content, "signups": signups, "revenue": revenue, "campaigns": campaigns}
+    first, last = (F.lit(d).cast("date") for d in (config.first_day, config.last_day))
+    return month_histogram(sources).where(_inside(config)).agg(
+        F.min(F.greatest("first_day", first)).alias("first_day"),
+        F.max(F.least("last_day", last)).alias("last_day"),
+    )
 
-    def span(df: DataFrame, *columns: str) -> DataFrame:
-        lows, highs = [F.min(c) for c in columns], [F.max(c) for c in columns]
-        low = F.least(*lows) if len(lows) > 1 else lows[0]
-        high = F.greatest(*highs) if len(highs) > 1 else highs[0]
-        return df.agg(low.alias("first_day"), high.alias("last_day"))
 
-    spans = reduce(
-        DataFrame.unionByName,
-        [
-            span(content, "publish_date"),
-            span(signups, "signup_date"),
-            span(revenue, "revenue_month"),
-            span(campaigns, "start_date", "end_date"),
-        ],
-    )
-    return spans.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+def dates_beyond_horizon(
+    campaigns: DataFrame, content: DataFrame, revenue: DataFrame, signups: DataFrame,
+    config: CalendarConfig = CALENDAR,
+) -> DataFrame:
+    """(source, column, month, rows) of dates that the calendar leaves out."""
+    sources = {"content": content, "signups": signups, "revenue": revenue, "campaigns": campaigns}
+    found = month_histogram(sources).where(~_inside(config))
+    return found.select("source", "column", "month", "rows")
 
 
 def dim_time(bounds: DataFrame) -> DataFrame:
-    """One row per day between the bounds, both included."""
+    """One row per day between the bounds, both included.
+
+    Months are listed first and dealt out; each becomes its days where it is.
+    """
     d = F.col("date_day")
     iso_day = F.extract(F.lit("DAYOFWEEK_ISO"), d).cast("int")
-    days = bounds.where(F.col("first_day").isNotNull()).select(
-        F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias("date_day")
+    months = (
+        bounds.where(F.col("first_day").isNotNull())
+        .select(
+            "first_day",
+            "last_day",
+            F.explode(
+                F.sequence(month_start("first_day"), month_start("last_day"), F.expr("interval 1 month"))
+            ).alias("_month"),
+        )
+        .repartition("_month")
     )
+    low, high = F.greatest("_month", "first_day"), F.least(F.last_day("_month"), F.col("last_day"))
+    days = months.select(F.explode(F.sequence(low, high, F.expr("interval 1 day"))).alias("date_day"))
     return days.select(
         date_key(d).alias("date_key"),
         d,

@@ -58,6 +58,14 @@ class Models:
         setattr(self, name, table)
         return table
 
+    @property
+    def dated(self) -> tuple[DataFrame, ...]:
+        """The tables whose dates make the calendar."""
+        return (
+            self.stg_campaign_metadata, self.stg_content_performance, self.stg_portfolio_revenue,
+            self.stg_user_signups,
+        )
+
     @property
     def detail(self) -> DataFrame:
         """Revenue records with company name and month, as the drill-downs read them."""
@@ -95,14 +103,7 @@ TABLES: dict[str, Callable[[Models], DataFrame]] = {
     "dim_company": lambda m: dimensions.dim_company(
         m.stg_campaign_metadata, m.stg_portfolio_revenue, m.stg_user_signups
     ),
-    "dim_time": lambda m: dimensions.dim_time(
-        dimensions.date_bounds(
-            m.stg_campaign_metadata,
-            m.stg_content_performance,
-            m.stg_portfolio_revenue,
-            m.stg_user_signups,
-        )
-    ),
+    "dim_time": lambda m: dimensions.dim_time(dimensions.date_bounds(*m.dated)),
     "dim_user_cohort": lambda m: dimensions.dim_user_cohort(m.stg_user_signups),
     "fct_attributed_revenue": lambda m: facts.fct_attributed_revenue(m.int_attributed_revenue),
     "fct_campaign_roi": lambda m: facts.fct_campaign_roi(m.stg_campaign_metadata, m.cells),

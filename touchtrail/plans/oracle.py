@@ -1090,6 +1090,12 @@ def oracle_sql() -> dict[str, str]:
                    AS channel_count,
                  CAST({FORECAST.horizon} AS BIGINT) AS forecast_horizon
           FROM chosen_detail"""),
+        "dates_beyond_horizon": _select(" UNION ALL ".join(
+            f"""SELECT 'content' AS source, 'publish_date' AS column, '{month}' AS month,
+                 count(*) AS rows FROM stg_content_performance
+            WHERE CAST(regexp_extract(content_id, '[0-9]+') AS BIGINT) % {every} = 0 HAVING count(*) > 0"""
+            for month, every in (("9999-12-01", 97), ("1666-06-01", 101)))),
+        "calendar_with_outliers": _table("dim_time", "", "date_day week_start_date month_start_date"),
         "refreshed_fact": _table("fct_attributed_revenue", "revenue_amount"),
         "refreshed_months": _select(f"""
           SELECT DISTINCT coalesce(CAST({_key('revenue_month')} AS VARCHAR), 'NULL')

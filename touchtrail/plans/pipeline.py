@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.config import ANOMALY, FORECAST, SKEW, AnomalyConfig, ForecastConfig, SkewConfig
 from touchtrail.functions.columns import date_key
-from touchtrail.operators import anomalies, attribution, facts, holt, quality
+from touchtrail.operators import anomalies, attribution, dimensions, facts, holt, quality
 from touchtrail.plans.models import TABLES, Models
 from touchtrail.sources import store, versions
 from touchtrail.sources.raw_files import read_sources
@@ -247,4 +247,6 @@ def run(
     tables = {name: getattr(models, name) for name in TABLES}
     tables["channel_revenue_anomalies"] = store_anomalies(models, sink)
     tables["series_report"] = store_series_report(models, sink)
+    beyond = dimensions.dates_beyond_horizon(*models.dated)
+    tables["dates_beyond_horizon"] = sink("analytics", "dates_beyond_horizon", beyond, None)
     return tables | store_forecast(models, sink)

@@ -27,6 +27,7 @@ from touchtrail.operators import (
     anomalies,
     audience,
     contracts,
+    dimensions,
     drilldown,
     facts,
     holt,
@@ -567,6 +568,32 @@ def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.changed_keys(old, new, ["revenue_id"])
 
 
+# -- dates beyond the calendar's horizon ----------------------------------------------------
+
+
+def _dated_with_outliers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """The dated tables, with some content repeated in the year 9999 and some before 1700."""
+    campaigns, content, revenue, signups = stored(spark, sf_dir).dated
+    order = F.regexp_extract("content_id", r"(\d+)", 1).cast("bigint")
+
+    def moved(every: int, day: str) -> DataFrame:
+        return content.where(order % every == 0).withColumn("publish_date", F.lit(day).cast("date"))
+
+    stretched = content.unionByName(moved(97, "9999-12-31")).unionByName(moved(101, "1666-06-01"))
+    return campaigns, stretched, revenue, signups
+
+
+def dates_beyond_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates that no calendar should be stretched to, by source, column and month."""
+    return comparable(dimensions.dates_beyond_horizon(*_dated_with_outliers(spark, sf_dir)))
+
+
+def calendar_with_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of sources that hold a few impossible dates."""
+    bounds = dimensions.date_bounds(*_dated_with_outliers(spark, sf_dir))
+    return comparable(dimensions.dim_time(bounds))
+
+
 # -- campaigns that share a slug and a channel ---------------------------------------------
 
 
@@ -700,6 +727,8 @@ OTHER_QUERIES: tuple[Query, ...] = (
     refreshed_fact,
     refreshed_months,
     version_changes,
+    dates_beyond_horizon,
+    calendar_with_outliers,
 )
 
 
