@@ -120,3 +120,13 @@ def test_invariants_on_the_test_tables(spark, sf_dir):
     ranked = sorted((r for r in rows if r["is_anomaly"]), key=lambda r: r["anomaly_rank"])
     strengths = [abs(r["z_score"]) for r in ranked]
     assert strengths == sorted(strengths, reverse=True)
+
+
+def test_flat_and_balanced_channels_have_no_score_or_deviation(spark, sf_dir):
+    from touchtrail.plans import registry
+
+    rows = registry.odd_channel_anomalies(spark, sf_dir)
+    flat = rows.where("channel = 'blog'")
+    assert flat.count() == flat.where("z_score IS NULL AND NOT is_anomaly").count() > 0
+    balanced = rows.where("channel = 'podcast' AND is_anomaly AND deviation_percent IS NULL")
+    assert balanced.count() == balanced.where("explanation LIKE '% was n/a %'").count() > 0

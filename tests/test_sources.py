@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from touchtrail.sources import raw_files, store
+from touchtrail.sources import files, raw_files, store
 from touchtrail.sources.schemas import RAW_SCHEMAS
 
 CAMPAIGNS = (
@@ -121,3 +121,21 @@ def test_overwrite_and_append_tables(spark):
     for _ in range(2):
         store.append_table(df, "marts", "append_check")
     assert store.read_table(spark, "marts", "append_check").count() == 8
+
+
+def test_scratch_folders_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "_WRITTEN", [])
+    path = store.materialize(spark.range(3), "cleared").inputFiles()[0].rsplit("/", 1)[0]
+    assert files.exists(spark, path)
+    assert store.clear_scratch(spark) == 1 and not files.exists(spark, path)
+    assert store.clear_scratch(spark) == 0
+
+
+def test_a_changed_file_is_a_new_state(spark, tmp_path):
+    seen = set()
+    for change in (("a", "1"), ("a", "22"), ("b/c", "1")):
+        place = tmp_path / "data" / change[0]
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_text(change[1])
+        seen.add(files.stamp(spark, str(tmp_path / "data")))
+    assert len(seen) == 3 and files.stamp(spark, str(tmp_path / "data")) in seen

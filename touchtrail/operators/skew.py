@@ -2,7 +2,8 @@
 
 Two routes, chosen by the size of the lookup side:
 
-* at most ``SkewConfig.broadcast_rows`` rows: broadcast it, nothing is shuffled;
+* at most ``SkewConfig.broadcast_rows`` rows or ``broadcast_bytes``: broadcast it, nothing is
+  shuffled;
 * more: shuffle join, with hot keys split over ``SkewConfig.salts`` tasks. Only
   lookup rows of a hot key are repeated, and there are at most ``1 / hot_share``
   hot keys, so the repetition is bounded. Rows with a NULL key cannot match and
@@ -24,7 +25,16 @@ Residual = Callable[[DataFrame, DataFrame], Column]
 
 
 def is_small(df: DataFrame, config: SkewConfig = SKEW) -> bool:
-    """Whether the table may be broadcast. The count needs no columns of the scan."""
+    """Whether the table may be broadcast.
+
+    A stored table is known by the size of its columns in the files, without a job; only where
+    that estimate is too large are rows counted, which needs no columns of the scan.
+    """
+    if config.broadcast_rows <= 0:
+        return False
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) <= config.broadcast_bytes:
+        return True
     return df.count() <= config.broadcast_rows
 
 

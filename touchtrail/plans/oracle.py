@@ -12,6 +12,7 @@ import re
 from touchtrail.config import ANOMALY, CHANNEL_DESCRIPTORS, COMPANY_DESCRIPTORS, FORECAST
 from touchtrail.operators.contracts import CONTRACTS
 from touchtrail.operators.reconciliation import ANALYTICS_TOTALS, NONNEGATIVE
+from touchtrail.operators.quality import PRIMARY_KEYS, REQUIRED
 from touchtrail.plans.registry import (
     CHANGED_SERIES,
     CHANNEL_NAMES,
@@ -21,6 +22,7 @@ from touchtrail.plans.registry import (
     FIXED_BETA,
     MOVED_USER,
     PICKED,
+    gap_of,
 )
 from touchtrail.sources import derived
 from touchtrail.sources.schemas import RAW_SCHEMAS
@@ -475,6 +477,15 @@ RELATIONS["anomalies"] = f"""
                              AS deviation_percent
                     FROM baseline)))"""
 
+RELATIONS["odd_panel"] = """
+  SELECT month_start_date, channel,
+         CASE channel WHEN 'blog' THEN 250.0
+              WHEN 'podcast' THEN CASE WHEN i % 7 = 6 THEN 10000.0 WHEN i % 2 = 0 THEN 100.0 ELSE -100.0 END
+              ELSE monthly_revenue END AS monthly_revenue
+  FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY month_start_date) - 1 AS i FROM panel)"""
+RELATIONS["odd_baseline"] = re.sub(r"\bpanel\b", "odd_panel", RELATIONS["baseline"])
+RELATIONS["odd_anomalies"] = re.sub(r"\bbaseline\)", "odd_baseline)", RELATIONS["anomalies"])
+
 RELATIONS["detail"] = """
   SELECT f.revenue_id, f.user_id, f.company_id, c.company_name, t.date_day AS revenue_month,
          f.first_touch_channel, f.last_touch_channel, f.revenue_amount
@@ -584,6 +595,21 @@ _ANOMALY_DIGITS = {
 # -- quality -------------------------------------------------------------------------
 
 
+def _gaps_report() -> str:
+    rows = []
+    for table, columns in REQUIRED.items():
+        number = f"CAST(regexp_extract({PRIMARY_KEYS[table]}, '[0-9]+') AS BIGINT)"
+        for c in columns:
+            text = RAW_SCHEMAS[table][c].dataType.simpleString() == "string"
+            empty = f"{c} IS NULL" + (f" OR trim({c}) = ''" if text else "")
+            rows.append(
+                f"SELECT 'required_value_{table}_{c}' AS check_name, count(*) AS n "
+                f"FROM raw_{table} WHERE {number} % {gap_of(table, c)} = 0 OR {empty}")
+    return _select(
+        "SELECT check_name, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, n AS issue_count "
+        f"FROM ({' UNION ALL '.join(rows)})")
+
+
 def _raw_checks() -> str:
     """(check, severity, good, bad, count) rows of every value rule."""
     rows: list[str] = []
@@ -997,6 +1023,9 @@ def oracle_sql() -> dict[str, str]:
           FULL JOIN {_by('last_touch_channel', 'channel_key', 'l')} l USING (channel_key)
           WHERE channel_key IS NOT NULL"""),
         "quality_raw_report": _raw_report(),
+        "quality_gaps_report": _gaps_report(),
+        "absent_sources": "SELECT unnest(['content_performance.csv', 'portfolio_revenue.csv', "
+                          "'user_signups.json']) AS file",
         "quality_duplicates": _select(
             "SELECT content_id, count(*) AS rows FROM raw_content_performance "
             "GROUP BY content_id HAVING count(*) > 1"),
@@ -1015,6 +1044,7 @@ def oracle_sql() -> dict[str, str]:
             "baseline", "", "month_start_date",
             {c: _ANOMALY_DIGITS[c] for c in ("monthly_revenue", "rolling_mean", "rolling_std")}),
         "channel_anomalies": _table("anomalies", "", "month_start_date", _ANOMALY_DIGITS),
+        "odd_channel_anomalies": _table("odd_anomalies", "", "month_start_date", _ANOMALY_DIGITS),
         "anomaly_summary": _select("""
           SELECT (SELECT count(DISTINCT channel) FROM panel) AS channels_analyzed,
                  (SELECT count(DISTINCT month_start_date) FROM panel) AS months_analyzed,

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,14 +37,14 @@ from touchtrail.operators import (
 )
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
-from touchtrail.sources import raw_files, versions
+from touchtrail.sources import files, raw_files, versions
 from touchtrail.sources.derived import crowded_campaigns, earlier_revenue, raw_tables
 from touchtrail.sources.store import (
     append_table,
     overwrite_table,
     read_published,
     read_table,
-    scratch_dir,
+    scratch_path,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,12 +57,19 @@ CHANNEL_NAMES = ("YouTube", "Blog")
 
 FIXED_ALPHA, FIXED_BETA = 0.5, 0.2
 
-_STORED: dict[tuple[str, str], Models] = {}
+# Session, data folder, and the state of its files.
+Key = tuple[str, str, int]
+_STORED: dict[Key, Models] = {}
+
+
+def key_of(spark: SparkSession, sf_dir: str) -> Key:
+    """What is stored for one state of the files is not used for another."""
+    return spark.sparkContext.applicationId, sf_dir, files.stamp(spark, sf_dir)
 
 
 def stored(spark: SparkSession, sf_dir: str) -> Models:
     """Models of the test tables that store each table when it is first needed."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = key_of(spark, sf_dir)
     if key not in _STORED:
         _STORED[key] = pipeline.storing_models(raw_tables(spark, sf_dir))
     return _STORED[key]
@@ -124,14 +131,14 @@ def _model_query(attribute: str) -> Query:
 
 # -- sources and sinks -----------------------------------------------------------------
 
-_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_LOADED: dict[Key, dict[str, DataFrame]] = {}
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw tables written as source files, read, published as a version and read back."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = key_of(spark, sf_dir)
     if key not in _LOADED:
-        folder = f"{scratch_dir(spark)}/sources-{uuid.uuid4().hex}"
+        folder = scratch_path(spark, "sources")
         raw_files.write_sources(raw_tables(spark, sf_dir), f"{folder}/files")
         counts = pipeline.ingest(spark, f"{folder}/files", f"{folder}/raw")
         _LOADED[key] = read_published(spark, f"{folder}/raw", list(counts))
@@ -162,10 +169,11 @@ def loaded_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per channel of a layer table that was overwritten twice and appended to once."""
     channels = stored(spark, sf_dir).dim_channel
+    name = f"channel_sink_{uuid.uuid4().hex[:12]}"  # runs at the same time do not meet
     for _ in range(2):
-        overwrite_table(channels, "analytics", "channel_sink")
-    append_table(channels, "analytics", "channel_sink")
-    written = read_table(spark, "analytics", "channel_sink")
+        overwrite_table(channels, "analytics", name)
+    append_table(channels, "analytics", name)
+    written = read_table(spark, "analytics", name)
     return written.groupBy("channel_key").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -219,6 +227,47 @@ def nonnegative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconciliation.nonnegative_report(all_tables(spark, sf_dir))
 
 
+# Every n-th record of a raw table lacks a required value; n differs from column to column.
+def gap_of(table: str, column: str) -> int:
+    return 11 + 2 * quality.REQUIRED[table].index(column)
+
+
+def quality_gaps_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of the required-value rules on tables with blanks and NULLs in every such column."""
+    rules = quality.row_rules()
+    parts = []
+    for table, df in raw_tables(spark, sf_dir).items():
+        number = F.regexp_extract(quality.PRIMARY_KEYS[table], r"(\d+)", 1).cast("bigint")
+        numbered = df.withColumn("_number", number)
+        gaps = {}
+        for column in quality.REQUIRED[table]:
+            kind = df.schema[column].dataType
+            n = gap_of(table, column)
+            blank = F.lit("  " if n % 4 == 3 else None) if isinstance(kind, T.StringType) else F.lit(None)
+            gaps[column] = F.when(F.col("_number") % n == 0, blank.cast(kind)).otherwise(F.col(column))
+        own = [r for r in rules if r.table == table and r.name.startswith("required_value_")]
+        parts.append(quality.count_rules(numbered.withColumns(gaps), own))
+    found = quality.judged(reduce(DataFrame.unionByName, parts))
+    return found.select("check_name", "status", "issue_count")
+
+
+# -- sources that are not there ----------------------------------------------------------
+
+
+def absent_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source files missing from a folder that holds only those without content records."""
+    folder = scratch_path(spark, "some-sources")
+    present = {
+        name: df for name, df in raw_tables(spark, sf_dir).items()
+        if "content_id" not in df.columns and "user_id" not in df.columns
+    }
+    raw_files.write_sources(raw_tables(spark, sf_dir), folder, {
+        name: raw_files.SOURCE_FILES[name] for name in present
+    })
+    absent = raw_files.missing_sources(spark, raw_files.source_paths(folder))
+    return spark.createDataFrame([(a.rsplit("/", 1)[1],) for a in absent], "file string")
+
+
 # -- anomalies -------------------------------------------------------------------------
 
 ANOMALY_DIGITS = {
@@ -246,6 +295,23 @@ def channel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(anomalies.channel_anomalies(panel), ANOMALY_DIGITS)
 
 
+def odd_channel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a panel with a channel that never moves and one that averages to nothing.
+
+    The first has no z-score, the second no deviation, not even in its anomalies.
+    """
+    panel = pipeline.channel_panel(stored(spark, sf_dir))
+    i = F.row_number().over(Window.partitionBy("channel").orderBy("month_start_date")) - 1
+    swing = F.when(i % 7 == 6, 10000.0).when(i % 2 == 0, 100.0).otherwise(-100.0)
+    odd = panel.withColumn(
+        "monthly_revenue",
+        F.when(F.col("channel") == "blog", 250.0)
+        .when(F.col("channel") == "podcast", swing)
+        .otherwise(F.col("monthly_revenue")),
+    )
+    return comparable(anomalies.channel_anomalies(odd), ANOMALY_DIGITS)
+
+
 def anomaly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = stored(spark, sf_dir)
     return anomalies.anomaly_summary(
@@ -280,13 +346,15 @@ def anomaly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- forecasts -------------------------------------------------------------------------
 
 
-_FITS: dict[tuple[str, str], str] = {}
+_FITS: dict[Key, str] = {}
 
 
 def fit_store(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the fits that the forecast queries share."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    return _FITS.setdefault(key, f"{scratch_dir(spark)}/fits-{uuid.uuid4().hex}")
+    key = key_of(spark, sf_dir)
+    if key not in _FITS:
+        _FITS[key] = scratch_path(spark, "fits")
+    return _FITS[key]
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +422,7 @@ CHANGED_SERIES = "CTC-001"
 
 def holt_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series that a second run has to search, after the values of one have changed."""
-    path = f"{scratch_dir(spark)}/fits-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "fits")
     usable = holt.usable_series(_all_series(spark, sf_dir))
     holt.fit_stored(usable, path)
     changed = usable.withColumn(
@@ -525,15 +593,15 @@ def channels_with_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The user whose journey differs in the earlier version.
 MOVED_USER = "USR-7"
 
-_REFRESHED: dict[tuple[str, str], tuple[str, versions.Refresh]] = {}
+_REFRESHED: dict[Key, tuple[str, versions.Refresh]] = {}
 
 
 def refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, versions.Refresh]:
     """Folder of two versions of the revenue fact, the second refreshed from the first."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = key_of(spark, sf_dir)
     if key not in _REFRESHED:
         m = stored(spark, sf_dir)
-        root = f"{scratch_dir(spark)}/versions-{uuid.uuid4().hex}"
+        root = scratch_path(spark, "versions")
         revenue, now = m.stg_portfolio_revenue, m.int_user_journeys
         channel = F.when(F.col("user_id") == MOVED_USER, "elsewhere").otherwise(
             F.col("last_touch_resolved_channel")
@@ -729,6 +797,9 @@ OTHER_QUERIES: tuple[Query, ...] = (
     version_changes,
     dates_beyond_horizon,
     calendar_with_outliers,
+    quality_gaps_report,
+    absent_sources,
+    odd_channel_anomalies,
 )
 
 

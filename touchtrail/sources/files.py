@@ -25,6 +25,16 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(at))
 
 
+def stamp(spark: SparkSession, folder: str) -> int:
+    """Changes whenever a file below the folder is added, removed, rewritten or resized."""
+    system, at = _place(spark, folder)
+    found, listed = system.listFiles(at, True), []
+    while found.hasNext():
+        status = found.next()
+        listed.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hash(tuple(sorted(listed)))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, at = _place(spark, path)
     return system.exists(at)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.config import LAYERS
-from touchtrail.sources import versions
+from touchtrail.sources import files, versions
 
 _LOCAL_SCRATCH: list[str] = []
 
@@ -31,13 +31,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[0]
 
 
+# Folders that this process has written under the scratch folder.
+_WRITTEN: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the scratch folder, remembered for :func:`clear_scratch`."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders of this process; tables read from them are gone too."""
+    removed = sum(files.remove(spark, path) for path in _WRITTEN)
+    _WRITTEN.clear()
+    return removed
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared scratch folder and read back.
 
     Cuts lineage for results with several consumers, survives executor loss, and
     gives later joins the measured table size.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
