@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from touchtrail.sources.store import scratch_dir
+from touchtrail.sources.store import scratch_path
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -68,7 +68,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     For results with several readers: later steps start from files every executor
     sees, so a lost executor costs one step at most.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,7 +15,6 @@ earlier entries untouched and a repeated one scans what is still missing.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -24,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.llm.common import Batches, stored, table_batch, texts
-from touchtrail.sources.store import scratch_dir
+from touchtrail.sources.store import scratch_path
 
 
 @dataclass(frozen=True)
@@ -208,7 +207,7 @@ def scan(
     blob of the empty string, and a NULL id is kept.
     """
     spark = docs.sparkSession
-    whole = ledger_path or f"{scratch_dir(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    whole = ledger_path or scratch_path(spark, "secret-ledger")
     path = ledger_of(whole, rule_version(rules))
     addressed = texts(docs, id_col, text_col).withColumn("blob", F.sha2("text", 256))
     known = open_ledger(spark, path)

@@ -267,13 +267,13 @@ def near_duplicates(
 # 1.3e-7 at 0.8, however the two texts came to differ.
 BANDS = 40
 ROWS = 5
-BAND_BYTES = 4
+BAND_BYTES = 8  # so that unequal bands do not meet, at any number of documents
 BINS = 256
 MULTIPLIERS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * BASES[1]) | np.uint64(1)
 
 
 def shingle_bands(hashes: np.ndarray) -> bytes:
-    """32 bits per band: of the smallest hashes of the shingle set in ROWS orders."""
+    """64 bits per band: of the smallest hashes of the shingle set in ROWS orders."""
     smallest = np.full(BANDS * ROWS, ~np.uint64(0), dtype=np.uint64)
     for first in range(0, len(hashes), 1024):
         part = hashes[first : first + 1024, None] * MULTIPLIERS[None, :]
@@ -281,7 +281,7 @@ def shingle_bands(hashes: np.ndarray) -> bytes:
     band = np.arange(1, BANDS + 1, dtype=np.uint64)
     for column in smallest.reshape(BANDS, ROWS).T:
         band = mixed(band ^ column) * BASES[0]
-    return (mixed(band) >> np.uint64(32)).astype("<u4").tobytes()
+    return mixed(band).astype("<u8").tobytes()
 
 
 def shingle_sketch(hashes: np.ndarray) -> bytes:
@@ -302,11 +302,10 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def band_keys(bands: Column) -> Column:
-    """The number of each band and its 32 bits, as one long."""
+    """A key for each band, told apart by its number too."""
     return F.array(
         *(
-            F.conv(F.hex(F.substring(bands, BAND_BYTES * i + 1, BAND_BYTES)), 16, 10).cast("long")
-            + F.lit(i << 32)
+            F.xxhash64(F.lit(i), F.substring(bands, BAND_BYTES * i + 1, BAND_BYTES))
             for i in range(BANDS)
         )
     )
@@ -315,7 +314,7 @@ def band_keys(bands: Column) -> Column:
 def first_meetings(run: dict[str, np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Matrix of the pairs that share no earlier band: each pair is looked at once."""
     if "_before" not in run:
-        run["_before"] = np.frombuffer(b"".join(run["before"]), "<u4").reshape(len(run["own"]), -1)
+        run["_before"] = np.frombuffer(b"".join(run["before"]), "<u8").reshape(len(run["own"]), -1)
     a, b = run["_before"][rows], run["_before"][columns]
     result = np.ones((len(rows), len(columns)), dtype=bool)
     for i in range(a.shape[1]):
@@ -513,22 +512,22 @@ def similar_groups(
         read.mapInArrow(run, "doc_id long, same binary, size long, bands binary, sketch binary"),
         "similar-prints",
     )
-    same = printed.groupBy("same").agg(F.min("doc_id").alias("node"))
+    # Stored, so that the join with all rows can split a sequence of many copies.
+    same = stored(printed.groupBy("same").agg(F.min("doc_id").alias("node")), "similar-same")
     firsts = stored(
         printed.join(same.select("node"), F.col("doc_id") == F.col("node")).select(
             "node", "size", "bands", "sketch"
         ),
         "similar-firsts",
     )
-    keyed = firsts.select("node", "size", F.explode(band_keys(F.col("bands"))).alias("key"))
+    keyed = firsts.select("node", "size", F.posexplode(band_keys(F.col("bands"))).alias("band", "key"))
     # The earlier bands of a row tell which pairs have met already.
-    n_before = F.shiftright("key", 32).cast("int")
     dealt = (
         block_pairs(keyed, "node", weight="size")
         .drop("size")
         .join(firsts.drop("size"), "node")
-        .withColumn("before", F.substring("bands", F.lit(1), n_before * BAND_BYTES))
-        .drop("bands")
+        .withColumn("before", F.substring("bands", F.lit(1), F.col("band") * BAND_BYTES))
+        .drop("bands", "band")
     )
     told = stored(sketched_edges(dealt, least), "similar-told")
     doubts = told.where("node IS NOT NULL").drop("a", "b")
