@@ -1086,6 +1086,10 @@ def oracle_sql() -> dict[str, str]:
           FROM company_revenue_analysis
           UNION ALL SELECT 'channel', channel_key, channel_name FROM channel_performance"""),
         "revenue_detail": _table("detail", "revenue_amount", "revenue_month"),
+        "clustered_detail": _table(
+            f"(SELECT * FROM detail WHERE company_id = '{COMPANIES[0]}' AND "
+            f"first_touch_channel = '{CHANNELS[0]}' AND last_touch_channel = '{CHANNELS[0]}')",
+            "revenue_amount", "revenue_month"),
         "channel_by_company": _table(
             f"(SELECT * FROM chosen_channels WHERE channel_key IN {chosen})", _CHANNEL_MONEY),
         "campaigns_by_company": _table("chosen_campaigns", _CAMPAIGN_MONEY, "start_date end_date"),

@@ -37,7 +37,7 @@ from touchtrail.operators import (
 )
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
-from touchtrail.sources import files, raw_files, versions
+from touchtrail.sources import clustered, files, raw_files, versions
 from touchtrail.sources.derived import crowded_campaigns, earlier_revenue, raw_tables
 from touchtrail.sources.store import (
     append_table,
@@ -636,6 +636,26 @@ def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.changed_keys(old, new, ["revenue_id"])
 
 
+# -- a detail table for selective reads ------------------------------------------------------
+
+SELECTIVE_COLUMNS = ("company_id", "first_touch_channel", "last_touch_channel", "revenue_month")
+_CLUSTERED: dict[Key, str] = {}
+
+
+def clustered_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue records of one company whose touches were both on one channel, read from a
+    table laid out for such selections."""
+    key = key_of(spark, sf_dir)
+    detail = stored(spark, sf_dir).detail
+    if key not in _CLUSTERED:
+        _CLUSTERED[key] = scratch_path(spark, "clustered-detail")
+        clustered.write_clustered(detail, _CLUSTERED[key], SELECTIVE_COLUMNS, 64 << 10)
+    rows = spark.read.schema(detail.schema).parquet(_CLUSTERED[key])
+    channel = CHANNELS[0]
+    chosen = (F.col("first_touch_channel") == channel) & (F.col("last_touch_channel") == channel)
+    return comparable(rows.where((F.col("company_id") == COMPANIES[0]) & chosen))
+
+
 # -- dates beyond the calendar's horizon ----------------------------------------------------
 
 
@@ -800,6 +820,7 @@ OTHER_QUERIES: tuple[Query, ...] = (
     quality_gaps_report,
     absent_sources,
     odd_channel_anomalies,
+    clustered_detail,
 )
 
 
