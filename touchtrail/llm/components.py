@@ -4,6 +4,11 @@ Each round rewires every node's larger neighbours to its smallest one (large sta
 then its smaller ones (small star), until only stars remain. The state is an edge
 table in the shared scratch folder; nothing but a row count and a checksum comes to
 the driver. Rounds grow with the logarithm of the longest path.
+
+The centre of a large group has an edge per member. Its edges are joined with one row of
+its own, from a stored table: both sides are then plain shuffles, and a partition with a
+centre's edges is split over tasks at run time (as adaptive execution does for skewed
+joins; it cannot where the other side is an aggregate of the same shuffle).
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchtrail.llm.common import stored_with
+from touchtrail.llm.common import stored, stored_with
 
 
 def _stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -24,6 +29,11 @@ def _stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return table, (seen["n"], seen["sum"])
 
 
+def _smallest(edges: DataFrame) -> DataFrame:
+    """(u, m): the smallest neighbour of each node, counted before the shuffle."""
+    return stored(edges.groupBy("u").agg(F.min("v").alias("m")), "component-centres")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; a component is its smallest node.
 
@@ -39,16 +49,15 @@ def components(edges: DataFrame) -> DataFrame:
     table, state = _stored_edges(oriented)  # u > v throughout
     while state[0]:
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
-            both.join(nearest, "u")
+            both.join(_smallest(both), "u")
             .where("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
             .distinct()
         )
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "component-stars")
         small = (
-            large.join(smallest, "u")
+            large.join(_smallest(large), "u")
             .select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
             .where("u <> v")
             .distinct()
