@@ -805,6 +805,20 @@ def _generic_report() -> str:
     )
 
 
+def _unique_keys() -> str:
+    rows = [
+        f"SELECT 'duplicate_primary_key_{t}' AS check_name, count(*) AS duplicated FROM "
+        f"(SELECT {c} FROM raw_{t} GROUP BY {c} HAVING count(*) > 1)"
+        for t, c in PRIMARY_KEYS.items()
+    ]
+    rows += [
+        f"SELECT 'unique:{t}.{c}', count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
+        f"GROUP BY {c} HAVING count(*) > 1)"
+        for t, contract in CONTRACTS.items() for c in contract.unique
+    ]
+    return _select(" UNION ALL ".join(rows))
+
+
 def _conservation() -> str:
     def total(table: str, column: str) -> str:
         return f"(SELECT CAST(sum({column}) AS DOUBLE) FROM {table})"
@@ -1024,6 +1038,7 @@ def oracle_sql() -> dict[str, str]:
           WHERE channel_key IS NOT NULL"""),
         "quality_raw_report": _raw_report(),
         "quality_gaps_report": _gaps_report(),
+        "quality_unique_keys": _unique_keys(),
         "absent_sources": "SELECT unnest(['content_performance.csv', 'portfolio_revenue.csv', "
                           "'user_signups.json']) AS file",
         "quality_duplicates": _select(

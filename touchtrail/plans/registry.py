@@ -34,6 +34,7 @@ from touchtrail.operators import (
     journeys,
     quality,
     reconciliation,
+    uniqueness,
 )
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES, Models
@@ -251,6 +252,21 @@ def quality_gaps_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("check_name", "status", "issue_count")
 
 
+def quality_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicated keys of every raw primary key and every column declared unique."""
+    raw = raw_tables(spark, sf_dir)
+    tables = all_tables(spark, sf_dir)
+    primary = {
+        f"duplicate_primary_key_{t}": (raw[t], key) for t, key in quality.PRIMARY_KEYS.items()
+    }
+    declared = {
+        f"unique:{t}.{c}": (tables[t], c) for t, k in contracts.CONTRACTS.items() for c in k.unique
+    }
+    return uniqueness.duplicated_keys(primary, null_is_key=True).unionByName(
+        uniqueness.duplicated_keys(declared)
+    )
+
+
 # -- sources that are not there ----------------------------------------------------------
 
 
@@ -821,6 +837,7 @@ OTHER_QUERIES: tuple[Query, ...] = (
     absent_sources,
     odd_channel_anomalies,
     clustered_detail,
+    quality_unique_keys,
 )
 
 
