@@ -102,10 +102,11 @@ def calibrate(vectors: int, least: float, needed: int = NEEDED) -> Calibration:
     """The cheapest tables that keep RECALL at the threshold.
 
     Cost is counted in bytes per vector: its entries, and the chance collisions with
-    unrelated vectors that a table of ``vectors`` vectors brings.
+    unrelated vectors that a table of ``vectors`` vectors brings, each with its share of the
+    counting. Related vectors collide more often than by chance, so these weigh much.
     """
     best: tuple[float, Calibration] | None = None
-    for directions in (8, 16, 32, 64):
+    for directions in (8, 12, 16, 24, 32, 48, 64):
         pick = same_pick(directions, least)
         for picks in range(1, 9):
             strangers = vectors / (2 * directions) ** picks
@@ -115,7 +116,7 @@ def calibrate(vectors: int, least: float, needed: int = NEEDED) -> Calibration:
                 tables = needed
                 while missed(tables, chance, needed) > 1 - RECALL and tables < 5_000:
                     tables = ceil(tables * 1.05) + 1
-                cost = tables * (48 + 4 * picks + 24 * strangers * in_window(window, 0.0))
+                cost = tables * (48 + 4 * picks + 64 * strangers * in_window(window, 0.0))
                 found = Calibration(picks, directions, window, tables, needed, chance)
                 if tables < 5_000 and (best is None or cost < best[0]):
                     best = (cost, found)
