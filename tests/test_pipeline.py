@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from touchtrail.operators import contracts, quality
 from touchtrail.plans import pipeline
 from touchtrail.plans.models import TABLES
+from touchtrail.sources import versions
 from touchtrail.sources.derived import raw_tables
 
 
@@ -83,3 +84,24 @@ def test_failed_validation_stops_the_run_but_is_logged(spark, data_dir, tables):
     with pytest.raises(quality.ValidationFailed, match="valid_revenue_company"):
         pipeline.validate(spark, raw)
     assert spark.table("raw.validation_results").count() == before + 60
+
+
+def test_a_versioned_batch_is_visible_at_once_or_not_at_all(spark, data_dir, tables, tmp_path, monkeypatch):
+    root = str(tmp_path / "results")
+    sink = pipeline.VersionedSink(spark, root)
+    pipeline.run(spark, data_dir, str(tmp_path / "raw"), sink)
+    at = versions.entry(spark, root)
+    assert at.number == 1 and set(at.tables) == set(sink.tables)
+    assert {f"{pipeline.layer_of(n)}.{n}" for n in TABLES} <= set(at.tables)
+    for name in ("fct_attributed_revenue", "channel_performance", "dim_time"):
+        got = versions.read(spark, at, f"{pipeline.layer_of(name)}.{name}")
+        want = tables[name].select(*got.columns)
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+    def fails(*args):
+        raise RuntimeError("no forecast")
+
+    monkeypatch.setattr(pipeline, "store_forecast", fails)
+    with pytest.raises(RuntimeError, match="no forecast"):
+        pipeline.run(spark, data_dir, str(tmp_path / "raw"), pipeline.VersionedSink(spark, root))
+    assert versions.numbers(spark, root) == [1]

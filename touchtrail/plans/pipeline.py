@@ -47,6 +47,31 @@ def catalog_sink(layer: str, name: str, df: DataFrame, partition_by: str | None)
     return store.read_table(df.sparkSession, layer, name).select(*df.columns)
 
 
+class VersionedSink:
+    """Stores every table in folders of its own; ``publish`` makes all of them one version.
+
+    Readers see the tables of the last version until the whole batch has succeeded, and none
+    of a batch that failed. Tables are named ``layer.table``.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+        self.tables: dict[str, versions.Table] = {}
+
+    def __call__(self, layer: str, name: str, df: DataFrame, partition_by: str | None) -> DataFrame:
+        full = f"{layer}.{name}"
+        if partition_by is None:
+            table = versions.write(df, self.root, full)
+        else:
+            parts = versions.write_parts(df, self.root, full, F.col(partition_by))
+            table = versions.Table(df.schema.json(), parts)
+        self.tables[full] = table
+        return versions.read(self.spark, versions.Entry(0, {full: table}), full)
+
+    def publish(self) -> int:
+        return versions.commit(self.spark, self.root, lambda latest: dict(self.tables))
+
+
 def layer_of(table: str) -> str:
     return LAYER_OF.get(table) or LAYER_OF.get(table.split("_")[0], "analytics")
 
@@ -239,7 +264,10 @@ def validate(spark: SparkSession, raw: dict[str, DataFrame]) -> DataFrame:
 def run(
     spark: SparkSession, data_dir: str, raw_root: str, sink: Sink = catalog_sink
 ) -> dict[str, DataFrame]:
-    """Whole batch: load, validate, build, score, forecast."""
+    """Whole batch: load, validate, build, score, forecast.
+
+    With a :class:`VersionedSink` all results become visible at once, at the end.
+    """
     counts = ingest(spark, data_dir, raw_root)
     raw = store.read_published(spark, raw_root, list(counts))
     validate(spark, raw)
@@ -249,4 +277,7 @@ def run(
     tables["series_report"] = store_series_report(models, sink)
     beyond = dimensions.dates_beyond_horizon(*models.dated)
     tables["dates_beyond_horizon"] = sink("analytics", "dates_beyond_horizon", beyond, None)
-    return tables | store_forecast(models, sink)
+    tables |= store_forecast(models, sink)
+    if isinstance(sink, VersionedSink):
+        sink.publish()
+    return tables
