@@ -26,6 +26,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ ENTRY_LIMIT = 1 << 52
 
 def whole_numbers(column: pa.Array, dimension: int) -> np.ndarray:
     """floor(1024 * c) + 100000 of every component, as longs."""
-    values = pa.compute.list_flatten(column).to_numpy(zero_copy_only=False)
+    values = pc.list_flatten(column).to_numpy(zero_copy_only=False)
     scaled = np.floor(values.astype(np.float64).reshape(-1, dimension) * SCALE)
     if scaled.size and np.abs(scaled).max() >= ENTRY_LIMIT:
         raise ValueError("A component is too large: 1024 times it must stay below 2 ** 52")
