@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchtrail.config import SOURCE_NULL
-from touchtrail.sources import json_ranges
+from touchtrail.sources import files, json_ranges
 from touchtrail.sources.schemas import RAW_SCHEMAS, SOURCE_FILES
 
 
@@ -24,16 +23,8 @@ def source_paths(data_dir: str, files: Mapping[str, str] = SOURCE_FILES) -> dict
 
 
 def missing_sources(spark: SparkSession, paths: Mapping[str, str]) -> list[str]:
-    """Paths that do not exist; Spark checks them while it plans a read."""
-    absent = []
-    for path in paths.values():
-        try:
-            spark.read.text(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            absent.append(path)
-    return absent
+    """Paths that do not exist, as a list."""
+    return [path for path in paths.values() if not files.exists(spark, path)]
 
 
 def require_sources(spark: SparkSession, paths: Mapping[str, str]) -> None:
@@ -90,10 +81,10 @@ def read_json_source(
 
 
 def read_sources(
-    spark: SparkSession, data_dir: str, files: Mapping[str, str] = SOURCE_FILES
+    spark: SparkSession, data_dir: str, named: Mapping[str, str] = SOURCE_FILES
 ) -> dict[str, DataFrame]:
     """All raw tables of a source folder; fails early when any file is absent."""
-    paths = source_paths(data_dir, files)
+    paths = source_paths(data_dir, named)
     require_sources(spark, paths)
     tables = {}
     for table, path in paths.items():
