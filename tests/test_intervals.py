@@ -83,6 +83,44 @@ def test_every_route_matches_the_same_campaigns(touched):
     assert found[0] == found[1] == found[2] and len(found[0]) > 400
 
 
+def test_few_touches_go_to_their_campaigns(touched):
+    few = replace(CROWDED, broadcast_rows=250)  # more than touches, less than matches
+    assert rows(journeys.match_campaigns(*touched, few)) == rows(journeys.match_campaigns(*touched, PLAIN))
+
+
+@pytest.mark.parametrize("config", [PLAIN, SHUFFLED, CROWDED, replace(CROWDED, broadcast_rows=250)])
+def test_counted_journeys_stand_for_all_signups(spark, touched, config):
+    touches, campaigns = touched
+    signups = touches.select(
+        "user_id", "company_id", "signup_date", "utm_campaign",
+        F.col("first_touch_resolved_channel").alias("first_touch_channel"),
+        F.col("last_touch_resolved_channel").alias("last_touch_channel"),
+        F.lit("blog").alias("utm_source"), F.substring("user_id", 3, 1).alias("utm_medium"),
+        F.lit(None).cast("string").alias("referral_source"),
+    )
+    signups = signups.unionByName(signups.limit(50))
+    by = ["first_touch_campaign_id", "last_touch_campaign_id", "company_id", "attribution_confidence",
+          "campaign_match_status"]
+    listed = journeys.user_journeys(signups, campaigns, PLAIN).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    counted = journeys.user_journeys(signups, campaigns, config, counted=True)
+    assert rows(counted.groupBy(*by).agg(F.sum("signups").alias("n"))) == rows(listed)
+
+
+def test_few_touches_list_no_signup_per_campaign(spark, touched):
+    """40,000 signups alike and 300 campaigns of their slug and day: one row per campaign."""
+    day = F.lit("1999-12-25").cast("date")
+    campaigns = spark.range(300).select(
+        F.col("id").cast("string").alias("campaign_id"), F.lit("s").alias("campaign_slug"), F.lit("blog").alias("channel"),
+        day.alias("start_date"), day.alias("end_date"), F.lit(None).cast("string").alias("target_company_id"))
+    names = ["utm_source", "utm_medium", "referral_source"]
+    signups = spark.range(40_000).select(
+        F.concat(F.lit("u"), "id").alias("user_id"), F.lit("C1").alias("company_id"), day.alias("signup_date"),
+        F.lit("s").alias("utm_campaign"), F.lit("blog").alias("first_touch_channel"),
+        F.lit("podcast").alias("last_touch_channel"), *[F.lit("x").alias(c) for c in names])
+    found = journeys.user_journeys(signups, campaigns, counted=True).collect()
+    assert len(found) == 300 and {r["signups"] for r in found} == {40_000}
+
+
 def test_every_route_counts_the_same_content(touched):
     touches, campaigns = touched
     content = touches.select(
