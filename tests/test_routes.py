@@ -5,11 +5,14 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchtrail.config import SKEW
+from touchtrail.operators.skew import is_small, salted_join
 from touchtrail.plans import registry
 from touchtrail.plans.models import Models, in_scratch
 from touchtrail.sources.derived import raw_tables
+from touchtrail.sources.store import materialize
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +35,16 @@ def test_same_rows(spark, sf_dir, shuffled, name):
     assert usual.count() == other.count()
     assert usual.exceptAll(other).count() == 0
     assert other.exceptAll(usual).count() == 0
+
+
+def test_small_is_told_by_rows_not_by_bytes_in_files(spark):
+    rows = spark.range(5000).select((F.col("id") % 7).alias("k"), F.lit("x" * 50).alias("v"))
+    held = materialize(rows, "many-alike")  # a few hundred bytes
+    few = replace(SKEW, broadcast_rows=1000)
+    assert not is_small(held, few) and is_small(held, replace(SKEW, broadcast_rows=5000))
+    # Nor does Spark broadcast it on its own account.
+    left = materialize(spark.range(50).select("id", (F.col("id") % 9).alias("k")), "left")
+    joined = salted_join(left, held.distinct(), ["k"], ["id"], config=few)
+    assert joined.count() == 50
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=merge)" in plan
