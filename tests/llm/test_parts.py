@@ -553,3 +553,19 @@ def test_surroundings_that_agree_in_32_bits_stay(spark):
     rows = list(enumerate(t for pair in pairs for t in pair))
     result = suffix_lpf.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: r["n_removed"] for r in result.collect()} == {0: 0, 1: 0, 2: 0, 3: 0}
+
+
+def test_similar_groups_take_candidates_from_fingerprints(spark):
+    """Texts that mostly repeat one passage: SimHash tells, the smallest hashes of the sets do not."""
+    passage = " ".join(f"p{i}" for i in range(13))  # an odd number: no bit is a tie
+
+    def text(name):
+        return " ".join([passage] * 150 + [f"{name}{i}" for i in range(25)])
+
+    rows = [(i, text(f"t{i}x")) for i in range(6)] + [(9, " ".join(f"other{i}" for i in range(60)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = [simhash.shingle_hashes(t.encode().split(), 5, simhash.SEED) for _, t in rows]
+    bands = [np.frombuffer(simhash.shingle_bands(h), "<u8") for h in hashes]
+    assert sum(bool((bands[i] == bands[j]).any()) for i in range(6) for j in range(i)) < 3
+    found = {r["doc_id"]: r["group_id"] for r in simhash.similar_groups(docs, least=0.1).collect()}
+    assert found == {**dict.fromkeys(range(6), 0), 9: 9}

@@ -233,6 +233,13 @@ def forest_edges(dealt: DataFrame, node: str, links: Links) -> DataFrame:
 # -- operator --------------------------------------------------------------------------
 
 
+def linked_prints(distinct: DataFrame) -> DataFrame:
+    """(node, component) of the distinct fingerprints that are within 3 bits of another one."""
+    keyed = distinct.select("fingerprint", F.explode(ring_keys(F.col("fingerprint"))).alias("key"))
+    dealt = block_pairs(keyed, "fingerprint")
+    return components(forest_edges(dealt, "fingerprint", within_bits))  # stored edges underneath
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -245,10 +252,7 @@ def near_duplicates(
     """
     printed = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
     distinct = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    keyed = distinct.select("fingerprint", F.explode(ring_keys(F.col("fingerprint"))).alias("key"))
-    dealt = block_pairs(keyed, "fingerprint")
-    edges = forest_edges(dealt, "fingerprint", within_bits)
-    linked = components(edges)  # stored edges underneath
+    linked = linked_prints(distinct)
     named = (
         distinct.join(linked, distinct["fingerprint"] == linked["node"], "left")
         .select("fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("root"))
@@ -469,6 +473,19 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles binary")
 
 
+def print_clusters(firsts: DataFrame) -> DataFrame:
+    """(fingerprint, cluster) of the fingerprints that several rows have or come within 3 bits of."""
+    distinct = stored(firsts.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows")), "similar-fingerprints")
+    linked = linked_prints(distinct.select("fingerprint"))
+    # Stored, so that the join with the texts can split a fingerprint of many texts.
+    return stored(
+        distinct.join(linked, F.col("fingerprint") == F.col("node"), "left")
+        .where("rows > 1 OR component IS NOT NULL")
+        .select("fingerprint", F.coalesce("component", "fingerprint").alias("cluster")),
+        "similar-clusters",
+    )
+
+
 def similar_groups(
     docs: DataFrame,
     shingle: int = 5,
@@ -478,16 +495,19 @@ def similar_groups(
 ) -> DataFrame:
     """(doc_id, group_id) of every document that is similar to another one.
 
-    Ids must be unique and not NULL. Two documents are linked when they share one of
-    ``BANDS`` bands of smallest shingle hashes and the share of common ``shingle``-word
-    shingles is at least ``least``; equal word sequences always are. A sketch tells the
-    share where it is far from ``least``, the sets themselves elsewhere. A group is named by its smallest id. Case is ignored.
+    Ids must be unique and not NULL. Candidates are texts whose SimHash fingerprints are
+    connected within 3 bits, as pigeonring finds them, and, as fingerprints of similar texts
+    can be further apart, texts that share one of ``BANDS`` bands of smallest shingle hashes.
+    Candidates are linked when the share of common ``shingle``-word shingles is at least
+    ``least``; equal word sequences always are. A sketch tells the share where it is far from
+    ``least``, the sets themselves elsewhere. A group is named by its smallest id. Case is ignored.
     """
     schema = pa.schema(
         [
             pa.field("doc_id", pa.int64()),
             pa.field("same", pa.binary()),
             pa.field("size", pa.int64()),
+            pa.field("fingerprint", pa.int64()),
             pa.field("bands", pa.binary()),
             pa.field("sketch", pa.binary()),
         ]
@@ -497,35 +517,43 @@ def similar_groups(
         from hashlib import sha256
 
         for ids, datas in chunks(batches):
-            rows: dict[str, list] = {"same": [], "size": [], "bands": [], "sketch": []}
+            rows: dict[str, list] = {"same": [], "size": [], "fingerprint": [], "bands": [], "sketch": []}
             for data in datas:
                 words = data.lower().split()
                 rows["same"].append(sha256(b" ".join(words)).digest())
                 hashes = shingle_hashes(words, shingle, SEED)
                 rows["size"].append(len(hashes))
+                rows["fingerprint"].append(bit_majority(hashes))
                 rows["bands"].append(shingle_bands(hashes))
                 rows["sketch"].append(shingle_sketch(hashes))
             yield table_batch(schema, {"doc_id": ids} | rows)
 
     read = texts(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text")
     printed = stored(
-        read.mapInArrow(run, "doc_id long, same binary, size long, bands binary, sketch binary"),
+        read.mapInArrow(
+            run, "doc_id long, same binary, size long, fingerprint long, bands binary, sketch binary"
+        ),
         "similar-prints",
     )
     # Stored, so that the join with all rows can split a sequence of many copies.
     same = stored(printed.groupBy("same").agg(F.min("doc_id").alias("node")), "similar-same")
     firsts = stored(
         printed.join(same.select("node"), F.col("doc_id") == F.col("node")).select(
-            "node", "size", "bands", "sketch"
+            "node", "size", "fingerprint", "bands", "sketch"
         ),
         "similar-firsts",
     )
-    keyed = firsts.select("node", "size", F.posexplode(band_keys(F.col("bands"))).alias("band", "key"))
-    # The earlier bands of a row tell which pairs have met already.
+    clusters = print_clusters(firsts)
+    keyed = firsts.select("node", "size", F.posexplode(band_keys(F.col("bands"))).alias("band", "key")).unionByName(
+        firsts.join(clusters, "fingerprint").select(
+            "node", "size", F.lit(BANDS).alias("band"), F.xxhash64(F.lit(BANDS), "cluster").alias("key")
+        )
+    )
+    # The earlier bands of a row tell which pairs have met already, all bands those of a cluster.
     dealt = (
         block_pairs(keyed, "node", weight="size")
         .drop("size")
-        .join(firsts.drop("size"), "node")
+        .join(firsts.drop("size", "fingerprint"), "node")
         .withColumn("before", F.substring("bands", F.lit(1), F.col("band") * BAND_BYTES))
         .drop("bands", "band")
     )
