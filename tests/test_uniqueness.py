@@ -92,3 +92,35 @@ def test_little_is_shuffled(spark):
     plainly = shuffled_bytes(
         spark, lambda: keys.groupBy("k").count().where("count > 1").agg(F.count("k")).collect())
     assert 0 < ours < plainly / 5
+
+
+def test_many_shared_cells_do_not_send_all_keys(spark, monkeypatch):
+    """Beyond SENT_BACK cells only rows that the sieve lets pass are shuffled."""
+    keys = spark.range(400_000, numPartitions=8).select(
+        F.concat(F.lit("customer-"), F.md5((F.col("id") % 380_000).cast("string"))).alias("k"))
+    monkeypatch.setattr(u, "SENT_BACK", 1000)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as for tables too large to broadcast
+    try:
+        rows = []
+        ours = shuffled_bytes(spark, lambda: rows.extend(u.duplicated_keys({"k": (keys, "k")}).collect()))
+        plainly = shuffled_bytes(
+            spark, lambda: keys.groupBy("k").count().where("count > 1").agg(F.count("k")).collect())
+    finally:
+        spark.conf.set(threshold, usual)
+    assert rows[0]["duplicated"] == 20_000
+    assert 0 < ours < plainly / 2
+
+
+@pytest.mark.parametrize("sieve_bits", [3, 9, 16, 18])
+def test_sieve_holds_all_cells_and_few_others(spark, sieve_bits, monkeypatch):
+    """Small and large bitmaps, with and without false hits: counts stay exact."""
+    hashed = spark.range(3000, numPartitions=5).select("id", F.xxhash64("id").alias("h"))
+    cells = hashed.where("id < 50").select(F.shiftrightunsigned("h", 64 - 20).alias("cell"))
+    monkeypatch.setattr(u, "SIEVE_BITS", sieve_bits)
+    passed = {r["id"] for r in u._through_sieve(hashed, F.col("h"), cells, 20).collect()}
+    assert passed >= set(range(50))
+    top = {r["p"] for r in hashed.where("id < 50").select(F.shiftrightunsigned("h", 64 - sieve_bits).alias("p")).collect()}
+    also = hashed.where(F.shiftrightunsigned("h", 64 - sieve_bits).isin(*top)).collect()
+    assert passed == {r["id"] for r in also}

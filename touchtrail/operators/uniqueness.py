@@ -5,6 +5,9 @@ goes through the shuffle is which cells occur, once or more than once, in sorted
 task: two to four bytes a key, whatever the keys are made of, and two entries per task for a
 key that holds a third of all rows. Cells that turn out to be taken twice, by one key or by
 two, are sent back, and only rows in such cells are counted by their keys, exactly.
+
+Few cells are sent back as they are. Many become a bitmap of a fixed size, which lets rows of
+some other cells pass as well: these are counted too, and found to be alone.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ HELD = 1 << 21  # cells that a task sorts at once, and about as many per range
 # Cells shared by different keys stay below this number on average, at any number of keys.
 SHARED = 1 << 22
 SENT_BACK = 1 << 22  # cells that are broadcast, 32 MB of them
+SIEVE_BITS = 28  # the bitmap of more cells has 2 to the power of this, 32 MB
+BLOCK_BITS = 15  # of the bitmap in one row
 
 
 def _bits(keys: int) -> tuple[int, int]:
@@ -106,6 +111,41 @@ def shared_cells(hashes: DataFrame, bits: int, range_bits: int) -> DataFrame:
     )
 
 
+def sieve(cells: DataFrame, bits: int, sieve_bits: int) -> DataFrame:
+    """(block, words): a bitmap of the upper ``sieve_bits`` bits of the cells, in rows of 4 KB.
+
+    A task has a row for every block it saw a cell of. Stored cells of a range stand together,
+    so there is hardly more than one row a block; blocks without a cell have none.
+    """
+    dropped, per_block = np.uint64(bits - sieve_bits), min(sieve_bits, BLOCK_BITS)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros((1 << (sieve_bits - per_block), 1 << max(0, per_block - 6)), dtype=np.uint64)
+        flat, seen = words.reshape(-1), np.zeros(len(words), dtype=bool)
+        for batch in batches:
+            place = batch.column("cell").to_numpy().view(np.uint64) >> dropped
+            np.bitwise_or.at(flat, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+            seen[place >> np.uint64(per_block)] = True
+        blocks = np.flatnonzero(seen)
+        for some in np.array_split(blocks, len(blocks) // 1024 + 1):
+            ends = np.arange(len(some) + 1, dtype=np.int32) * words.shape[1]
+            held = pa.ListArray.from_arrays(pa.array(ends), pa.array(words[some].reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), held], names=["block", "words"])
+
+    return cells.mapInArrow(mark, "block long, words array<long>")
+
+
+def _through_sieve(rows: DataFrame, h: Column, cells: DataFrame, bits: int) -> DataFrame:
+    """Rows whose hash falls in one of the cells, and some more."""
+    sieve_bits = min(bits, SIEVE_BITS)
+    marked = materialize(sieve(cells, bits, sieve_bits), "sieve")
+    place = F.shiftrightunsigned(h, 64 - sieve_bits)
+    word = F.get("words", F.shiftright(place, 6).bitwiseAND((1 << (BLOCK_BITS - 6)) - 1))
+    hit = F.getbit(word, place.bitwiseAND(63).cast("int")) == 1
+    block = F.shiftright(place, min(sieve_bits, BLOCK_BITS))
+    return rows.join(F.broadcast(marked), (block == F.col("block")) & hit, "left_semi")
+
+
 def duplicated_keys(claims: Mapping[str, Claim], null_is_key: bool = False) -> DataFrame:
     """(check_name, duplicated): keys that more than one row has, for every (table, column).
 
@@ -127,12 +167,13 @@ def duplicated_keys(claims: Mapping[str, Claim], null_is_key: bool = False) -> D
 
     h = F.xxhash64("number", "value")
     cells = materialize(shared_cells(every.select(h.alias("h")), bits, range_bits), "shared-cells")
-    cell: Column = F.shiftrightunsigned(h, 64 - bits)
-    sent_back = F.broadcast(cells) if cells.count() <= SENT_BACK else cells
+    if cells.count() <= SENT_BACK:
+        cell: Column = F.shiftrightunsigned(h, 64 - bits)
+        chosen = every.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi")
+    else:
+        chosen = _through_sieve(every, h, cells, bits)
     counted = (
-        every.withColumn("cell", cell)
-        .join(sent_back, "cell", "left_semi")
-        .groupBy("number", "value")
+        chosen.groupBy("number", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > 1)
         .groupBy("number")
