@@ -139,3 +139,20 @@ def test_a_changed_file_is_a_new_state(spark, tmp_path):
         place.write_text(change[1])
         seen.add(files.stamp(spark, str(tmp_path / "data")))
     assert len(seen) == 3 and files.stamp(spark, str(tmp_path / "data")) in seen
+
+
+def test_written_sources_are_small_in_files_for_several_tasks(spark, tmp_path, monkeypatch):
+    """CSV sources take far fewer bytes than their text, in files that many tasks can read."""
+    rows = spark.range(50_000, numPartitions=1).select(
+        F.concat(F.lit("REV-"), "id").alias("revenue_id"), F.lit("CTC-001").alias("company_id"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit('a "quoted", '), F.col("id") % 99)).alias("user_id"),
+        F.when(F.col("id") % 3 > 0, "2023-05").otherwise("").alias("month"),
+        F.lit("1.50").cast("decimal(18,2)").alias("revenue_amount"), F.lit(True).alias("is_recurring"))
+    monkeypatch.setattr(raw_files, "ROWS_PER_FILE", 20_000, raising=False)
+    path = str(tmp_path / "portfolio_revenue.csv")
+    raw_files.write_csv_source(rows, path)
+    parts = list((tmp_path / "portfolio_revenue.csv").glob("part-*"))
+    text = sum(len(",".join(map(str, r))) for r in rows.collect())
+    assert len(parts) == 3 and sum(p.stat().st_size for p in parts) < text / 3
+    read = raw_files.read_csv_source(spark, path, RAW_SCHEMAS["portfolio_revenue"])
+    assert read.count() == 50_000 and read.exceptAll(rows).count() == 0

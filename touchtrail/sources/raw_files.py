@@ -100,9 +100,12 @@ def read_sources(
 
 # -- writing -----------------------------------------------------------------------
 
+# Compressed files are read whole by one task each, so large ones are cut.
+ROWS_PER_FILE = 2_000_000
+
 
 def write_csv_source(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with headers; NULL is written as the sentinel."""
+    """A folder of compressed CSV files with headers; NULL is written as the sentinel."""
     values = [
         F.coalesce(F.col(c).cast("string"), F.lit(SOURCE_NULL)).alias(c) for c in df.columns
     ]
@@ -112,6 +115,9 @@ def write_csv_source(df: DataFrame, path: str) -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .csv(path)
     )
 
