@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from touchtrail.llm import (
+    block_anchors,
     decontaminate,
     interpolation_lm,
     license_scan,
@@ -569,3 +572,62 @@ def test_similar_groups_take_candidates_from_fingerprints(spark):
     assert sum(bool((bands[i] == bands[j]).any()) for i in range(6) for j in range(i)) < 3
     found = {r["doc_id"]: r["group_id"] for r in simhash.similar_groups(docs, least=0.1).collect()}
     assert found == {**dict.fromkeys(range(6), 0), 9: 9}
+
+
+# -- memory of block anchors ------------------------------------------------------------
+
+
+def most_held(work) -> int:
+    """Peak of the bytes that Python and numpy hold while ``work`` runs."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("windows", [False, True])
+def test_a_bucket_is_looked_up_in_little_memory(windows):
+    chunks, docs, size = 20, 5, 4000
+    n = docs * size  # keys of a chunk; two thirds of them stand in every chunk
+    keys = np.random.default_rng(5).integers(0, 1 << 63, (chunks, n), dtype=np.uint64)
+    keys[:, np.arange(n) % 3 > 0] = keys[0, np.arange(n) % 3 > 0]
+    keys = keys if windows else keys.astype("<u4")
+    parcels = [
+        (
+            3,
+            rolling.steps(np.arange(docs) + chunk * docs),
+            rolling.steps(np.full(docs, size)),
+            rolling.steps(np.arange(n) % size),
+            rolling.planes(keys[chunk]),
+            rolling.planes(np.zeros(n, "<u2")) if windows else b"",
+            np.packbits(np.zeros(n, bool)).tobytes(),
+            None,
+            None,
+        )
+        for chunk in range(chunks)
+    ]
+    batch = rolling.binary_batch(block_anchors.PARCEL_SCHEMA, parcels)
+    found = []
+    # With a grid of one word every place is a block of the index.
+    grid = None if windows else 1
+    peak = most_held(lambda: found.extend(block_anchors.look_up(iter([batch]), grid)))
+    marks = np.zeros((chunks * docs, size), dtype=bool)
+    for part in found:
+        for row, hits in zip(*(c.to_pylist() for c in part.columns)):
+            marks[row] |= rolling.marked([hits], size)
+    _, same, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    assert (marks.ravel() == (counts > 1)[same.ravel()]).all()
+    assert peak < 40 * chunks * n
+
+
+def test_words_are_hashed_in_little_memory():
+    words = [b"%x" % random.Random(i).getrandbits(40) for i in range(2000)]
+    data = np.frombuffer(b" ".join(words * 100) + b"\n", np.uint8)
+    bounds = rolling.word_bounds(data)
+    hashes = []
+    peak = most_held(lambda: hashes.append(block_anchors.word_hashes(data, *bounds)))
+    assert peak < 8 * len(data)
+    assert hashes[0].tolist() == rolling.span_hashes(data, *bounds).tolist()
+    assert len(set(hashes[0].tolist())) == len(set(words))

@@ -45,6 +45,25 @@ HITS_SCHEMA = pa.schema([pa.field("row", pa.int64()), pa.field("hits", pa.binary
 
 
 PASSES = 8  # over a bucket's keys, an eighth at a time
+PIECE = 128 << 10  # bytes of text whose words are hashed at once
+SLICE = 64 << 10  # places of a bucket whose runs are made at once
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word, a piece of the text at a time.
+
+    ``span_hashes`` holds several 8-byte numbers per byte of its text, and a span's hash
+    does not depend on where in the text it stands.
+    """
+    hashes = np.empty(len(starts), dtype=r.U64)
+    cuts = np.searchsorted(starts, np.arange(0, len(data), PIECE))
+    for a, b in zip(cuts, np.append(cuts[1:], len(starts))):
+        if a < b:
+            first = starts[a]
+            hashes[a:b] = r.span_hashes(
+                data[first : ends[b - 1]], starts[a:b] - first, ends[a:b] - first
+            )
+    return hashes
 
 
 class Words:
@@ -52,7 +71,7 @@ class Words:
 
     def __init__(self, chunk: r.Chunk):
         self.starts, self.ends = r.word_bounds(chunk.data)
-        self.hashes = r.span_hashes(chunk.data, self.starts, self.ends)
+        self.hashes = word_hashes(chunk.data, self.starts, self.ends)
         self.doc = np.searchsorted(chunk.first, self.starts, side="right") - 1
         self.counts = np.bincount(self.doc, minlength=len(chunk.rows))
         self.first = np.concatenate(([0], np.cumsum(self.counts)))
@@ -108,45 +127,50 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
     """Places of a partition's buckets whose key occurs again.
 
     With ``grid``, one of the places must be a block of the index, or a witness.
+
+    Two tasks and the JVM share an executor's memory, so what is held per place is little:
+    its key, its number, and a mark; documents are found from their counts of places.
     """
-    held: dict[str, list[np.ndarray]] = {}
-    n_docs = 0
+    held: dict[int, dict[str, list[np.ndarray]]] = {}
     for batch in batches:
-        passed, rest = r.take_passed(batch, "hits")
-        yield passed.select(["row", "hits"])
-        for p in rest:
-            places, counts = r.unsteps(p["places"]), r.unsteps(p["counts"])
-            docs = np.arange(n_docs, n_docs + len(counts), dtype=np.int32)
-            n_docs += len(counts)
+        passed = batch.column("hits").is_valid()
+        yield batch.select(["row", "hits"]).filter(passed)
+        # Row by row: as a list, all parcels of the batch would be held a second time.
+        for i in np.flatnonzero(~passed.to_numpy(zero_copy_only=False)).tolist():
+            p = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            places = r.unsteps(p["places"])
             part = {
                 "rows": r.unsteps(p["rows"]),
-                "doc": np.repeat(docs, counts),
+                "counts": r.unsteps(p["counts"]).astype(np.uint32),
                 "place": places.astype(np.uint32),
                 "seen": np.unpackbits(
                     np.frombuffer(p["seen"], np.uint8), count=len(places)
                 ).view(bool),
+                "key": r.unplanes(p["short"], "<u4" if grid else "<u8"),
             }
-            if grid:
-                short = r.unplanes(p["short"], "<u4").astype(r.U64)
-                part["key"] = short | r.U64(p["bucket"]) << r.U64(32)
-            else:
-                part["key"] = r.unplanes(p["short"], "<u8")
+            if not grid:
                 part["long"] = r.unplanes(p["long"], "<u2")
-                part["bucket"] = np.full(len(places), p["bucket"], dtype=np.int32)
+            columns = held.setdefault(p["bucket"], {name: [] for name in part})
             for name, values in part.items():
-                held.setdefault(name, []).append(values)
-    if not held:
-        return
-    batch = passed = rest = p = part = None  # the parcels are not needed any more
-    # One column at a time, so that little is held twice.
-    joined = {name: np.concatenate(held.pop(name)) for name in list(held)}
-    key, places, seen = joined["key"], joined["place"], joined["seen"]
+                columns[name].append(values)
+    batch = passed = p = part = places = values = columns = None  # not needed any more
+    while held:
+        columns = held.popitem()[1]
+        # One column at a time, so that little is held twice.
+        yield from occurring_again(
+            {name: np.concatenate(columns.pop(name)) for name in list(columns)}, grid
+        )
+
+
+def occurring_again(bucket: dict[str, np.ndarray], grid: int | None) -> Iterator[pa.RecordBatch]:
+    """(row, runs of its places) for the places of one bucket whose key occurs again."""
+    key, places, seen = bucket["key"], bucket["place"], bucket["seen"]
     found = np.zeros(len(key), dtype=bool)
-    share = key.view(np.uint8)[::8] % PASSES  # equal keys go to the same pass
+    # Equal keys go to the same pass.
+    share = key.view(np.uint8)[:: key.itemsize] % PASSES
     for number in range(PASSES):
         at = np.flatnonzero(share == number)
-        more = () if grid else (joined["long"][at], joined["bucket"][at])
-        order, group = r.groups(key[at], *more)
+        order, group = r.groups(key[at]) if grid else r.groups(key[at], bucket["long"][at])
         at = at[order]
         size = np.bincount(group)
         hit = np.zeros(len(size), dtype=bool)
@@ -158,12 +182,12 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
         hit[group[seen[at]]] = True
         found[at] = hit[group]
     found &= ~seen
-    found = np.flatnonzero(found)
-    row, hits = r.runs_by_row(joined["rows"][joined["doc"][found]], places[found].astype(np.int64))
-    for first in range(0, len(row), 5000):
-        yield pa.RecordBatch.from_arrays(
-            [row.slice(first, 5000), hits.slice(first, 5000)], schema=HITS_SCHEMA
-        )
+    ends = np.cumsum(bucket["counts"], dtype=np.uint32)  # of the documents, in places
+    for first in range(0, len(found), SLICE):
+        at = np.flatnonzero(found[first : first + SLICE]) + first
+        doc = np.searchsorted(ends, at.astype(np.uint32), side="right")
+        row, hits = r.runs_by_row(bucket["rows"][doc], places[at].astype(np.int64))
+        yield pa.RecordBatch.from_arrays([row, hits], schema=HITS_SCHEMA)
 
 
 def remove_repeats(
