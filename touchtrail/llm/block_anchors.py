@@ -131,7 +131,8 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
     Two tasks and the JVM share an executor's memory, so what is held per place is little:
     its key, its number, and a mark; documents are found from their counts of places.
     """
-    held: dict[int, dict[str, list[np.ndarray]]] = {}
+    held: dict[int, dict[str, bytearray]] = {}  # grown in place, so nothing is joined later
+    kinds: dict[str, np.dtype] = {}
     for batch in batches:
         passed = batch.column("hits").is_valid()
         yield batch.select(["row", "hits"]).filter(passed)
@@ -150,15 +151,15 @@ def look_up(batches: Batches, grid: int | None) -> Iterator[pa.RecordBatch]:
             }
             if not grid:
                 part["long"] = r.unplanes(p["long"], "<u2")
-            columns = held.setdefault(p["bucket"], {name: [] for name in part})
+            kinds = {name: values.dtype for name, values in part.items()}
+            columns = held.setdefault(p["bucket"], {name: bytearray() for name in part})
             for name, values in part.items():
-                columns[name].append(values)
+                columns[name] += values.tobytes()
     batch = passed = p = part = places = values = columns = None  # not needed any more
     while held:
         columns = held.popitem()[1]
-        # One column at a time, so that little is held twice.
         yield from occurring_again(
-            {name: np.concatenate(columns.pop(name)) for name in list(columns)}, grid
+            {name: np.frombuffer(data, kinds[name]) for name, data in columns.items()}, grid
         )
 
 
