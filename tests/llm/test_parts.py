@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.llm import (
     block_anchors,
+    common,
     decontaminate,
     interpolation_lm,
     license_scan,
@@ -27,6 +28,7 @@ from touchtrail.llm import (
 )
 from touchtrail.llm.components import components
 from touchtrail.llm.queries import tokenizer_file
+from touchtrail.sources.store import scratch_path
 
 
 # -- rolling windows --------------------------------------------------------------------
@@ -113,6 +115,46 @@ def test_components_of_chains_stars_and_loops(spark):
     assert found == {i: 0 for i in range(51)} | {i: 900 for i in range(900, 1001)}
 
 
+def test_edges_within_a_chunk_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: written.append(name) or scratch_path(s, name))
+    labels = random.Random(5).sample(range(1000), 200)
+    chain = spark.createDataFrame(list(zip(labels, labels[1:])), "a long, b long")
+    found = {r["node"]: r["component"] for r in components(chain).collect()}
+    assert found == dict.fromkeys(labels, min(labels))
+    assert written == ["component-edges", "component-chunks", "component-centres"]
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_components_over_many_chunks(spark, kind):
+    rng = random.Random(9)
+    edges = [(rng.randrange(10, 99), rng.randrange(10, 99)) for _ in range(60)] * 2
+    edges += [(i, i + 1) for i in range(100, 140)]
+    near = {p: {p} for edge in edges for p in edge}
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+
+    def reached(p):
+        seen, new = set(), {p}
+        while new:
+            seen |= new
+            new = set().union(*(near[q] for q in new)) - seen
+        return seen
+
+    as_kind = (lambda p: p) if kind == "long" else (lambda p: f"{p:03}")
+    table = spark.createDataFrame([(as_kind(a), as_kind(b)) for a, b in edges], f"a {kind}, b {kind}")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 2)
+    try:
+        rows = components(table.repartition(8), chunk=4).collect()
+    finally:
+        spark.conf.set(size, before)
+    expected = {as_kind(p): as_kind(min(reached(p))) for p in near if len(near[p]) > 1}
+    assert sorted((r["node"], r["component"]) for r in rows) == sorted(expected.items())
+
+
 def test_large_buckets_are_compared_in_blocks(spark):
     # One key holds every fingerprint; blocks of four still find all links.
     rng = random.Random(3)
